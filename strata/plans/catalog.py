@@ -22,7 +22,7 @@ from strata.plans import questions, report, standin
 from strata.plans.delivery import delivery_model
 from strata.plans.metrics import NOT_BLANK, Measure, Model, row, summarize
 from strata.session import scratch_path
-from strata.sources.ingest import read_csv
+from strata.sources.ingest import read_csv, read_parquet
 from strata.sources.schema import spec
 from strata.sources.sinks import row_counts
 
@@ -56,6 +56,10 @@ def _r6(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.round(F.col(c), 6).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def _gold(spark: SparkSession, sf_dir: str) -> standin.Gold:
     return standin.gold(spark, sf_dir)
 
@@ -64,11 +68,11 @@ def _gold(spark: SparkSession, sf_dir: str) -> standin.Gold:
 
 @query("dedup_by_key")
 def dedup_by_key(spark, sf_dir):
-    return standin.silver_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return standin.silver_lineitem(_table(spark, sf_dir, "lineitem"))
 
 
 def _dirty(spark, sf_dir):
-    return standin.dirty_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return standin.dirty_orders(_table(spark, sf_dir, "orders"))
 
 
 @query("clean_text")
@@ -95,7 +99,7 @@ def csv_ingest_roundtrip(spark, sf_dir):
     """Write ``nation`` as headered CSV to the shared scratch folder, read it
     back against the declared all-text schema, clean and type it."""
     path = scratch_path(spark, "csv-ingest")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    nation = _table(spark, sf_dir, "nation")
     nation.select(*[F.col(c).cast("string") for c in NATION_CSV.column_names]).write.option("header", True).csv(path)
     raw = read_csv(spark, path, NATION_CSV)
     typed = clean(raw, CleanSpec.from_table(NATION_CSV))
@@ -105,14 +109,14 @@ def csv_ingest_roundtrip(spark, sf_dir):
 
 @query("constant_and_alias")
 def constant_and_alias(spark, sf_dir):
-    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    n = _table(spark, sf_dir, "nation")
     return n.select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("nation_name"),
                     F.lit(1).alias("delivery_count"), F.lit("Nation").alias("entity_kind"))
 
 
 @query("filter_contains")
 def filter_contains(spark, sf_dir):
-    p = spark.read.parquet(f"{sf_dir}/part.parquet")
+    p = _table(spark, sf_dir, "part")
     return p.filter(F.col("p_name").contains("gear")).select("p_partkey", "p_name", "p_brand")
 
 
@@ -185,7 +189,7 @@ def dq_duplicate_keys(spark, sf_dir):
 
 @query("dq_duplicate_composite")
 def dq_duplicate_composite(spark, sf_dir):
-    return duplicate_keys(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), ["l_orderkey", "l_linenumber"])
+    return duplicate_keys(_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query("dq_null_keys")
@@ -201,27 +205,27 @@ def dq_null_keys(spark, sf_dir):
 
 
 def _shifted(spark, sf_dir):
-    li = standin.shifted(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_suppkey", 5)
-    orders = standin.shifted(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_custkey", 7)
+    li = standin.shifted(_table(spark, sf_dir, "lineitem"), "l_suppkey", 5)
+    orders = standin.shifted(_table(spark, sf_dir, "orders"), "o_custkey", 7)
     return li, orders
 
 
 @query("dq_orphans_distinct")
 def dq_orphans_distinct(spark, sf_dir):
     li, _ = _shifted(spark, sf_dir)
-    return orphan_keys(li, ["l_suppkey"], spark.read.parquet(f"{sf_dir}/supplier.parquet"), ["s_suppkey"])
+    return orphan_keys(li, ["l_suppkey"], _table(spark, sf_dir, "supplier"), ["s_suppkey"])
 
 
 @query("dq_orphans_rows")
 def dq_orphans_rows(spark, sf_dir):
     li, _ = _shifted(spark, sf_dir)
-    return orphan_rows(li, ["l_suppkey"], spark.read.parquet(f"{sf_dir}/supplier.parquet"), ["s_suppkey"])
+    return orphan_rows(li, ["l_suppkey"], _table(spark, sf_dir, "supplier"), ["s_suppkey"])
 
 
 @query("dq_orphans_renamed")
 def dq_orphans_renamed(spark, sf_dir):
     _, orders = _shifted(spark, sf_dir)
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = _table(spark, sf_dir, "customer")
     return orphan_keys(orders, ["o_custkey"], customer.select(F.col("c_custkey").alias("o_custkey")))
 
 
@@ -258,8 +262,8 @@ def dq_out_of_range(spark, sf_dir):
 def _fk_checks(spark, sf_dir):
     li, orders = _shifted(spark, sf_dir)
     g = _gold(spark, sf_dir)
-    tables = {"lineitem": li, "orders": orders, "supplier": spark.read.parquet(f"{sf_dir}/supplier.parquet"),
-              "customer": spark.read.parquet(f"{sf_dir}/customer.parquet"),
+    tables = {"lineitem": li, "orders": orders, "supplier": _table(spark, sf_dir, "supplier"),
+              "customer": _table(spark, sf_dir, "customer"),
               "fact": standin.shifted(g.fact, "lead_educator_id", 3), "educator": g.educator}
     checks = [
         Q.foreign_key("lineitem", ["l_suppkey"], "supplier", ["s_suppkey"]),
@@ -503,7 +507,7 @@ def events_model(events: DataFrame) -> Model:
 
 @query("mx_events_monthly")
 def mx_events_monthly(spark, sf_dir):
-    df = summarize(events_model(spark.read.parquet(f"{sf_dir}/events.parquet")),
+    df = summarize(events_model(_table(spark, sf_dir, "events")),
                    ["events.year_month", "events.event_type"],
                    ["event_count", "total_value", "distinct_users", "average_value"])
     return _r6(df, "total_value", "average_value")

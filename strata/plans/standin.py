@@ -28,6 +28,7 @@ from strata.operators.joins import checked_broadcast
 from strata.plans.delivery import delivery_model, gold_bridge, gold_dim_educator, gold_dim_location, gold_fact
 from strata.plans.metrics import Model
 from strata.plans.star import date_table
+from strata.sources.ingest import load_tables
 
 # Fixed values of the stand-in mapping.
 LINEITEM_KEY = ("l_orderkey", "l_linenumber")
@@ -42,7 +43,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def load(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    return load_tables(spark, sf_dir, list(names))
 
 
 def silver_lineitem(lineitem: DataFrame) -> DataFrame:

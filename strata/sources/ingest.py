@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.sources.schema import TableSpec
 
@@ -34,8 +35,18 @@ def read_csv(
     return with_ingest_metadata(df, source_file) if with_metadata else df
 
 
+_PARQUET_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """Parquet scan; the schema of a path is inferred once per process and
+    then declared, so later reads skip the footer-reading inference job."""
+    schema = _PARQUET_SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _PARQUET_SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return df.select(*columns) if columns else df
 
 
@@ -60,4 +71,4 @@ def with_ingest_metadata(
 
 def load_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
     """Parquet tables named ``<root>/<name>.parquet``."""
-    return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}.parquet") for n in names}
+    return {n: read_parquet(spark, f"{root.rstrip('/')}/{n}.parquet") for n in names}
