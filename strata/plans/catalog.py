@@ -9,6 +9,7 @@ values are rounded to 6 decimals so two engines' summation orders agree.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from strata.operators.joins import key_set_difference, orphan_keys, orphan_rows,
 from strata.operators.quality import run_checks, total_violations
 from strata.plans import questions, report, standin
 from strata.plans.delivery import delivery_model
+from strata.plans.layers import check_report, run_layers
 from strata.plans.metrics import NOT_BLANK, Measure, Model, row, summarize
 from strata.session import scratch_path
 from strata.sources.ingest import read_csv, read_parquet
@@ -279,31 +281,11 @@ def dq_fk_total(spark, sf_dir):
     return total_violations(_fk_checks(spark, sf_dir))
 
 
-def gold_checks() -> list[Q.Check]:
-    return [
-        Q.Check("fact_row_count", "row_count", "fact"),
-        Q.Check("fact_event_groups", "distinct_count", "fact", ("event_group_id",)),
-        Q.unique("fact", "event_id"),
-        Q.unique("bridge", "event_id", "educator_id"),
-        Q.unique("location", "location_id"),
-        Q.unique("educator", "educator_id"),
-        Q.unique("date", "date_key"),
-        Q.not_null("fact", "event_id"),
-        Q.not_null("fact", "event_group_id"),
-        Q.foreign_key("fact", ["location_id"], "location"),
-        Q.foreign_key("fact", ["event_date_key"], "date", ["date_key"]),
-        Q.foreign_key("bridge", ["event_id"], "fact"),
-        Q.foreign_key("bridge", ["educator_id"], "educator"),
-        Q.coverage("fact", ["event_id"], "bridge", name="fact_event_has_educator"),
-        Q.in_range("fact", "satisfaction_score", 1, 5),
-    ]
-
-
 @query("dq_summary")
 def dq_summary(spark, sf_dir):
     g = _gold(spark, sf_dir)
     tables = {"fact": g.fact, "bridge": g.bridge, "location": g.location, "educator": g.educator, "date": g.date}
-    return run_checks(tables, gold_checks(), layer="gold")
+    return run_checks(tables, standin.gold_checks(), layer="gold")
 
 
 @query("staffing_summary")
@@ -562,6 +544,24 @@ def rv_slicer_members(spark, sf_dir):
     return report.slicer_members(_gold(spark, sf_dir).model())
 
 
+def _layered(spark, sf_dir):
+    root = scratch_path(spark, "layered")
+    return run_layers(spark, standin.layers(), standin.load(spark, sf_dir), root)
+
+
+@query("layered_build_checks")
+def layered_build_checks(spark, sf_dir):
+    """Silver and Gold written once each, checked on the stored tables, gated."""
+    return check_report(_layered(spark, sf_dir))
+
+
+@query("layered_row_counts")
+def layered_row_counts(spark, sf_dir):
+    """Row counts of the stored layer tables (post-write verification)."""
+    results = _layered(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [r.row_counts() for r in results])
+
+
 @query("reconcile_sql_vs_metrics")
 def reconcile_sql_vs_metrics(spark, sf_dir):
     g = _gold(spark, sf_dir)

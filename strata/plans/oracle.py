@@ -274,6 +274,37 @@ GOLD_CHECKS = [
 ]
 
 
+SILVER_CHECKS = [
+    ("lineitem_l_orderkey_l_linenumber_unique", "unique", "lineitem",
+     "SELECT COUNT(*) FROM (SELECT l_orderkey, l_linenumber FROM li GROUP BY ALL HAVING COUNT(*) > 1)", "0"),
+    ("orders_o_orderkey_unique", "unique", "orders",
+     "SELECT COUNT(*) FROM (SELECT o_orderkey FROM ord GROUP BY ALL HAVING COUNT(*) > 1)", "0"),
+    ("orders_o_orderkey_not_null", "not_null", "orders", "SELECT COUNT(*) FROM ord WHERE o_orderkey IS NULL", "0"),
+    ("orders_o_custkey_fk_locations", "foreign_key", "orders",
+     "SELECT COUNT(*) FROM (SELECT DISTINCT o_custkey FROM ord) c "
+     "WHERE NOT EXISTS (SELECT 1 FROM customer x WHERE x.c_custkey = c.o_custkey)", "0"),
+    ("lineitem_l_orderkey_fk_orders", "foreign_key_rows", "lineitem",
+     "SELECT COUNT(*) FROM li c WHERE NOT EXISTS (SELECT 1 FROM ord o WHERE o.o_orderkey = c.l_orderkey)", "0"),
+    ("lineitem_l_suppkey_fk_educators", "foreign_key", "lineitem",
+     "SELECT COUNT(*) FROM (SELECT DISTINCT l_suppkey FROM li) c "
+     "WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = c.l_suppkey)", "0"),
+]
+
+
+def _layered_checks() -> str:
+    rows = [_check_row("silver", n, k, t, sql, exp) for n, k, t, sql, exp in SILVER_CHECKS]
+    rows += [_check_row("gold", n, k, t, sql, exp, "warning" if n == "fact_event_has_educator" else "error")
+             for n, k, t, sql, exp in GOLD_CHECKS]
+    return " UNION ALL ".join(rows)
+
+
+def _layered_counts() -> str:
+    parts = [("silver_lineitem", "li"), ("silver_orders", "ord"), ("silver_locations", "customer"),
+             ("silver_educators", "supplier"), ("gold_fact", "fact"), ("gold_date", "dt"), ("gold_location", "loc"),
+             ("gold_educator", "edu"), ("gold_bridge", "br")]
+    return " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {t}" for n, t in parts)
+
+
 def _suburbs() -> str:
     return (f"SELECT region, suburb, {measures('total_delivery_records', 'total_people_reached', 'average_people_reached_per_delivery', 'locations_reached')} "
             f"FROM fj GROUP BY region, suburb")
@@ -528,6 +559,8 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT DISTINCT 'location.region', region, CAST(NULL AS INTEGER) FROM loc WHERE region IS NOT NULL "
         "UNION ALL SELECT DISTINCT 'fact.programme_type', programme_type, CAST(NULL AS INTEGER) FROM fact "
         "WHERE programme_type IS NOT NULL", "fact", "dt", "loc"),
+    "layered_build_checks": with_ctes(_layered_checks(), "li", "ord", "fact", "br", "loc", "edu", "dt"),
+    "layered_row_counts": with_ctes(_layered_counts(), "li", "ord", "fact", "br", "loc", "edu", "dt"),
     "reconcile_sql_vs_metrics": with_ctes(
         "SELECT COUNT(*) AS compared_rows, COUNT(*) AS matched, CAST(0 AS BIGINT) AS mismatched, "
         "CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right "

@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.clean import CleanSpec, clean
+from strata.operators import quality as Q
 from strata.operators.dedup import dedup_by_key
 from strata.operators.joins import checked_broadcast
 from strata.plans.delivery import delivery_model, gold_bridge, gold_dim_educator, gold_dim_location, gold_fact
+from strata.plans.layers import Layer
 from strata.plans.metrics import Model
 from strata.plans.star import date_table
 from strata.sources.ingest import load_tables
@@ -145,15 +147,75 @@ class Gold:
         return delivery_model(self.fact, self.date, self.location, self.educator, self.bridge)
 
 
-def build_gold(raw: dict[str, DataFrame]) -> Gold:
-    lines = silver_lineitem(raw["lineitem"])
-    orders = silver_orders(raw["orders"])
+def silver_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The Silver layer: typed, cleaned, one row per key."""
+    return {
+        "lineitem": silver_lineitem(raw["lineitem"]),
+        "orders": silver_orders(raw["orders"]),
+        "locations": silver_locations(raw["customer"], raw["nation"], raw["region"]),
+        "educators": silver_educators(raw["supplier"], raw["nation"]),
+    }
+
+
+def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The Gold layer (star schema) from Silver tables."""
+    lines, orders = silver["lineitem"], silver["orders"]
     fact = gold_fact(silver_events(orders, lines))
-    location = gold_dim_location(silver_locations(raw["customer"], raw["nation"], raw["region"]), VENUE_CATEGORIES)
-    educator = gold_dim_educator(silver_educators(raw["supplier"], raw["nation"]))
-    bridge = gold_bridge(silver_assignments(lines))
-    date = date_table(fact, "event_date")
-    return Gold(raw, lines, orders, fact, date, location, educator, bridge)
+    return {
+        "fact": fact,
+        "date": date_table(fact, "event_date"),
+        "location": gold_dim_location(silver["locations"], VENUE_CATEGORIES),
+        "educator": gold_dim_educator(silver["educators"]),
+        "bridge": gold_bridge(silver_assignments(lines)),
+    }
+
+
+def build_gold(raw: dict[str, DataFrame]) -> Gold:
+    silver = silver_tables(raw)
+    g = gold_tables(silver)
+    return Gold(raw, silver["lineitem"], silver["orders"], g["fact"], g["date"], g["location"], g["educator"],
+                g["bridge"])
+
+
+def silver_checks() -> list[Q.Check]:
+    return [
+        Q.unique("lineitem", "l_orderkey", "l_linenumber"),
+        Q.unique("orders", "o_orderkey"),
+        Q.not_null("orders", "o_orderkey"),
+        Q.foreign_key("orders", ["o_custkey"], "locations", ["location_id"]),
+        Q.foreign_key("lineitem", ["l_orderkey"], "orders", ["o_orderkey"], rows=True),
+        Q.foreign_key("lineitem", ["l_suppkey"], "educators", ["educator_id"]),
+    ]
+
+
+def gold_checks(coverage_severity: str = "error") -> list[Q.Check]:
+    return [
+        Q.Check("fact_row_count", "row_count", "fact"),
+        Q.Check("fact_event_groups", "distinct_count", "fact", ("event_group_id",)),
+        Q.unique("fact", "event_id"),
+        Q.unique("bridge", "event_id", "educator_id"),
+        Q.unique("location", "location_id"),
+        Q.unique("educator", "educator_id"),
+        Q.unique("date", "date_key"),
+        Q.not_null("fact", "event_id"),
+        Q.not_null("fact", "event_group_id"),
+        Q.foreign_key("fact", ["location_id"], "location"),
+        Q.foreign_key("fact", ["event_date_key"], "date", ["date_key"]),
+        Q.foreign_key("bridge", ["event_id"], "fact"),
+        Q.foreign_key("bridge", ["educator_id"], "educator"),
+        Q.Check("fact_event_has_educator", "coverage", "fact", ("event_id",), "bridge", ("event_id",), expected=0,
+                severity=coverage_severity),
+        Q.in_range("fact", "satisfaction_score", 1, 5),
+    ]
+
+
+def layers() -> list[Layer]:
+    """Silver and Gold as gated layers. Orders without any line are genuine
+    unstaffed deliveries here, so staffing coverage is a warning."""
+    return [
+        Layer("silver", silver_tables, silver_checks()),
+        Layer("gold", gold_tables, gold_checks(coverage_severity="warning")),
+    ]
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
