@@ -12,10 +12,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on the optimizer's size estimate for an explicit broadcast hint.
-# Estimates come from file sizes and can be several times below the
-# deserialized size, hence a bound well under typical executor memory.
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+# Fallback bound when the session has no broadcast threshold configured
+# (Spark's own default for spark.sql.autoBroadcastJoinThreshold).
+DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
+
+
+def broadcast_bound(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` (-1 disables)."""
+    try:
+        value = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    except Exception:
+        value = None
+    if value is None:
+        return DEFAULT_BROADCAST_BYTES
+    value = str(value).strip().lower()
+    units = {"b": 1, "k": 1024, "kb": 1024, "m": 1024 ** 2, "mb": 1024 ** 2, "g": 1024 ** 3, "gb": 1024 ** 3}
+    for suffix in sorted(units, key=len, reverse=True):
+        if value.endswith(suffix) and value[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(value[: -len(suffix)]) * units[suffix]
+    return int(value) if value.lstrip("-").isdigit() else DEFAULT_BROADCAST_BYTES
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -26,13 +41,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the optimizer's size estimate is within the bound (default:
+    the session's broadcast threshold). Unknown sizes are never small."""
+    bound = broadcast_bound(df) if max_bytes is None else max_bytes
     size = estimated_bytes(df)
-    return size is not None and size <= max_bytes
+    return bound >= 0 and size is not None and size <= bound
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is within ``max_bytes``;
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is within the bound;
     otherwise ``df`` unchanged (a shuffle join, or AQE's runtime choice)."""
     return F.broadcast(df) if is_small(df, max_bytes) else df
 

@@ -42,7 +42,15 @@ def not_after(cols: Sequence[Column], bounds: Sequence[Column], ascending: Seque
     return cond
 
 
-def top_n_with_ties(df: DataFrame, n: int, order: Order) -> DataFrame:
+def top_n_with_ties(df: DataFrame, n: int, order: Order, materialize: bool = False) -> DataFrame:
+    """Rows ranked ``<= n`` under ``order`` (ties at the cut all kept).
+
+    The input is read twice (boundary, then filter). ``materialize=True``
+    first checkpoints it to the session's shared checkpoint folder, so an
+    expensive input (an aggregate over a large fact) is computed once.
+    """
+    if materialize:
+        df = df.checkpoint(eager=True)
     names = [c for c, _ in order]
     head = df.orderBy(*[_sort_col(c, a) for c, a in order]).limit(n)
     boundary = (

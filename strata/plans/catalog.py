@@ -19,11 +19,12 @@ from strata.operators import quality as Q
 from strata.operators.dedup import duplicate_keys
 from strata.operators.joins import key_set_difference, orphan_keys, orphan_rows, uncovered_parents
 from strata.operators.quality import run_checks, total_violations
-from strata.plans import questions, report, standin
+from strata.plans import questions, report, sql_questions, standin
 from strata.plans.delivery import delivery_model
 from strata.plans.layers import check_report, run_layers
 from strata.plans.metrics import NOT_BLANK, Measure, Model, row, summarize
 from strata.session import scratch_path
+from strata.sources.catalog import register_tables, register_views
 from strata.sources.ingest import read_csv, read_parquet
 from strata.sources.schema import spec
 from strata.sources.sinks import row_counts
@@ -562,6 +563,36 @@ def layered_row_counts(spark, sf_dir):
     return reduce(DataFrame.unionByName, [r.row_counts() for r in results])
 
 
+def _gold_views(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    tables = {"fact": g.fact, "date": g.date, "location": g.location, "educator": g.educator, "bridge": g.bridge}
+    register_views({sql_questions.GOLD_NAMES[k]: v for k, v in tables.items()})
+
+
+@query("sql_views_reach_by_region")
+def sql_views_reach_by_region(spark, sf_dir):
+    """SQL text over session views of the (lazy) Gold tables."""
+    _gold_views(spark, sf_dir)
+    return spark.sql(sql_questions.sql_text("reach_by_region"))
+
+
+@query("sql_views_attendance_by_type")
+def sql_views_attendance_by_type(spark, sf_dir):
+    _gold_views(spark, sf_dir)
+    return spark.sql(sql_questions.sql_text("attendance_by_type"))
+
+
+@query("sql_catalog_monthly_trend")
+def sql_catalog_monthly_trend(spark, sf_dir):
+    """SQL text over external catalog tables (database ``dbo``) that point at
+    the stored Gold layer of a gated layered build."""
+    root = scratch_path(spark, "catalog")
+    results = run_layers(spark, standin.layers(), standin.load(spark, sf_dir), root)
+    gold_paths = {sql_questions.GOLD_NAMES[k]: p for k, p in results[-1].paths.items()}
+    register_tables(spark, gold_paths, "dbo", f"{root}/dbo.db")
+    return spark.sql(sql_questions.sql_text("monthly_trend", "dbo"))
+
+
 @query("reconcile_sql_vs_metrics")
 def reconcile_sql_vs_metrics(spark, sf_dir):
     g = _gold(spark, sf_dir)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.blank import blank_add, blank_div, blank_sub, nonblank
-from strata.operators.joins import DEFAULT_BROADCAST_BYTES, is_small
+from strata.operators.joins import is_small
 
 NOT_BLANK = "__not_blank__"
 
@@ -82,7 +82,7 @@ class Model:
     relationships: list[Relationship]
     measures: dict[str, Measure]
     hidden: dict[str, tuple[str, ...]] = field(default_factory=dict)
-    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+    max_broadcast_bytes: int | None = None  # None: the session's broadcast threshold
 
     def add_measures(self, measures: Iterable[Measure]) -> "Model":
         for m in measures:

@@ -566,3 +566,8 @@ ORACLE: dict[str, str] = {
         "CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right "
         "FROM (SELECT DISTINCT l.region FROM fact f JOIN loc l ON f.location_id = l.location_id)", "fact", "loc"),
 }
+
+# SQL-text questions answer the same questions as their DataFrame twins.
+ORACLE["sql_views_reach_by_region"] = ORACLE["bq_reach_by_region"]
+ORACLE["sql_views_attendance_by_type"] = ORACLE["bq_attendance_by_type"]
+ORACLE["sql_catalog_monthly_trend"] = ORACLE["bq_monthly_trend"]

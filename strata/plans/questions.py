@@ -18,11 +18,6 @@ from strata.operators.topn import top_n_with_ties
 from strata.plans.metrics import Model, row, summarize
 
 
-def _ratio(num, den):
-    return F.col(num).cast("double") / F.nullif(F.col(den), F.lit(0)).cast("double") if isinstance(num, str) else (
-        num.cast("double") / F.nullif(den, F.lit(0)).cast("double"))
-
-
 def _with_location(fact: DataFrame, location: DataFrame, cols: list[str]) -> DataFrame:
     dim = checked_broadcast(location.select("location_id", *cols).withColumnRenamed("location_id", "__loc"))
     return fact.join(dim, fact["location_id"] == dim["__loc"], "inner")
@@ -130,6 +125,7 @@ def lowest_reach_suburbs(model: Model, n: int = 10) -> DataFrame:
     return top_n_with_ties(
         reach_by_suburb(model), n,
         [("total_people_reached", True), ("total_delivery_records", True), ("suburb", True)],
+        materialize=True,
     )
 
 

@@ -32,6 +32,8 @@ def local_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
+        # local runs only: keep the (empty) default warehouse out of the cwd
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-warehouse-"))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
