@@ -41,7 +41,9 @@ roll AS (
          ROUND(1.0::DOUBLE + 40.0::DOUBLE * MAX(CASE WHEN l_linestatus = 'F' THEN l_discount END), 2)
            AS satisfaction_score,
          arg_min(l_suppkey, l_linenumber) AS lead_educator_id,
-         MIN(l_returnflag) AS delivery_language
+         CASE WHEN COUNT(*) FILTER (WHERE l_returnflag = 'A') > 0 THEN 'A'
+              WHEN COUNT(*) FILTER (WHERE l_returnflag = 'N') > 0 THEN 'N'
+              WHEN COUNT(*) FILTER (WHERE l_returnflag = 'R') > 0 THEN 'R' END AS delivery_language
   FROM li GROUP BY l_orderkey)"""),
     "fact": (("ord", "roll"), """
 fact AS (
