@@ -66,10 +66,13 @@ def gold_dim_educator(silver_educators: DataFrame) -> DataFrame:
     return dimension(silver_educators, "educator_id", cols)
 
 
-def gold_bridge(silver_assignments: DataFrame) -> DataFrame:
+def gold_bridge(silver_assignments: DataFrame, dedup: bool = True) -> DataFrame:
+    """Event ↔ staff assignments, one row per (event_id, educator_id).
+    ``dedup=False`` when the source is already unique on that key (e.g. it
+    is itself a GROUP BY on it), which saves a sort-based aggregate."""
     cols = [c for c in silver_assignments.columns if c not in ("ingestion_timestamp", "source_file",
                                                                "silver_processed_timestamp")]
-    return dimension(silver_assignments, ["event_id", "educator_id"], cols)
+    return dimension(silver_assignments, ["event_id", "educator_id"], cols, dedup=dedup)
 
 
 RELATIONSHIPS = [

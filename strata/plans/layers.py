@@ -20,9 +20,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from strata.operators.quality import Check, gate, run_checks
 from strata.sources.sinks import read_layer, row_counts, write_layer
@@ -61,7 +61,8 @@ def run_layer(
 ) -> LayerResult:
     built = layer.build(inputs)
     paths = write_layer(spark, built, root, layer.name, fmt, layer.audit_column, run_id, layer.partition_by)
-    stored = read_layer(spark, paths, fmt)
+    schemas = {name: df.schema for name, df in built.items()} if layer.audit_column is None else None
+    stored = read_layer(spark, paths, fmt, schemas)
     if not layer.checks:
         return LayerResult(layer.name, paths, stored, [], None)
     check_tables = {**inputs, **stored}
@@ -89,6 +90,13 @@ def run_layers(
 
 
 def check_report(results: list[LayerResult]) -> DataFrame | None:
-    """All layers' check tables as one DataFrame (over the stored tables)."""
-    parts = [r.checks for r in results if r.checks is not None]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    """All layers' check rows as one DataFrame.
+
+    Built from the rows the gate already collected (one per check), so the
+    checks are not executed a second time."""
+    with_checks = [r for r in results if r.checks is not None]
+    if not with_checks:
+        return None
+    schema = StructType([StructField(f.name, f.dataType, True) for f in with_checks[0].checks.schema.fields])
+    rows = [row for r in with_checks for row in r.check_rows]
+    return with_checks[0].checks.sparkSession.createDataFrame(rows, schema)

@@ -175,7 +175,7 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "date": date_table(fact, "event_date"),
         "location": gold_dim_location(silver["locations"], VENUE_CATEGORIES),
         "educator": gold_dim_educator(silver["educators"]),
-        "bridge": gold_bridge(silver_assignments(lines)),
+        "bridge": gold_bridge(silver_assignments(lines), dedup=False),  # a GROUP BY on its key
     }
 
 

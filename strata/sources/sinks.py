@@ -10,10 +10,12 @@ upstream builder stays deterministic and comparable.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def with_audit_timestamp(df: DataFrame, column: str) -> DataFrame:
@@ -42,20 +44,39 @@ def write_layer(
     audit_column: str | None = None,
     run_id: str | None = None,
     partition_by: dict[str, list[str]] | None = None,
+    max_parallel: int = 4,
 ) -> dict[str, str]:
-    """Write every table of a layer to a fresh run folder; return name -> path."""
+    """Write every table of a layer to a fresh run folder; return name -> path.
+
+    The tables are independent jobs, so they are submitted concurrently from
+    driver threads (the scheduler interleaves their tasks on the executors)."""
     run_id = run_id or uuid.uuid4().hex
-    paths: dict[str, str] = {}
-    for name, df in tables.items():
+    paths = {name: f"{root.rstrip('/')}/{layer}_{name}/run={run_id}" for name in tables}
+
+    def write(name: str) -> None:
+        df = tables[name]
         out = df if audit_column is None else with_audit_timestamp(df, audit_column)
-        path = f"{root.rstrip('/')}/{layer}_{name}/run={run_id}"
-        write_table(out, path, fmt, (partition_by or {}).get(name))
-        paths[name] = path
+        write_table(out, paths[name], fmt, (partition_by or {}).get(name))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(len(tables), max_parallel))) as pool:
+        list(pool.map(write, tables))
     return paths
 
 
-def read_layer(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> dict[str, DataFrame]:
-    return {name: spark.read.format(fmt).load(path) for name, path in paths.items()}
+def read_layer(
+    spark: SparkSession,
+    paths: dict[str, str],
+    fmt: str = "parquet",
+    schemas: dict[str, StructType] | None = None,
+) -> dict[str, DataFrame]:
+    """Read stored layer tables; known schemas skip the inference job."""
+    out = {}
+    for name, path in paths.items():
+        reader = spark.read.format(fmt)
+        if schemas and name in schemas:
+            reader = reader.schema(schemas[name])
+        out[name] = reader.load(path)
+    return out
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
