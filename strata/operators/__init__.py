@@ -6,6 +6,7 @@ from strata.operators.joins import (
     estimated_bytes,
     is_small,
     key_set_difference,
+    merge_on_keys,
     orphan_keys,
     orphan_rows,
     uncovered_parents,
@@ -26,6 +27,7 @@ __all__ = [
     "gate",
     "is_small",
     "key_set_difference",
+    "merge_on_keys",
     "orphan_keys",
     "orphan_rows",
     "reconcile",

@@ -118,3 +118,32 @@ def key_set_difference(a: DataFrame, a_cols: Sequence[str], b: DataFrame, b_cols
     left = a.select(*a_cols)
     right = _key_frame(b, b_cols, list(a_cols))
     return left.subtract(right)
+
+
+def merge_on_keys(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Full-outer merge of results that are each unique on ``keys``.
+
+    The parts are aligned (missing columns as typed nulls), stacked with a
+    union and collapsed with ``groupBy(keys).agg(max(...))``: one exchange
+    with map-side combine instead of a chain of full outer joins, null keys
+    matching each other as in a grouping, and every part computed in the
+    same job. With no keys each part is a one-row aggregate and the result
+    is one row — no cartesian product.
+    """
+    keys = list(keys)
+    if len(parts) == 1:
+        return parts[0]
+    types: dict[str, object] = {}
+    for p in parts:
+        for f in p.schema.fields:
+            types.setdefault(f.name, f.dataType)
+    values = [c for c in types if c not in keys]
+    aligned = [
+        p.select(*[F.col(c) if c in p.columns else F.lit(None).cast(types[c]).alias(c) for c in keys + values])
+        for p in parts
+    ]
+    stacked = aligned[0]
+    for p in aligned[1:]:
+        stacked = stacked.unionByName(p)
+    aggs = [F.max(c).alias(c) for c in values]
+    return stacked.groupBy(*keys).agg(*aggs) if keys else stacked.agg(*aggs)

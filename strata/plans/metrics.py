@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.blank import blank_add, blank_div, blank_sub, nonblank
-from strata.operators.joins import is_small
+from strata.operators.joins import is_small, merge_on_keys
 
 NOT_BLANK = "__not_blank__"
 
@@ -462,24 +462,5 @@ def row(model: Model, measures: Sequence[str], filters: dict[str, FilterValue] |
 
 
 def _combine(parts: list[DataFrame], keys: list[str]) -> DataFrame:
-    if len(parts) == 1:
-        return parts[0]
-    if not keys:
-        # Each part is a global aggregate: exactly one row. Attach the others
-        # as scalar subqueries instead of a cartesian product.
-        first = parts[0]
-        extra = []
-        for p in parts[1:]:
-            packed = p.select(F.struct(*p.columns).alias("v")).scalar()
-            extra.extend(packed.getField(c).alias(c) for c in p.columns)
-        return first.select("*", *extra)
-
-    def join(a: DataFrame, b: DataFrame) -> DataFrame:
-        b2 = b.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-        cond = [a[k].eqNullSafe(b2[f"__r_{k}"]) for k in keys]
-        j = a.join(b2, cond, "full")
-        return j.select(*[F.coalesce(F.col(k), F.col(f"__r_{k}")).alias(k) for k in keys],
-                        *[c for c in a.columns if c not in keys],
-                        *[c for c in b.columns if c not in keys])
-
-    return reduce(join, parts)
+    """Per-home-table results, each unique on the group keys, side by side."""
+    return merge_on_keys(parts, keys)

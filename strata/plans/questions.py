@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import checked_broadcast, key_set_difference
+from strata.operators.joins import checked_broadcast, key_set_difference, merge_on_keys
 from strata.operators.reconcile import reconcile, reconcile_summary
 from strata.operators.topn import top_n_with_ties
 from strata.plans.metrics import Model, row, summarize
@@ -147,21 +147,21 @@ def model_coverage(model: Model) -> DataFrame:
     def blank_distinct(df: DataFrame, c: str):
         return F.count_distinct(c) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
 
-    head = fact.agg(
-        F.count(F.lit(1)).alias("fact_delivery_records"),
-        blank_distinct(fact, "event_id").cast("bigint").alias("distinct_event_ids"),
-        blank_distinct(fact, "event_group_id").cast("bigint").alias("distinct_event_groups"),
-    )
-    scalars = {
-        "date_rows": t["date"].agg(F.count(F.lit(1))),
-        "location_rows": t["location"].agg(F.count(F.lit(1))),
-        "educator_rows": t["educator"].agg(F.count(F.lit(1))),
-        "bridge_assignments": bridge.agg(F.count(F.lit(1))),
-        "distinct_staffed_event_ids": bridge.agg(blank_distinct(bridge, "event_id").cast("bigint")),
-        "events_without_educators": key_set_difference(fact, ["event_id"], bridge, ["event_id"]).agg(
-            F.count(F.lit(1))),
-    }
-    return head.select("*", *[df.scalar().alias(name) for name, df in scalars.items()])
+    parts = [
+        fact.agg(
+            F.count(F.lit(1)).alias("fact_delivery_records"),
+            blank_distinct(fact, "event_id").cast("bigint").alias("distinct_event_ids"),
+            blank_distinct(fact, "event_group_id").cast("bigint").alias("distinct_event_groups"),
+        ),
+        t["date"].agg(F.count(F.lit(1)).alias("date_rows")),
+        t["location"].agg(F.count(F.lit(1)).alias("location_rows")),
+        t["educator"].agg(F.count(F.lit(1)).alias("educator_rows")),
+        bridge.agg(F.count(F.lit(1)).alias("bridge_assignments"),
+                   blank_distinct(bridge, "event_id").cast("bigint").alias("distinct_staffed_event_ids")),
+        key_set_difference(fact, ["event_id"], bridge, ["event_id"]).agg(
+            F.count(F.lit(1)).alias("events_without_educators")),
+    ]
+    return merge_on_keys(parts, [])
 
 
 def reconcile_region_reach(fact: DataFrame, location: DataFrame, model: Model) -> DataFrame:

@@ -130,3 +130,15 @@ def test_reconcile(spark):
     status = {r.k: r.status for r in cmp.collect()}
     assert status == {"x": "match", "y": "mismatch", None: "match", "z": "only_right"}
     assert tuple(reconcile_summary(cmp).collect()[0]) == (4, 2, 1, 0, 1)
+
+
+def test_merge_on_keys_is_a_null_safe_full_outer_merge(spark):
+    from strata.operators import merge_on_keys
+
+    a = spark.createDataFrame([("x", 1), (None, 2)], "k string, a bigint")
+    b = spark.createDataFrame([("x", 1.5), ("y", 2.5), (None, 3.5)], "k string, b double")
+    got = {r.k: (r.a, r.b) for r in merge_on_keys([a, b], ["k"]).collect()}
+    assert got == {"x": (1, 1.5), "y": (None, 2.5), None: (2, 3.5)}
+    one = merge_on_keys([a.agg(F.sum("a").alias("sa")), b.agg(F.max("b").alias("mb"))], [])
+    assert tuple(one.collect()[0]) == (3, 3.5)
+    assert "CartesianProduct" not in one._jdf.queryExecution().executedPlan().toString()
