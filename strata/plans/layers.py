@@ -7,7 +7,9 @@
 3. run the layer's checks over the **stored** tables (cheap scans, no
    recomputation of the build) and gate: any failed error-severity check
    raises before the layer is handed on;
-4. hand the stored tables — not the lazy plans — to the next layer.
+4. publish the run in the layer's manifest (``sources.sinks.publish``) —
+   readers of the layer (``sources.sinks.published``) only ever see runs
+   that passed their checks — and hand the stored tables on.
 
 Writing before checking avoids the double execution of "check, then write"
 (the same lazy plan evaluated twice, possibly with different survivors),
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 from strata.operators.quality import Check, gate, run_checks
-from strata.sources.sinks import read_layer, row_counts, write_layer
+from strata.sources.sinks import publish, read_layer, row_counts, write_layer
 
 Builder = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
 
@@ -59,15 +61,16 @@ def run_layer(
     fmt: str = "parquet",
     run_id: str | None = None,
 ) -> LayerResult:
+    run_id = run_id or uuid.uuid4().hex
     built = layer.build(inputs)
     paths = write_layer(spark, built, root, layer.name, fmt, layer.audit_column, run_id, layer.partition_by)
     schemas = {name: df.schema for name, df in built.items()} if layer.audit_column is None else None
     stored = read_layer(spark, paths, fmt, schemas)
-    if not layer.checks:
-        return LayerResult(layer.name, paths, stored, [], None)
-    check_tables = {**inputs, **stored}
-    checks = run_checks(check_tables, layer.checks, layer.name)
-    rows = gate(checks)
+    checks, rows = None, []
+    if layer.checks:
+        checks = run_checks({**inputs, **stored}, layer.checks, layer.name)
+        rows = gate(checks)  # raises before the run is published
+    publish(spark, root, layer.name, paths, run_id or "", fmt)
     return LayerResult(layer.name, paths, stored, rows, checks)
 
 

@@ -88,3 +88,28 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def publish(spark: SparkSession, root: str, layer: str, paths: dict[str, str], run_id: str,
+            fmt: str = "parquet") -> str:
+    """Record a checked run as the current version of a layer.
+
+    Appends one manifest row per table (table, path, format, run id, time)
+    under ``<root>/_manifest/<layer>``; readers take the latest run there. A
+    run whose checks failed is never published, so it is never read."""
+    rows = [(name, path, fmt, run_id) for name, path in paths.items()]
+    manifest = spark.createDataFrame(rows, "table_name string, path string, format string, run_id string")
+    manifest = manifest.select("*", F.current_timestamp().alias("published_at"))
+    location = f"{root.rstrip('/')}/_manifest/{layer}"
+    manifest.coalesce(1).write.mode("append").json(location)
+    return location
+
+
+def published(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame]:
+    """The tables of the latest published run of ``layer``."""
+    location = f"{root.rstrip('/')}/_manifest/{layer}"
+    schema = "table_name string, path string, format string, run_id string, published_at timestamp"
+    manifest = spark.read.schema(schema).json(location)
+    latest = manifest.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).limit(1).select("run_id")
+    rows = manifest.join(latest, "run_id").select("table_name", "path", "format").collect()  # one per table
+    return {r.table_name: spark.read.format(r.format).load(r.path) for r in rows}
\ No newline at end of file

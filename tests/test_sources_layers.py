@@ -8,6 +8,7 @@ from strata.operators import quality as Q
 from strata.plans.layers import Layer, check_report, run_layers
 from strata.session import scratch_path
 from strata.sources import SchemaMismatch, assert_schema, read_csv, spec
+from strata.sources.sinks import published
 
 
 def _write(spark, name, text):
@@ -60,6 +61,8 @@ def test_layers_write_check_and_hand_off(spark):
     assert check_report(results).filter("NOT passed").count() == 0
     counts = {r.table_name: r.row_count for r in results[0].row_counts().collect()}
     assert counts == {"silver_items": 3}
+    latest = published(spark, root, "gold")
+    assert {r.parent: r.n for r in latest["summary"].collect()} == {"p": 2, "q": 1}
 
 
 def test_gate_stops_before_next_layer(spark):
@@ -69,6 +72,8 @@ def test_gate_stops_before_next_layer(spark):
     with pytest.raises(QualityGateError) as err:
         run_layers(spark, _tiny_layers(2), {"raw": raw, "parents": parents}, root)
     assert "items_parent_fk_parents" in str(err.value)
+    with pytest.raises(Exception):  # the failed run was never published
+        published(spark, root, "silver")
 
 
 def test_scratch_path_is_under_checkpoint_dir(spark):
