@@ -292,7 +292,6 @@ class _Branch:
 
         conds = {m.name: self._condition(m, folded) for m in self.measures}
         home_keys = [c for c in need.get(self.home, [])]  # own group cols + FKs
-        distinct_cols = [m.column for m in self.measures if m.agg == "distinct"]
 
         def when(m: Measure, value: Column) -> Column:
             c = conds[m.name]
@@ -305,7 +304,7 @@ class _Branch:
             cur = home_df.select(*home_proj, *[F.col(c) for c in self._measure_cols()],
                                  *[F.col(c) for c in self._cond_cols() if c not in self._measure_cols()])
             cur = self._join(cur, edges, dims, filtered, broadcast=True)
-            aggs = [self._final_direct(m, when) for m in self.measures]
+            aggs = [self._final_direct(m, conds[m.name]) for m in self.measures]
         else:
             # Pre-aggregate by join keys (+ distinct columns), then join.
             flags = []
@@ -328,7 +327,6 @@ class _Branch:
             pre = home_df.groupBy(*pre_keys).agg(*partials) if partials else home_df.select(*pre_keys).distinct()
             cur = self._join(pre, edges, dims, filtered, broadcast=False)
             aggs = [self._final_merge(i, m, i in flags) for i, m in enumerate(self.measures)]
-        del distinct_cols
         group_cols = [F.col(_alias(t, c)).alias(c) for t, c in self.group]
         return cur.groupBy(*group_cols).agg(*aggs) if group_cols else cur.agg(*aggs)
 
@@ -368,29 +366,24 @@ class _Branch:
                 cur = cur.drop(right_key)
         return cur
 
-    def _final_direct(self, m: Measure, when: Callable[[Measure, Column], Column]) -> Column:
+    def _final_direct(self, m: Measure, cond: Column | None) -> Column:
+        def when(value: Column) -> Column:
+            return value if cond is None else F.when(cond, value)
+
         if m.agg == "sum":
-            out = F.sum(when(m, F.col(m.column)))
+            out = F.sum(when(F.col(m.column)))
         elif m.agg == "count_rows":
-            out = F.nullif(F.count(when(m, F.lit(1))), F.lit(0))
+            out = F.nullif(F.count(when(F.lit(1))), F.lit(0))
         elif m.agg == "avg":
-            out = F.avg(when(m, F.col(m.column)))
+            out = F.avg(when(F.col(m.column)))
         elif m.agg == "distinct":
             c = F.col(m.column)
-            cond = None
-            if self._condition_is_set(m):
-                cond = when(m, F.lit(True))
-            present = c if cond is None else F.when(cond, c)
             is_blank = c.isNull() if cond is None else (F.coalesce(cond, F.lit(False)) & c.isNull())
-            out = F.nullif(F.count_distinct(present) + F.max(F.when(is_blank, 1).otherwise(0)), F.lit(0))
+            out = F.nullif(F.count_distinct(when(c)) + F.max(F.when(is_blank, 1).otherwise(0)), F.lit(0))
         else:
             raise ModelError(m.agg)
         return out.alias(m.name)
 
-    def _condition_is_set(self, m: Measure) -> bool:
-        row_filters, folded = self._home_filters()
-        return self._condition(m, folded) is not None
-
     def _final_merge(self, i: int, m: Measure, flagged: bool) -> Column:
         if m.agg == "sum":
             out = F.sum(f"__s{i}")

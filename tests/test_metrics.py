@@ -101,3 +101,30 @@ def test_empty_context_gives_blank_row(model):
     r = row(model, ["total_delivery_records", "total_event_groups", "attendance_rate"],
             {"location.region": ["nowhere"]}).collect()[0]
     assert tuple(r) == (None, None, None)
+
+
+def test_hot_key_third_of_rows(spark):
+    """One location carries a third of the fact: both physical paths agree."""
+    from pyspark.sql import functions as F
+
+    n = 3000
+    fact = spark.range(n).select(
+        F.concat(F.lit("E"), F.col("id").cast("string")).alias("event_id"),
+        (F.col("id") % 97).cast("string").alias("event_group_id"),
+        F.lit(1).alias("event_date_key"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("L"), (F.col("id") % 50).cast("string")))
+        .alias("location_id"),
+        F.lit(1).alias("delivery_count"),
+        (F.col("id") % 7).cast("int").alias("people_reached"),
+    )
+    locs = spark.range(50).select(F.concat(F.lit("L"), F.col("id").cast("string")).alias("location_id"),
+                                  (F.col("id") % 5).cast("string").alias("region"))
+    locs = locs.unionByName(spark.createDataFrame([("HOT", "R-hot")], "location_id string, region string"))
+    date = spark.createDataFrame([(1, "2026-01")], "date_key int, year_month string")
+    empty = spark.createDataFrame([], "educator_id string")
+    bridge = spark.createDataFrame([], "event_id string, educator_id string, hours_worked double")
+    model = delivery_model(fact, date, locs, empty, bridge)
+    got = rows(both_paths(model, ["location.region"], ["total_delivery_records", "total_event_groups",
+                                                        "total_people_reached", "locations_reached"]))
+    assert got["R-hot"][0] == n // 3 and got["R-hot"][3] == 1
+    assert sum(v[0] for v in got.values()) == n
