@@ -134,7 +134,14 @@ def _filter_expr(c: Column, value: FilterValue) -> Column:
     values = list(value)
     if not values:  # an empty slicer selection means "no filter"
         return F.lit(True)
-    return c.isin(*values)
+    present = [v for v in values if v is not None]
+    expr = c.isin(*present) if present else F.lit(False)
+    return expr | c.isNull() if len(present) < len(values) else expr
+
+
+def _selects_blank(value: FilterValue) -> bool:
+    """A slicer selection that includes the blank (null) member."""
+    return not callable(value) and not isinstance(value, str) and any(v is None for v in value)
 
 
 def _base_closure(model: Model, names: Sequence[str]) -> list[str]:
@@ -196,6 +203,11 @@ class _Branch:
             if route is not None:  # unreachable tables do not filter this home table
                 self.routes.setdefault(table, route)
                 self.active_filters[(table, col)] = value
+        # A dimension filter that selects the blank member must see the fact
+        # rows without a match, so it is applied after a left join instead of
+        # on the dimension before an inner join.
+        self.post_filters = {k: v for k, v in self.active_filters.items()
+                             if k[0] != home and _selects_blank(v)}
 
     # -- home-table columns ---------------------------------------------------
     def _overrides(self, m: Measure) -> set[str]:
@@ -250,6 +262,8 @@ class _Branch:
 
         for t, c in self.group:
             add(t, c)
+        for t, c in self.post_filters:
+            add(t, c)
         for r in edges:
             add(r.from_table, r.from_col)
         return need
@@ -257,7 +271,7 @@ class _Branch:
     def _filtered_tables(self, edges: list[Relationship]) -> set[str]:
         """Tables whose join must drop unmatched rows (they, or a table
         beyond them, carry a filter)."""
-        direct = {t for (t, _) in self.active_filters if t != self.home}
+        direct = {t for k in self.active_filters if (t := k[0]) != self.home and k not in self.post_filters}
         out = set(direct)
         changed = True
         while changed:
@@ -271,7 +285,7 @@ class _Branch:
     def _dimension(self, table: str, cols: list[str], key: str) -> DataFrame:
         df = self.model.tables[table]
         for (t, c), value in self.active_filters.items():
-            if t == table:
+            if t == table and (t, c) not in self.post_filters:
                 df = df.filter(_filter_expr(F.col(c), value))
         keep = [key] + [c for c in cols if c != key]
         return df.select(*[F.col(c).alias(_alias(table, c)) for c in keep])
@@ -349,7 +363,8 @@ class _Branch:
 
     def _join(self, cur: DataFrame, edges: list[Relationship], dims: dict[str, DataFrame],
               filtered: set[str], broadcast: bool) -> DataFrame:
-        needed_attrs = {t for t, _ in self.group}
+        needed_attrs = {t for t, _ in self.group} | {t for t, _ in self.post_filters}
+        keep_cols = {_alias(t, c) for t, c in self.group} | {_alias(t, c) for t, c in self.post_filters}
         for r in edges:
             dim = dims[r.to_table]
             if broadcast:
@@ -362,8 +377,10 @@ class _Branch:
                 continue
             how = "inner" if r.to_table in filtered else "left"
             cur = cur.join(dim, cur[left_key] == dim[right_key], how)
-            if right_key not in [_alias(t, c) for t, c in self.group] and right_key != left_key:
+            if right_key not in keep_cols and right_key != left_key:
                 cur = cur.drop(right_key)
+        for (t, c), value in self.post_filters.items():
+            cur = cur.filter(_filter_expr(F.col(_alias(t, c)), value))
         return cur
 
     def _final_direct(self, m: Measure, cond: Column | None) -> Column:

@@ -128,3 +128,14 @@ def test_hot_key_third_of_rows(spark):
                                                         "total_people_reached", "locations_reached"]))
     assert got["R-hot"][0] == n // 3 and got["R-hot"][3] == 1
     assert sum(v[0] for v in got.values()) == n
+
+
+def test_slicer_can_select_the_blank_member(model):
+    got = rows(both_paths(model, ["location.region"], ["total_delivery_records"],
+                          {"location.region": [None, "R2"]}))
+    assert got == {None: (1,), "R2": (1,)}
+    r = row(model, ["total_delivery_records", "educator_hours"], {"location.region": [None]}).collect()[0]
+    assert tuple(r) == (1, None)  # E3 only; it has no staff
+    got = rows(both_paths(model, ["fact.event_type"], ["total_delivery_records"],
+                          {"fact.event_group_id": [None, "g2"]}))
+    assert got == {"Training": (2,)}
