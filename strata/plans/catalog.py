@@ -545,9 +545,15 @@ def rv_slicer_members(spark, sf_dir):
     return report.slicer_members(_gold(spark, sf_dir).model())
 
 
+def _bucket_count(spark) -> int:
+    # as many buckets as shuffle partitions, so bucketed joins line up with
+    # shuffled ones; capped for these small runs (set it explicitly at scale)
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 32))
+
+
 def _layered(spark, sf_dir):
     root = scratch_path(spark, "layered")
-    return run_layers(spark, standin.layers(), standin.load(spark, sf_dir), root)
+    return run_layers(spark, standin.layers(_bucket_count(spark)), standin.load(spark, sf_dir), root)
 
 
 @query("layered_build_checks")
@@ -587,7 +593,7 @@ def sql_catalog_monthly_trend(spark, sf_dir):
     """SQL text over external catalog tables (database ``dbo``) that point at
     the stored Gold layer of a gated layered build."""
     root = scratch_path(spark, "catalog")
-    results = run_layers(spark, standin.layers(), standin.load(spark, sf_dir), root)
+    results = run_layers(spark, standin.layers(_bucket_count(spark)), standin.load(spark, sf_dir), root)
     gold_paths = {sql_questions.GOLD_NAMES[k]: p for k, p in results[-1].paths.items()}
     register_tables(spark, gold_paths, "dbo", f"{root}/dbo.db")
     return spark.sql(sql_questions.sql_text("monthly_trend", "dbo"))

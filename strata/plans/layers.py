@@ -39,6 +39,9 @@ class Layer:
     checks: list[Check] = field(default_factory=list)
     audit_column: str | None = None
     partition_by: dict[str, list[str]] = field(default_factory=dict)
+    # table -> (number of buckets, columns): stored hash-bucketed and sorted,
+    # registered in the run's catalog database so readers keep the layout
+    buckets: dict[str, tuple[int, list[str]]] = field(default_factory=dict)
 
 
 @dataclass
@@ -63,17 +66,31 @@ def run_layer(
 ) -> LayerResult:
     run_id = run_id or uuid.uuid4().hex
     built = layer.build(inputs)
-    paths = write_layer(spark, built, root, layer.name, fmt, layer.audit_column, run_id, layer.partition_by)
+    catalog_tables = {}
+    if layer.buckets:
+        database = layer_database(spark, root)
+        catalog_tables = {name: f"{database}.{layer.name}_{name}_{run_id}" for name in layer.buckets}
+    paths = write_layer(spark, built, root, layer.name, fmt, layer.audit_column, run_id, layer.partition_by,
+                        buckets=layer.buckets, catalog_tables=catalog_tables)
     schemas = {name: df.schema for name, df in built.items()} if layer.audit_column is None else None
-    stored = read_layer(spark, paths, fmt, schemas)
+    stored = read_layer(spark, paths, fmt, schemas, catalog_tables)
     checks, rows = None, []
     if layer.checks:
         checks = run_checks({**inputs, **stored}, layer.checks, layer.name)
         rows = gate(checks)  # raises before the run is published
-    publish(spark, root, layer.name, paths, run_id or "", fmt)
+    publish(spark, root, layer.name, paths, run_id, fmt, catalog_tables)
     return LayerResult(layer.name, paths, stored, rows, checks)
 
 
+def layer_database(spark: SparkSession, root: str) -> str:
+    """A catalog database for the bucketed tables of runs under ``root``;
+    its location is inside ``root`` (shared storage), never the local
+    default warehouse."""
+    name = "strata_layers_" + uuid.uuid5(uuid.NAMESPACE_URL, root).hex[:12]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{root.rstrip('/')}/_catalog'")
+    return name
+
+
 def run_layers(
     spark: SparkSession,
     layers: list[Layer],

@@ -218,12 +218,20 @@ def gold_checks(coverage_severity: str = "error") -> list[Q.Check]:
     ]
 
 
-def layers() -> list[Layer]:
+def layers(bucket_count: int | None = None) -> list[Layer]:
     """Silver and Gold as gated layers. Orders without any line are genuine
-    unstaffed deliveries here, so staffing coverage is a warning."""
+    unstaffed deliveries here, so staffing coverage is a warning.
+
+    With ``bucket_count`` the big tables are stored bucketed on their join
+    key: Silver lines and orders by order key (the Gold roll-up, the bridge
+    and the orders ⟕ roll-up join then need no shuffle), Gold fact and bridge
+    by ``event_id`` (bridge → fact joins need no shuffle)."""
+    n = bucket_count
+    silver_buckets = {"lineitem": (n, ["l_orderkey"]), "orders": (n, ["o_orderkey"])} if n else {}
+    gold_buckets = {"fact": (n, ["event_id"]), "bridge": (n, ["event_id"])} if n else {}
     return [
-        Layer("silver", silver_tables, silver_checks()),
-        Layer("gold", gold_tables, gold_checks(coverage_severity="warning")),
+        Layer("silver", silver_tables, silver_checks(), buckets=silver_buckets),
+        Layer("gold", gold_tables, gold_checks(coverage_severity="warning"), buckets=gold_buckets),
     ]
 
 

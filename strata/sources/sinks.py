@@ -27,11 +27,23 @@ def write_table(
     path: str,
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
+    bucket_by: tuple[int, list[str]] | None = None,
+    catalog_table: str | None = None,
 ) -> str:
+    """Overwrite ``path``. With ``bucket_by=(n, cols)`` the data is also
+    hash-bucketed and sorted by ``cols`` and registered as the external
+    catalog table ``catalog_table`` (bucketing lives in the catalog), so
+    later joins and aggregations on those columns need no shuffle."""
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if bucket_by:
+        if not catalog_table:
+            raise ValueError("a bucketed table needs a catalog table name")
+        n, cols = bucket_by
+        writer.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(catalog_table)
+    else:
+        writer.save(path)
     return path
 
 
@@ -45,6 +57,8 @@ def write_layer(
     run_id: str | None = None,
     partition_by: dict[str, list[str]] | None = None,
     max_parallel: int = 4,
+    buckets: dict[str, tuple[int, list[str]]] | None = None,
+    catalog_tables: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Write every table of a layer to a fresh run folder; return name -> path.
 
@@ -56,7 +70,8 @@ def write_layer(
     def write(name: str) -> None:
         df = tables[name]
         out = df if audit_column is None else with_audit_timestamp(df, audit_column)
-        write_table(out, paths[name], fmt, (partition_by or {}).get(name))
+        write_table(out, paths[name], fmt, (partition_by or {}).get(name), (buckets or {}).get(name),
+                    (catalog_tables or {}).get(name))
 
     with ThreadPoolExecutor(max_workers=max(1, min(len(tables), max_parallel))) as pool:
         list(pool.map(write, tables))
@@ -68,10 +83,15 @@ def read_layer(
     paths: dict[str, str],
     fmt: str = "parquet",
     schemas: dict[str, StructType] | None = None,
+    catalog_tables: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Read stored layer tables; known schemas skip the inference job."""
+    """Read stored layer tables; known schemas skip the inference job and
+    catalog tables keep their bucketing."""
     out = {}
     for name, path in paths.items():
+        if catalog_tables and name in catalog_tables:
+            out[name] = spark.table(catalog_tables[name])
+            continue
         reader = spark.read.format(fmt)
         if schemas and name in schemas:
             reader = reader.schema(schemas[name])
@@ -91,14 +111,15 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def publish(spark: SparkSession, root: str, layer: str, paths: dict[str, str], run_id: str,
-            fmt: str = "parquet") -> str:
+            fmt: str = "parquet", catalog_tables: dict[str, str] | None = None) -> str:
     """Record a checked run as the current version of a layer.
 
     Appends one manifest row per table (table, path, format, run id, time)
     under ``<root>/_manifest/<layer>``; readers take the latest run there. A
     run whose checks failed is never published, so it is never read."""
-    rows = [(name, path, fmt, run_id) for name, path in paths.items()]
-    manifest = spark.createDataFrame(rows, "table_name string, path string, format string, run_id string")
+    rows = [(name, path, fmt, run_id, (catalog_tables or {}).get(name)) for name, path in paths.items()]
+    manifest = spark.createDataFrame(
+        rows, "table_name string, path string, format string, run_id string, catalog_table string")
     manifest = manifest.select("*", F.current_timestamp().alias("published_at"))
     location = f"{root.rstrip('/')}/_manifest/{layer}"
     manifest.coalesce(1).write.mode("append").json(location)
@@ -108,8 +129,10 @@ def publish(spark: SparkSession, root: str, layer: str, paths: dict[str, str], r
 def published(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame]:
     """The tables of the latest published run of ``layer``."""
     location = f"{root.rstrip('/')}/_manifest/{layer}"
-    schema = "table_name string, path string, format string, run_id string, published_at timestamp"
+    schema = ("table_name string, path string, format string, run_id string, catalog_table string, "
+              "published_at timestamp")
     manifest = spark.read.schema(schema).json(location)
     latest = manifest.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).limit(1).select("run_id")
-    rows = manifest.join(latest, "run_id").select("table_name", "path", "format").collect()  # one per table
-    return {r.table_name: spark.read.format(r.format).load(r.path) for r in rows}
\ No newline at end of file
+    rows = manifest.join(latest, "run_id").select("table_name", "path", "format", "catalog_table").collect()
+    return {r.table_name: spark.table(r.catalog_table) if r.catalog_table else spark.read.format(r.format).load(r.path)
+            for r in rows}  # one row per table
\ No newline at end of file
