@@ -80,3 +80,15 @@ def test_scratch_path_is_under_checkpoint_dir(spark):
     ckpt = spark.sparkContext.getCheckpointDir()
     assert ckpt and scratch_path(spark, "x").startswith(ckpt.rstrip("/"))
     assert os.path.basename(scratch_path(spark, "x")) != os.path.basename(scratch_path(spark, "x"))
+
+
+def test_bucketed_layer_tables_avoid_shuffles(spark):
+    raw = spark.range(200).select((F.col("id") % 17).alias("k"), F.col("id").alias("v"))
+    layer = Layer("silver", lambda t: {"items": t["raw"]}, [Q.row_count("items", 200)], buckets={"items": (4, ["k"])})
+    root = scratch_path(spark, "bucketed")
+    (result,) = run_layers(spark, [layer], {"raw": raw}, root)
+    agg = result.tables["items"].groupBy("k").agg(F.sum("v").alias("s"))
+    assert agg.count() == 17
+    plan = agg._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert published(spark, root, "silver")["items"].count() == 200
