@@ -293,8 +293,7 @@ def dq_summary(spark, sf_dir):
 def staffing_summary(spark, sf_dir):
     """Staff count per delivery; unstaffed deliveries kept with a null count."""
     g = _gold(spark, sf_dir)
-    staff = g.bridge.groupBy("event_id").agg(F.count("educator_id").alias("educator_count"))
-    return g.fact.select("event_id", "event_name").join(staff, "event_id", "left")
+    return questions.staffing(g.fact, g.bridge)
 
 
 # -- step 4: business questions ------------------------------------------------

@@ -110,6 +110,17 @@ def outreach_regions(fact: DataFrame, location: DataFrame) -> DataFrame:
     )
 
 
+def staffing(fact: DataFrame, bridge: DataFrame, name_contains: str | None = None) -> DataFrame:
+    """Staff count per delivery (left join to a per-event pre-aggregate, so
+    unstaffed deliveries keep a null count); optionally only deliveries whose
+    name contains a text."""
+    staff = bridge.groupBy("event_id").agg(F.count("educator_id").alias("educator_count"))
+    events = fact.select("event_id", "event_name")
+    if name_contains:
+        events = events.filter(F.col("event_name").contains(name_contains))
+    return events.join(staff, "event_id", "left")
+
+
 # -- metric-layer questions ---------------------------------------------------
 
 SUBURB_MEASURES = ["total_delivery_records", "total_people_reached", "average_people_reached_per_delivery",

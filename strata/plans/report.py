@@ -83,3 +83,9 @@ def slicer_members(model: Model, slicers=PAGE1_SLICERS + ("fact.programme_type",
 def formatted(df: DataFrame, model: Model, measures: list[str]) -> DataFrame:
     """Add ``<measure>_text`` columns rendered with each measure's format."""
     return df.select("*", *[format_measure(F.col(m), model.measures[m].fmt).alias(f"{m}_text") for m in measures])
+
+
+def preview(df: DataFrame, n: int = 10, order_by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows for display (returned, not printed). With
+    ``order_by`` (a unique key) the rows are deterministic."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

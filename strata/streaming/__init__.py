@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analytics project this library re-expresses reads and writes in batch
+only — full-overwrite layers, no streams, watermarks, windows or stateful
+operators — so no streaming operators are offered. A layered build can be
+re-run on new files (each run writes a fresh, gated, published version).
+"""

@@ -17,6 +17,8 @@ from strata.plans.layers import Layer
 from strata.plans.star import date_table
 from strata.sources.schema import spec
 
+# The four source files' columns, in file order, with the type
+# each column has once cleaned.
 EVENTS = spec(
     "events",
     "event_id string, event_group_id string, event_name string, event_date date, event_type string, "
