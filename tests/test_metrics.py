@@ -139,3 +139,8 @@ def test_slicer_can_select_the_blank_member(model):
     got = rows(both_paths(model, ["fact.event_type"], ["total_delivery_records"],
                           {"fact.event_group_id": [None, "g2"]}))
     assert got == {"Training": (2,)}
+
+
+def test_business_view_hides_columns(model):
+    cols = model.business_view("fact").columns
+    assert "attendance_rate" not in cols and "location_id" not in cols and "event_type" in cols
