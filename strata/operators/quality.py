@@ -7,8 +7,11 @@ Each check yields one row of a check table::
 
 Scalar checks on the same table (row count, nulls, ranges, distinct count)
 are folded into **one** aggregate per table — one scan, however many checks.
-Keyed checks (uniqueness, foreign keys, coverage) are one aggregate or
-anti-join each; their child sides are pre-aggregated per key first.
+Keyed checks: uniqueness is one grouped count; a foreign key into a small
+(size-checked) parent key set is a broadcast anti-join; otherwise a foreign
+key and the coverage of the same key pair come from one shared key profile
+(both key sets stacked and grouped once); orphan-row counts pre-aggregate
+the child per key before the anti-join.
 The gate collects only the check table (one row per check) to the driver.
 """
 
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import duplicate_keys
-from strata.operators.joins import orphan_keys, orphan_rows, uncovered_parents
+from strata.operators.joins import is_small, orphan_rows
 
 SCALAR_KINDS = {"row_count", "distinct_count", "not_null", "in_range"}
 
@@ -99,20 +102,56 @@ def _observed_expr(check: Check) -> Column:
     raise ValueError(check.kind)
 
 
-def _keyed_observed(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
-    df = tables[check.table]
+def _pair_profile(child: DataFrame, child_cols: Sequence[str], parent: DataFrame,
+                  parent_cols: Sequence[str]) -> DataFrame:
+    """One row: ``orphans`` (distinct child keys without a parent) and
+    ``uncovered`` (parent rows whose key no child uses).
+
+    Both key sets are stacked with presence flags and grouped once — one
+    exchange, combined map-side, so hot keys collapse before the shuffle.
+    A key containing null never matches anything (join semantics)."""
+    names = [f"__k{i}" for i in range(len(child_cols))]
+    c = child.select(*[F.col(x).alias(n) for x, n in zip(child_cols, names)],
+                     F.lit(1).alias("__c"), F.lit(0).cast("bigint").alias("__p"))
+    p = parent.select(*[F.col(x).alias(n) for x, n in zip(parent_cols, names)],
+                      F.lit(0).alias("__c"), F.lit(1).cast("bigint").alias("__p"))
+    per_key = c.unionByName(p).groupBy(*names).agg(F.max("__c").alias("__c"), F.sum("__p").alias("__p"))
+    has_null = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
+    return per_key.agg(
+        F.count(F.when((F.col("__c") == 1) & ((F.col("__p") == 0) | has_null), F.lit(1))).alias("orphans"),
+        F.coalesce(F.sum(F.when((F.col("__c") == 0) | has_null, F.col("__p"))), F.lit(0)).alias("uncovered"),
+    )
+
+
+def _pair(check: Check) -> tuple:
+    """(child table, child cols, parent table, parent cols) of a key check."""
+    if check.kind == "foreign_key":
+        return check.table, check.columns, check.ref_table, check.ref_columns
+    return check.ref_table, check.ref_columns, check.table, check.columns  # coverage
+
+
+def _keyed_observed(check: Check, tables: dict[str, DataFrame], profiles: dict[tuple, DataFrame],
+                    covered_pairs: set[tuple]) -> DataFrame:
+    if check.kind == "foreign_key" and _pair(check) not in covered_pairs:
+        names = [f"__k{i}" for i in range(len(check.columns))]
+        parents = tables[check.ref_table].select(*[F.col(x).alias(n) for x, n in zip(check.ref_columns, names)])
+        if is_small(parents):  # a small parent key set: broadcast anti-join, no parent shuffle
+            children = tables[check.table].select(*[F.col(x).alias(n) for x, n in zip(check.columns, names)])
+            hits = children.distinct().join(F.broadcast(parents), names, "left_anti")  # null never matches
+            return hits.agg(F.count(F.lit(1)).alias("observed"))
     if check.kind == "unique":
-        hits = duplicate_keys(df, check.columns)
-    elif check.kind == "foreign_key":
-        hits = orphan_keys(df, check.columns, tables[check.ref_table], check.ref_columns)
-    elif check.kind == "foreign_key_rows":
-        return orphan_rows(df, check.columns, tables[check.ref_table], check.ref_columns).agg(
+        return duplicate_keys(tables[check.table], check.columns).agg(F.count(F.lit(1)).alias("observed"))
+    if check.kind == "foreign_key_rows":
+        return orphan_rows(tables[check.table], check.columns, tables[check.ref_table], check.ref_columns).agg(
             F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("observed"))
-    elif check.kind == "coverage":
-        hits = uncovered_parents(df, check.columns, tables[check.ref_table], check.ref_columns)
-    else:
-        raise ValueError(f"unknown check kind {check.kind!r}")
-    return hits.agg(F.count(F.lit(1)).alias("observed"))
+    if check.kind in ("foreign_key", "coverage"):
+        pair = _pair(check)
+        if pair not in profiles:
+            ct, cc, pt, pc = pair
+            profiles[pair] = _pair_profile(tables[ct], cc, tables[pt], pc)
+        column = "orphans" if check.kind == "foreign_key" else "uncovered"
+        return profiles[pair].select(F.col(column).alias("observed"))
+    raise ValueError(f"unknown check kind {check.kind!r}")
 
 
 def _row(check: Check, layer: str, observed: Column) -> Column:
@@ -138,9 +177,12 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], layer: str
         wide = tables[table].agg(*[_observed_expr(c).alias(f"__o{i}") for i, c in enumerate(cs)])
         rows = F.array(*[_row(c, layer, F.col(f"__o{i}")) for i, c in enumerate(cs)])
         parts.append(wide.select(F.inline(rows)))
+    profiles: dict[tuple, DataFrame] = {}  # a foreign key and its coverage share one profile
+    covered_pairs = {_pair(c) for c in checks if c.kind == "coverage"}
     for c in checks:
         if c.kind not in SCALAR_KINDS:
-            parts.append(_keyed_observed(c, tables).select(F.inline(F.array(_row(c, layer, F.col("observed"))))))
+            observed = _keyed_observed(c, tables, profiles, covered_pairs)
+            parts.append(observed.select(F.inline(F.array(_row(c, layer, F.col("observed"))))))
     if not parts:
         raise ValueError("no checks given")
     table = reduce(DataFrame.unionByName, parts)
