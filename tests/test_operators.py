@@ -142,3 +142,17 @@ def test_merge_on_keys_is_a_null_safe_full_outer_merge(spark):
     one = merge_on_keys([a.agg(F.sum("a").alias("sa")), b.agg(F.max("b").alias("mb"))], [])
     assert tuple(one.collect()[0]) == (3, 3.5)
     assert "CartesianProduct" not in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_foreign_key_and_coverage_paths_agree(spark):
+    child = spark.createDataFrame([(1,), (1,), (4,), (None,)], "k long")
+    small_parent = spark.range(0, 3).withColumnRenamed("id", "k")            # size known: broadcast anti-join
+    rdd_parent = spark.createDataFrame([(0,), (1,), (2,), (2,), (None,)], "k long")  # size unknown: profile
+    for parent, uncovered in ((small_parent, None), (rdd_parent, 4)):
+        checks = [Q.foreign_key("c", ["k"], "p")]
+        if uncovered is not None:
+            checks.append(Q.coverage("p", ["k"], "c"))
+        got = {r.check_kind: r.observed for r in run_checks({"c": child, "p": parent}, checks).collect()}
+        assert got["foreign_key"] == 2  # 4 and the null key
+        if uncovered is not None:
+            assert got["coverage"] == uncovered  # rows 0, 2, 2 and the null key
