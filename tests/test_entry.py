@@ -51,3 +51,27 @@ def test_query_matches_oracle(spark, duck, name):
     order = [cols.index(c) for c in df.columns]
     want = sorted((tuple(_norm(r[i]) for i in order) for r in res.fetchall()), key=_key)
     assert got == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window [", "SinglePartition, ENSURE_REQUIREMENTS"):
+        # no cross products; no window or exchange funnelling all rows into one task
+        # (global aggregates' final merge of partial rows is fine and shows as "Exchange SinglePartition")
+        assert bad not in plan or (bad.startswith("SinglePartition") and _only_global_merges(plan)), (name, bad)
+
+
+BOUNDED_CONSUMERS = ("HashAggregate(keys=[]", "SortAggregate(key=[]", "ObjectHashAggregate(keys=[]",
+                     "GlobalLimit", "TakeOrderedAndProject", "CollectLimit")
+WRAPPERS = ("ShuffleQueryStage", "AQEShuffleRead")
+
+
+def _only_global_merges(plan: str) -> bool:
+    """Every SinglePartition exchange feeds a keyless aggregate (one partial
+    row per partition) or a limit (at most n rows per partition)."""
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            j = i - 1
+            while j >= 0 and any(w in lines[j] for w in WRAPPERS):
+                j -= 1
+            if j < 0 or not any(c in lines[j] for c in BOUNDED_CONSUMERS):
+                return False
+    return True
