@@ -92,3 +92,15 @@ def test_bucketed_layer_tables_avoid_shuffles(spark):
     plan = agg._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
     assert published(spark, root, "silver")["items"].count() == 200
+
+
+def test_failed_run_keeps_previous_published_version(spark):
+    parents = spark.createDataFrame([("p",), ("q",)], "parent string")
+    root = scratch_path(spark, "layers-versions")
+    good = spark.createDataFrame([(1, "p"), (2, "q"), (3, "q")], "id int, parent string")
+    run_layers(spark, _tiny_layers(3), {"raw": good, "parents": parents}, root)
+    bad = spark.createDataFrame([(1, "p"), (2, "zz"), (3, "q")], "id int, parent string")
+    with pytest.raises(QualityGateError):
+        run_layers(spark, _tiny_layers(3), {"raw": bad, "parents": parents}, root)
+    latest = published(spark, root, "gold")["summary"]
+    assert {r.parent: r.n for r in latest.collect()} == {"p": 1, "q": 2}
