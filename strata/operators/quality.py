@@ -166,8 +166,42 @@ def _row(check: Check, layer: str, observed: Column) -> Column:
     )
 
 
-def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], layer: str = "") -> DataFrame:
-    """The check table for ``checks`` (lazy; one row per check)."""
+def _uses(checks: Sequence[Check]) -> dict[str, int]:
+    """How many separate check branches read each table."""
+    count: dict[str, int] = {}
+    scalar_tables = {c.table for c in checks if c.kind in SCALAR_KINDS}
+    for t in scalar_tables:
+        count[t] = count.get(t, 0) + 1
+    pairs = set()
+    for c in checks:
+        if c.kind in SCALAR_KINDS:
+            continue
+        if c.kind in ("foreign_key", "coverage"):
+            if _pair(c) in pairs:
+                continue
+            pairs.add(_pair(c))
+        for t in {c.table, c.ref_table} - {None}:
+            count[t] = count.get(t, 0) + 1
+    return count
+
+
+def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], layer: str = "",
+               materialize: bool = False) -> DataFrame:
+    """The check table for ``checks`` (lazy; one row per check).
+
+    ``materialize=True`` first writes every table that two or more check
+    branches read to the session's shared scratch folder (concurrently), so
+    an expensive derived table is computed once instead of once per check.
+    Use it for tables that are lazy plans over raw data; stored tables need
+    no staging."""
+    if materialize:
+        from strata.session import scratch_path  # local import: keeps operators free of session state
+        from strata.sources.sinks import stage_tables
+
+        shared = {t: tables[t] for t, n in _uses(checks).items() if n >= 2}
+        if shared:
+            spark = next(iter(shared.values())).sparkSession
+            tables = {**tables, **stage_tables(spark, shared, scratch_path(spark, "checks"))}
     parts: list[DataFrame] = []
     scalar: dict[str, list[Check]] = {}
     for c in checks:

@@ -135,4 +135,15 @@ def published(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame
     latest = manifest.orderBy(F.col("published_at").desc(), F.col("run_id").desc()).limit(1).select("run_id")
     rows = manifest.join(latest, "run_id").select("table_name", "path", "format", "catalog_table").collect()
     return {r.table_name: spark.table(r.catalog_table) if r.catalog_table else spark.read.format(r.format).load(r.path)
-            for r in rows}  # one row per table
\ No newline at end of file
+            for r in rows}  # one row per table
+
+
+def stage_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
+                 max_parallel: int = 4) -> dict[str, DataFrame]:
+    """Write derived tables once to ``root`` (a shared folder) and return the
+    stored copies, so several consumers scan them instead of recomputing
+    their lineage; also cuts that lineage against executor loss."""
+    if not tables:
+        return {}
+    paths = write_layer(spark, tables, root, "staged", fmt, max_parallel=max_parallel)
+    return read_layer(spark, paths, fmt, {n: df.schema for n, df in tables.items()})
\ No newline at end of file

@@ -156,3 +156,14 @@ def test_foreign_key_and_coverage_paths_agree(spark):
         assert got["foreign_key"] == 2  # 4 and the null key
         if uncovered is not None:
             assert got["coverage"] == uncovered  # rows 0, 2, 2 and the null key
+
+
+def test_checks_with_materialized_inputs_agree(spark):
+    t = spark.range(0, 50).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("s"))
+    p = spark.range(0, 5).withColumnRenamed("id", "k")
+    checks = [Q.row_count("t", 50), Q.not_null("t", "k"), Q.unique("t", "k"), Q.foreign_key("t", ["k"], "p"),
+              Q.coverage("p", ["k"], "t"), Q.unique("p", "k")]
+    lazy = sorted(map(tuple, run_checks({"t": t, "p": p}, checks).collect()))
+    staged = sorted(map(tuple, run_checks({"t": t, "p": p}, checks, materialize=True).collect()))
+    assert lazy == staged
+    assert dict((r[1], r[4]) for r in lazy)["t_k_fk_p"] == 2  # keys 5 and 6
