@@ -495,6 +495,82 @@ def mx_events_monthly(spark, sf_dir):
     return _r6(df, "total_value", "average_value")
 
 
+# -- the model's own validation queries (KPI rows and grouped summaries) ------------
+
+AVG_REACH = "average_people_reached_per_delivery"
+
+
+def _rate_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("attendance_rate", report.format_percent(F.col("attendance_rate")))
+
+
+@query("mx_core_kpis")
+def mx_core_kpis(spark, sf_dir):
+    return row(_gold(spark, sf_dir).model(), ["total_delivery_records", "total_event_groups", "total_people_reached",
+                                              "total_registered", "total_attended"])
+
+
+@query("mx_attendance_kpis")
+def mx_attendance_kpis(spark, sf_dir):
+    df = row(_gold(spark, sf_dir).model(), ["total_registered", "registered_event_attended", "attendance_variance",
+                                            "attendance_rate"])
+    return df.withColumn("attendance_rate_text", report.format_percent(F.col("attendance_rate")))
+
+
+@query("mx_satisfaction_kpis")
+def mx_satisfaction_kpis(spark, sf_dir):
+    df = row(_gold(spark, sf_dir).model(), ["average_satisfaction", "rated_delivery_records"])
+    return _r6(df, "average_satisfaction")
+
+
+@query("mx_attendance_by_type")
+def mx_attendance_by_type(spark, sf_dir):
+    df = summarize(_gold(spark, sf_dir).model(), ["fact.event_type"],
+                   ["total_delivery_records", "total_registered", "registered_event_attended", "attendance_variance",
+                    "attendance_rate"], order_by=[("total_registered", False), ("event_type", True)])
+    return _rate_text(df)
+
+
+@query("mx_satisfaction_by_type")
+def mx_satisfaction_by_type(spark, sf_dir):
+    df = summarize(_gold(spark, sf_dir).model(), ["fact.event_type"],
+                   ["average_satisfaction", "rated_delivery_records"])
+    return _r6(df, "average_satisfaction")
+
+
+@query("mx_monthly_detail")
+def mx_monthly_detail(spark, sf_dir):
+    df = summarize(_gold(spark, sf_dir).model(), ["date.year_month"],
+                   ["total_delivery_records", "total_event_groups", "total_people_reached", AVG_REACH,
+                    "total_session_hours"], order_by=[("year_month", True)])
+    return _r6(df, "total_session_hours")
+
+
+@query("mx_region_detail")
+def mx_region_detail(spark, sf_dir):
+    return summarize(_gold(spark, sf_dir).model(), ["location.region"],
+                     ["total_delivery_records", "total_people_reached", AVG_REACH, "locations_reached"])
+
+
+@query("mx_programme_detail")
+def mx_programme_detail(spark, sf_dir):
+    df = summarize(_gold(spark, sf_dir).model(), ["fact.programme_type"],
+                   ["total_delivery_records", "total_people_reached", AVG_REACH, "total_session_hours"])
+    return _r6(df, "total_session_hours")
+
+
+@query("mx_language_detail")
+def mx_language_detail(spark, sf_dir):
+    return summarize(_gold(spark, sf_dir).model(), ["fact.delivery_language"],
+                     ["total_delivery_records", "total_event_groups", "total_people_reached", AVG_REACH])
+
+
+@query("mx_venue_category_detail")
+def mx_venue_category_detail(spark, sf_dir):
+    return summarize(_gold(spark, sf_dir).model(), ["location.venue_category"],
+                     ["total_delivery_records", "total_people_reached", AVG_REACH, "locations_reached"])
+
+
 # -- step 6: report datasets ----------------------------------------------------
 
 @query("rv_kpi_overview")

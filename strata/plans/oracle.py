@@ -573,3 +573,37 @@ ORACLE: dict[str, str] = {
 ORACLE["sql_views_reach_by_region"] = ORACLE["bq_reach_by_region"]
 ORACLE["sql_views_attendance_by_type"] = ORACLE["bq_attendance_by_type"]
 ORACLE["sql_catalog_monthly_trend"] = ORACLE["bq_monthly_trend"]
+
+# The model's validation queries: KPI rows and grouped summaries.
+RATE_TEXT = ("CASE WHEN ({r}) IS NOT NULL THEN printf('%.1f%%', ROUND(({r}) * 100, 1)) END")
+AVG_REACH = "average_people_reached_per_delivery"
+ORACLE["mx_core_kpis"] = with_ctes(
+    f"SELECT {measures('total_delivery_records', 'total_event_groups', 'total_people_reached', 'total_registered', 'total_attended')} FROM fact",
+    "fact")
+ORACLE["mx_attendance_kpis"] = with_ctes(
+    f"SELECT {measures('total_registered', 'registered_event_attended', 'attendance_variance', 'attendance_rate')}, "
+    f"{RATE_TEXT.format(r=M['attendance_rate'])} AS attendance_rate_text FROM fact", "fact")
+ORACLE["mx_satisfaction_kpis"] = with_ctes(
+    f"SELECT {measures('average_satisfaction', 'rated_delivery_records')} FROM fact", "fact")
+ORACLE["mx_attendance_by_type"] = with_ctes(
+    f"SELECT event_type, {measures('total_delivery_records', 'total_registered', 'registered_event_attended', 'attendance_variance')}, "
+    f"{RATE_TEXT.format(r=M['attendance_rate'])} AS attendance_rate FROM fact GROUP BY event_type", "fact")
+ORACLE["mx_satisfaction_by_type"] = with_ctes(
+    f"SELECT event_type, {measures('average_satisfaction', 'rated_delivery_records')} FROM fact GROUP BY event_type "
+    f"{not_all_blank('average_satisfaction', 'rated_delivery_records')}", "fact")
+ORACLE["mx_monthly_detail"] = with_ctes(
+    f"SELECT year_month, {measures('total_delivery_records', 'total_event_groups', 'total_people_reached', AVG_REACH, 'total_session_hours')} "
+    "FROM fjd GROUP BY year_month", "fjd")
+ORACLE["mx_region_detail"] = with_ctes(
+    f"SELECT region, {measures('total_delivery_records', 'total_people_reached', AVG_REACH, 'locations_reached')} "
+    "FROM fj GROUP BY region", "fj")
+ORACLE["mx_programme_detail"] = with_ctes(
+    f"SELECT programme_type, {measures('total_delivery_records', 'total_people_reached', AVG_REACH, 'total_session_hours')} "
+    "FROM fact GROUP BY programme_type", "fact")
+ORACLE["mx_language_detail"] = with_ctes(
+    f"SELECT delivery_language, {measures('total_delivery_records', 'total_event_groups', 'total_people_reached', AVG_REACH)} "
+    "FROM fact GROUP BY delivery_language", "fact")
+ORACLE["mx_venue_category_detail"] = with_ctes(
+    f"SELECT venue_category, {measures('total_delivery_records', 'total_people_reached', AVG_REACH, 'locations_reached')} "
+    "FROM fj GROUP BY venue_category", "fj")
+

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.display import format_measure
+from strata.functions.display import format_measure, format_percent  # noqa: F401 (re-exported)
 from strata.plans.metrics import FilterValue, Model, row, summarize
 
 Filters = dict[str, FilterValue] | None
