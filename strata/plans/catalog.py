@@ -94,27 +94,29 @@ def typed_cast(spark, sf_dir):
         "source_key", "order_id", "customer_id", "order_date", "is_final", "status", "priority")
 
 
-NATION_CSV = spec("nation", "n_nationkey int, n_name string, n_regionkey int", key=["n_nationkey"])
+CUSTOMER_CSV = spec("customer", "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                                "c_mktsegment string", key=["c_custkey"])
 
 
 @query("csv_ingest_roundtrip")
 def csv_ingest_roundtrip(spark, sf_dir):
-    """Write ``nation`` as headered CSV to the shared scratch folder, read it
-    back against the declared all-text schema, clean and type it."""
+    """Write ``customer`` as headered CSV to the shared scratch folder, read
+    it back against the declared all-text schema, clean and type it."""
     path = scratch_path(spark, "csv-ingest")
-    nation = _table(spark, sf_dir, "nation")
-    nation.select(*[F.col(c).cast("string") for c in NATION_CSV.column_names]).write.option("header", True).csv(path)
-    raw = read_csv(spark, path, NATION_CSV)
-    typed = clean(raw, CleanSpec.from_table(NATION_CSV))
-    return typed.select(*NATION_CSV.column_names, F.col("source_file").isNotNull().alias("has_source_file"),
+    customer = _table(spark, sf_dir, "customer")
+    customer.select(*[F.col(c).cast("string") for c in CUSTOMER_CSV.column_names]) \
+        .write.option("header", True).csv(path)
+    raw = read_csv(spark, path, CUSTOMER_CSV)
+    typed = clean(raw, CleanSpec.from_table(CUSTOMER_CSV))
+    return typed.select(*CUSTOMER_CSV.column_names, F.col("source_file").isNotNull().alias("has_source_file"),
                         F.col("ingestion_timestamp").isNotNull().alias("has_ingestion_timestamp"))
 
 
 @query("constant_and_alias")
 def constant_and_alias(spark, sf_dir):
-    n = _table(spark, sf_dir, "nation")
-    return n.select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("nation_name"),
-                    F.lit(1).alias("delivery_count"), F.lit("Nation").alias("entity_kind"))
+    c = _table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("location_id"), F.col("c_name").alias("venue_name"),
+                    F.lit(1).alias("delivery_count"), F.lit("Customer").alias("entity_kind"))
 
 
 @query("filter_contains")

@@ -343,10 +343,10 @@ ORACLE: dict[str, str] = {
         "FROM dirty", "dirty"),
     "typed_cast": with_ctes(
         "SELECT source_key, order_id, customer_id, order_date, is_final, status, priority FROM typed", "typed"),
-    "csv_ingest_roundtrip": "SELECT n_nationkey, n_name, n_regionkey, true AS has_source_file, "
-                            "true AS has_ingestion_timestamp FROM nation",
-    "constant_and_alias": "SELECT n_nationkey AS nation_id, n_name AS nation_name, 1 AS delivery_count, "
-                          "'Nation' AS entity_kind FROM nation",
+    "csv_ingest_roundtrip": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, "
+                            "true AS has_source_file, true AS has_ingestion_timestamp FROM customer",
+    "constant_and_alias": "SELECT c_custkey AS location_id, c_name AS venue_name, 1 AS delivery_count, "
+                          "'Customer' AS entity_kind FROM customer",
     "filter_contains": "SELECT p_partkey, p_name, p_brand FROM part WHERE p_name LIKE '%gear%'",
     "filter_isin": with_ctes("SELECT * FROM loc WHERE venue_type IN ('HOUSEHOLD', 'FURNITURE')", "loc"),
     "filter_null": with_ctes("SELECT event_id, event_type, attended_count FROM fact WHERE registered_count IS NULL",
