@@ -167,3 +167,18 @@ def test_checks_with_materialized_inputs_agree(spark):
     staged = sorted(map(tuple, run_checks({"t": t, "p": p}, checks, materialize=True).collect()))
     assert lazy == staged
     assert dict((r[1], r[4]) for r in lazy)["t_k_fk_p"] == 2  # keys 5 and 6
+
+
+def test_dedup_orders_nulls_first_like_the_oracle(spark):
+    import duckdb
+
+    rows = [(1, None, "b"), (1, 0, "a"), (2, 5, None), (2, 5, "a"), (3, None, None), (3, None, "z")]
+    df = spark.createDataFrame(rows, "k int, o int, s string")
+    got = sorted(map(tuple, dedup_by_key(df, ["k"], ["o", "s"]).collect()))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k INT, o INT, s VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", rows)
+    want = sorted(con.execute(
+        "SELECT k, o, s FROM t QUALIFY row_number() OVER (PARTITION BY k ORDER BY o NULLS FIRST, s NULLS FIRST) = 1"
+    ).fetchall())
+    assert got == want == [(1, None, "b"), (2, 5, None), (3, None, None)]
