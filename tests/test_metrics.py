@@ -35,17 +35,28 @@ def rows(df):
 
 
 def both_paths(model, *args, **kw):
-    """Evaluate with broadcast dimensions and with forced pre-aggregation."""
-    direct = summarize(model, *args, **kw)
-    model.max_broadcast_bytes = -1
+    """Evaluate with broadcast dimensions and with forced pre-aggregation.
+
+    The test frames are RDD-backed (unknown size, never "small"), so an
+    unlimited bound is needed to force the broadcast path."""
     try:
-        pre = summarize(model, *args, **kw)
-        assert sorted(map(tuple, direct.collect()), key=str) == sorted(map(tuple, pre.collect()), key=str)
+        model.max_broadcast_bytes = 2 ** 63 - 1
+        direct = summarize(model, *args, **kw)
+        direct_rows = sorted(map(tuple, direct.collect()), key=str)
+        assert "BroadcastHashJoin" in direct._jdf.queryExecution().executedPlan().toString() or not _has_joins(args)
+        model.max_broadcast_bytes = -1
+        pre_rows = sorted(map(tuple, summarize(model, *args, **kw).collect()), key=str)
+        assert direct_rows == pre_rows
     finally:
         model.max_broadcast_bytes = None
     return direct
 
 
+def _has_joins(args) -> bool:
+    group = args[0] if args else []
+    return any(not g.startswith("fact.") for g in group)
+
+
 def test_blank_member_and_blank_rules(model):
     df = both_paths(model, ["location.region"],
                     ["total_delivery_records", "registered_event_attended", "total_registered",
