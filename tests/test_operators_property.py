@@ -43,3 +43,41 @@ def test_dedup_equals_row_number(spark, data):
         "SELECT k, x, y FROM t QUALIFY row_number() OVER (PARTITION BY k ORDER BY x NULLS FIRST, y NULLS FIRST) = 1"
     ).fetchall()
     assert got == sorted(want, key=str)
+
+
+keys = st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=25)
+
+
+@SETTINGS
+@given(child=keys, parent=keys, with_coverage=st.booleans(), stored_parent=st.booleans())
+def test_key_checks_equal_sql(spark, child, parent, with_coverage, stored_parent):
+    from strata.operators import run_checks
+    from strata.operators import quality as Q
+    from strata.session import scratch_path
+
+    c = spark.createDataFrame([(k,) for k in child], "k long")
+    p = spark.createDataFrame([(k,) for k in parent], "k long")
+    if stored_parent:  # a stored table has a known (small) size: the broadcast anti-join path
+        path = scratch_path(spark, "parent")
+        p.write.parquet(path)
+        p = spark.read.schema("k long").parquet(path)
+    checks = [Q.foreign_key("c", ["k"], "p"), Q.foreign_key("c", ["k"], "p", rows=True, name="rows"),
+              Q.unique("p", "k"), Q.not_null("c", "k")]
+    if with_coverage:  # shares the key pair: the profile path
+        checks.append(Q.coverage("p", ["k"], "c"))
+    got = {r.check_name: r.observed for r in run_checks({"c": c, "p": p}, checks).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE c (k BIGINT)")
+    con.execute("CREATE TABLE p (k BIGINT)")
+    if child:
+        con.executemany("INSERT INTO c VALUES (?)", [(k,) for k in child])
+    if parent:
+        con.executemany("INSERT INTO p VALUES (?)", [(k,) for k in parent])
+    q = lambda sql: con.execute(sql).fetchone()[0]
+    assert got["c_k_fk_p"] == q("SELECT COUNT(*) FROM (SELECT DISTINCT k FROM c) x "
+                                "WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.k = x.k)")
+    assert got["rows"] == q("SELECT COUNT(*) FROM c WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.k = c.k)")
+    assert got["p_k_unique"] == q("SELECT COUNT(*) FROM (SELECT k FROM p GROUP BY k HAVING COUNT(*) > 1)")
+    assert got["c_k_not_null"] == q("SELECT COUNT(*) FROM c WHERE k IS NULL")
+    if with_coverage:
+        assert got["p_covered_by_c"] == q("SELECT COUNT(*) FROM p WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.k = p.k)")
