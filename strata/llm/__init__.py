@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from strata.llm import token_counts
+from strata.llm import language_id, token_counts, toxicity
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 #: DuckDB SQL of the queries that SQL can express
