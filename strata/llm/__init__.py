@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from strata.llm import language_id, token_counts, toxicity
+from strata.llm import language_id, line_dedup, token_counts, toxicity
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_language_id": language_id.op9_language_id,
 }
 
 #: DuckDB SQL of the queries that SQL can express
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_line_dedup": line_dedup.ORACLE,
+}
