@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from strata.llm import language_id, line_dedup, simhash, token_counts, toxicity
+from strata.llm import language_id, line_dedup, simhash, token_counts, toxicity, warc
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_simhash": simhash.op5_simhash,
+    "op6_warc": warc.op6_warc,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_language_id": language_id.op9_language_id,
 }
@@ -16,4 +17,5 @@ QUERIES = {
 #: DuckDB SQL of the queries that SQL can express
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op6_warc": warc.ORACLE,
 }
