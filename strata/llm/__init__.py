@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import language_id, line_dedup, simhash, token_counts, toxicity, warc
+from strata.llm import language_id, line_dedup, mtree, simhash, token_counts, toxicity, warc
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
@@ -12,10 +12,12 @@ QUERIES = {
     "op6_warc": warc.op6_warc,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_language_id": language_id.op9_language_id,
+    "op10_mtree_topk": mtree.op10_mtree_topk,
 }
 
 #: DuckDB SQL of the queries that SQL can express
 ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op6_warc": warc.ORACLE,
+    "op10_mtree_topk": mtree.ORACLE,
 }
