@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from functools import lru_cache
 
 TOP = 1 << 40
+HEAD = 4                              # units by which pieces are looked up
+SHORT = tuple(range(HEAD - 1, 0, -1))  # lengths to try where no longer piece begins
 
 
 class Bpe:
@@ -46,6 +48,13 @@ class Bpe:
                     self.left[t], self.right[t] = left, right
                     self.usable.add(t)
         self.spans = {t: tokens[t] for t in self.usable}
+        sizes: dict = {}
+        for t in self.usable:
+            if len(t) >= HEAD:
+                sizes.setdefault(t[:HEAD], set()).add(len(t))
+        #: first units → the lengths that pieces with this beginning have, longest first
+        self.sizes = {k: (*sorted(v, reverse=True), *(n for n in range(HEAD - 1, 0, -1) if n == 1 or k[:n] in self.usable))
+                      for k, v in sizes.items()}
         self._fits: dict = {}
 
     def _rank(self, a, b):
@@ -98,26 +107,51 @@ class Bpe:
         """For every prefix of ``text``: its exact token count and where its last token starts.
 
         A unit outside the vocabulary is a token of its own that merges with nothing."""
-        n, longest, spans, fits = len(text), self.longest, self.spans, self.fits
-        count, start, last = [0] * (n + 1), [0] * (n + 1), [None] * (n + 1)
-        for e in range(1, n + 1):
-            for s in range(max(0, e - longest), e):
+        n, sizes, spans, fits, short = len(text), self.sizes.get, self.spans, self.fits, SHORT
+        count, start, last = [0] * (n + 1), [-1] * (n + 1), [None] * (n + 1)
+        for s in range(n):
+            before, reached = last[s], count[s] + 1
+            for size in sizes(text[s:s + HEAD], short):
+                e = s + size
+                if e > n or start[e] >= 0:  # a prefix has one encoding
+                    continue
                 t = text[s:e]
-                if t in spans and (last[s] is None or fits(last[s], t)):
-                    count[e], start[e], last[e] = count[s] + 1, s, t
-                    break
-            else:
-                count[e], start[e], last[e] = count[e - 1] + 1, e - 1, None
+                if t in spans:
+                    if before is None or fits(before, t):
+                        count[e], start[e], last[e] = reached, s, t
+                elif size == 1:  # outside the vocabulary
+                    count[e], start[e] = reached, s
         return count, start
 
     def encode(self, text) -> list:
-        """The token units of ``text``."""
-        count, start = self.prefixes(text)
-        out, e = [], len(text)
-        while e:
-            out.append(text[start[e]:e])
-            e = start[e]
-        return out[::-1]
+        """The token units of ``text``: the one path whose neighbours all fit, searched with the
+        longest edge first. Every prefix has one encoding, so a place left without a way on is
+        never entered again."""
+        n, sizes, spans, fits, short = len(text), self.sizes.get, self.spans, self.fits, SHORT
+        out: list = []
+        places, at, below, dead = [0], 0, n + 1, set()  # below: only edges shorter than this
+        while at < n:
+            last = out[-1] if out and out[-1] in spans else None
+            for size in sizes(text[at:at + HEAD], short):
+                e = at + size
+                if size >= below or e > n or e in dead:
+                    continue
+                t = text[at:e]
+                if t in spans:
+                    if last is None or fits(last, t):
+                        break
+                elif size == 1:  # outside the vocabulary
+                    break
+            else:
+                dead.add(at)
+                places.pop()
+                below = len(out.pop())
+                at = places[-1]
+                continue
+            out.append(t)
+            places.append(e)
+            at, below = e, n + 1
+        return out
 
 
 def merge_encode(bpe: Bpe, text: Sequence) -> list:
