@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from strata.llm import language_id, line_dedup, mtree, sentencepiece, simhash, token_counts, toxicity, warc
+from strata.llm import decontamination, language_id, line_dedup, mtree, sentencepiece, simhash, token_counts, toxicity, warc
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
     "op1_sentencepiece": sentencepiece.op1_sentencepiece,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_decontamination": decontamination.op3_decontamination,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op6_warc": warc.op6_warc,
