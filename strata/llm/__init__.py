@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import decontamination, language_id, line_dedup, mtree, sentencepiece, simhash, token_counts, toxicity, warc
+from strata.llm import decontamination, language_id, line_dedup, mtree, sentencepiece, simhash, suffix_dedup, token_counts, toxicity, warc
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op6_warc": warc.op6_warc,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_language_id": language_id.op9_language_id,
     "op10_mtree_topk": mtree.op10_mtree_topk,
