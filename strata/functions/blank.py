@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, NumericType, StringType
 
 
 def blank_sub(a: Column, b: Column) -> Column:
@@ -33,10 +34,16 @@ def blank_div(a: Column, b: Column) -> Column:
     )
 
 
-def nonblank(c: Column, numeric: bool = True) -> Column:
-    """``c <> BLANK()``: not null and not the zero value of its type."""
-    zero = F.lit(0) if numeric else F.lit("")
-    return c.isNotNull() & (c != zero)
+def nonblank(c: Column, kind: DataType | None = None) -> Column:
+    """``c <> BLANK()``: not null and not the blank of its type — 0 for numbers (also
+    where ``kind`` is not given), the empty text, false; a date has no blank but null."""
+    if kind is None or isinstance(kind, NumericType):
+        return c.isNotNull() & (c != F.lit(0))
+    if isinstance(kind, StringType):
+        return c.isNotNull() & (c != F.lit(""))
+    if isinstance(kind, BooleanType):
+        return c.isNotNull() & c
+    return c.isNotNull()
 
 
 def distinct_with_blank(c: Column) -> Column:

@@ -34,8 +34,13 @@ def broadcast_bound(df: DataFrame) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's ``sizeInBytes`` for this plan, or None if unavailable."""
+    """The optimizer's ``sizeInBytes`` for this plan, or None if unavailable.
+
+    A plan that generates rows (``explode``) is estimated by the rows that go
+    in, which says nothing about the rows that come out: unknown."""
     try:
+        if "Generate " in df._jdf.queryExecution().optimizedPlan().toString():
+            return None
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # not a classic session / no statistics
         return None

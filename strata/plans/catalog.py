@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.clean import CleanSpec, clean
+from strata.functions.clean import CleanSpec, cast_rejects, clean
 from strata.operators import quality as Q
 from strata.operators.dedup import duplicate_keys
-from strata.operators.joins import key_set_difference, orphan_keys, orphan_rows, uncovered_parents
+from strata.operators.joins import checked_broadcast, key_set_difference, orphan_keys, orphan_rows, uncovered_parents
 from strata.operators.quality import run_checks, total_violations
 from strata.plans import questions, report, sql_questions, standin
 from strata.plans.delivery import delivery_model
@@ -27,7 +27,7 @@ from strata.session import scratch_path
 from strata.sources.catalog import register_tables, register_views
 from strata.sources.ingest import read_csv, read_parquet
 from strata.sources.schema import spec
-from strata.sources.sinks import row_counts
+from strata.sources.sinks import read_layer, row_counts, write_layer
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -237,10 +237,13 @@ def dq_orphans_renamed(spark, sf_dir):
 @query("dq_orphans_expr")
 def dq_orphans_expr(spark, sf_dir):
     g = _gold(spark, sf_dir)
-    events = standin.shifted(g.fact, "lead_educator_id", 3).alias("event")
-    educators = g.educator.alias("educator")
-    return events.join(educators, F.col("event.lead_educator_id") == F.col("educator.educator_id"),
-                       "left_anti").select("event_id", "lead_educator_id")
+    events = standin.shifted(g.fact, "lead_educator_id", 3).select("event_id", "lead_educator_id")
+    # the keys are compared once each; rows without a key are orphans without any join
+    keys = events.filter(F.col("lead_educator_id").isNotNull()).select("lead_educator_id").distinct().alias("event")
+    lost = keys.join(g.educator.alias("educator"), F.col("event.lead_educator_id") == F.col("educator.educator_id"),
+                     "left_anti")
+    return events.filter(F.col("lead_educator_id").isNull()).unionByName(
+        events.join(checked_broadcast(lost), "lead_educator_id", "left_semi").select("event_id", "lead_educator_id"))
 
 
 @query("dq_uncovered_parents")
@@ -286,9 +289,61 @@ def dq_fk_total(spark, sf_dir):
 
 @query("dq_summary")
 def dq_summary(spark, sf_dir):
+    """Checks of Gold, each derived table computed once into the shared scratch folder."""
     g = _gold(spark, sf_dir)
     tables = {"fact": g.fact, "bridge": g.bridge, "location": g.location, "educator": g.educator, "date": g.date}
-    return run_checks(tables, standin.gold_checks(), layer="gold")
+    return run_checks(tables, standin.gold_checks(), layer="gold", materialize=True)
+
+
+def _expected_checks(spark, sf_dir) -> DataFrame:
+    """A right expectation (one fact row per order) and a wrong one (one group per order)."""
+    orders = _table(spark, sf_dir, "orders").agg(F.count_distinct("o_orderkey")).first()[0]
+    return run_checks({"fact": _gold(spark, sf_dir).fact}, standin.expected_checks(orders, orders), layer="gold")
+
+
+@query("dq_expected_counts")
+def dq_expected_counts(spark, sf_dir):
+    return _expected_checks(spark, sf_dir)
+
+
+@query("dq_gate_failures")
+def dq_gate_failures(spark, sf_dir):
+    """What a gate that stops a layer reports: one row per failed check."""
+    try:
+        Q.gate(_expected_checks(spark, sf_dir))
+        failed = []
+    except Q.QualityGateError as e:
+        failed = [(r["check_name"], r["observed"], r["expected"]) for r in e.failed]
+    return spark.createDataFrame(failed, "check_name string, observed long, expected long")
+
+
+@query("cast_rejects")
+def cast_rejects_query(spark, sf_dir):
+    """Texts that are not blank and do not convert, per cast column."""
+    return cast_rejects(_dirty(spark, sf_dir), DIRTY_TYPED).select("customer_id", "is_final")
+
+
+@query("staffing_drilldown")
+def staffing_drilldown(spark, sf_dir):
+    """Deliveries whose name holds a text, by date, with their staff count."""
+    g = _gold(spark, sf_dir)
+    return questions.staffing(g.fact, g.bridge, "77")
+
+
+@query("fact_preview")
+def fact_preview(spark, sf_dir):
+    """The first rows of the fact in a total order (a top-20 report)."""
+    fact = _gold(spark, sf_dir).fact.select("event_id", "event_date", "people_reached")
+    return report.preview(fact, 20, ["event_date", "event_id"])
+
+
+@query("audited_educators")
+def audited_educators(spark, sf_dir):
+    """A stored dimension with the sink's audit timestamp, compared as not null."""
+    root = scratch_path(spark, "audited")
+    paths = write_layer(spark, {"educator": _gold(spark, sf_dir).educator}, root, "gold", audit_column="processed_at")
+    return read_layer(spark, paths)["educator"].select("educator_id", "educator_name",
+                                                       F.col("processed_at").isNotNull().alias("audited"))
 
 
 @query("staffing_summary")
@@ -397,7 +452,8 @@ def mx_all_by_event_type(spark, sf_dir):
 @query("mx_educator")
 def mx_educator(spark, sf_dir):
     return summarize(_gold(spark, sf_dir).model(), ["educator.educator_name"],
-                     ["events_delivered_by_educator", "educator_hours"])
+                     ["events_delivered_by_educator", "educator_hours"],
+                     order_by=[("events_delivered_by_educator", False), ("educator_name", True)])
 
 
 @query("mx_filtered_context")
@@ -433,7 +489,8 @@ def mx_blank_member(spark, sf_dir):
 @query("mx_drop_blank_groups")
 def mx_drop_blank_groups(spark, sf_dir):
     df = summarize(_gold(spark, sf_dir).model(), ["fact.programme_type", "fact.delivery_language"],
-                   ["average_satisfaction", "rated_delivery_records"])
+                   ["average_satisfaction", "rated_delivery_records"],
+                   order_by=[("average_satisfaction", False), ("event_type", True)])
     return _r6(df, "average_satisfaction")
 
 
@@ -521,7 +578,8 @@ def mx_attendance_kpis(spark, sf_dir):
 
 @query("mx_satisfaction_kpis")
 def mx_satisfaction_kpis(spark, sf_dir):
-    df = row(_gold(spark, sf_dir).model(), ["average_satisfaction", "rated_delivery_records"])
+    df = row(_gold(spark, sf_dir).model(), ["average_satisfaction", "rated_delivery_records"],
+                   order_by=[("average_satisfaction", False), ("event_type", True)])
     return _r6(df, "average_satisfaction")
 
 
@@ -536,7 +594,8 @@ def mx_attendance_by_type(spark, sf_dir):
 @query("mx_satisfaction_by_type")
 def mx_satisfaction_by_type(spark, sf_dir):
     df = summarize(_gold(spark, sf_dir).model(), ["fact.event_type"],
-                   ["average_satisfaction", "rated_delivery_records"])
+                   ["average_satisfaction", "rated_delivery_records"],
+                   order_by=[("average_satisfaction", False), ("event_type", True)])
     return _r6(df, "average_satisfaction")
 
 
@@ -551,26 +610,31 @@ def mx_monthly_detail(spark, sf_dir):
 @query("mx_region_detail")
 def mx_region_detail(spark, sf_dir):
     return summarize(_gold(spark, sf_dir).model(), ["location.region"],
-                     ["total_delivery_records", "total_people_reached", AVG_REACH, "locations_reached"])
+                     ["total_delivery_records", "total_people_reached", AVG_REACH, "locations_reached"],
+                     order_by=[("total_people_reached", False), ("region", True)])
 
 
 @query("mx_programme_detail")
 def mx_programme_detail(spark, sf_dir):
     df = summarize(_gold(spark, sf_dir).model(), ["fact.programme_type"],
-                   ["total_delivery_records", "total_people_reached", AVG_REACH, "total_session_hours"])
+                   ["total_delivery_records", "total_people_reached", AVG_REACH, "total_session_hours"],
+                   order_by=[("total_people_reached", False), ("programme_type", True)])
     return _r6(df, "total_session_hours")
 
 
 @query("mx_language_detail")
 def mx_language_detail(spark, sf_dir):
     return summarize(_gold(spark, sf_dir).model(), ["fact.delivery_language"],
-                     ["total_delivery_records", "total_event_groups", "total_people_reached", AVG_REACH])
+                     ["total_delivery_records", "total_event_groups", "total_people_reached", AVG_REACH],
+                     order_by=[("total_people_reached", False), ("delivery_language", True)])
 
 
 @query("mx_venue_category_detail")
 def mx_venue_category_detail(spark, sf_dir):
     return summarize(_gold(spark, sf_dir).model(), ["location.venue_category"],
-                     ["total_delivery_records", "total_people_reached", AVG_REACH, "locations_reached"])
+                     ["total_delivery_records", "total_people_reached", AVG_REACH, "locations_reached"],
+                     order_by=[("total_delivery_records", False), ("total_people_reached", False),
+                               ("venue_category", True)])
 
 
 # -- step 6: report datasets ----------------------------------------------------
@@ -622,58 +686,54 @@ def rv_slicer_members(spark, sf_dir):
     return report.slicer_members(_gold(spark, sf_dir).model())
 
 
-def _bucket_count(spark) -> int:
-    # as many buckets as shuffle partitions, so bucketed joins line up with
-    # shuffled ones; capped for these small runs (set it explicitly at scale)
-    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 32))
-
-
 def _layered(spark, sf_dir):
+    """A gated layered build; as many buckets as the session's joins have partitions, so they line up."""
     root = scratch_path(spark, "layered")
-    return run_layers(spark, standin.layers(_bucket_count(spark)), standin.load(spark, sf_dir), root)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return root, run_layers(spark, standin.layers(buckets), standin.load(spark, sf_dir), root)
 
 
 @query("layered_build_checks")
 def layered_build_checks(spark, sf_dir):
     """Silver and Gold written once each, checked on the stored tables, gated."""
-    return check_report(_layered(spark, sf_dir))
+    return check_report(_layered(spark, sf_dir)[1])
 
 
 @query("layered_row_counts")
 def layered_row_counts(spark, sf_dir):
     """Row counts of the stored layer tables (post-write verification)."""
-    results = _layered(spark, sf_dir)
+    _, results = _layered(spark, sf_dir)
     return reduce(DataFrame.unionByName, [r.row_counts() for r in results])
 
 
 def _gold_views(spark, sf_dir):
     g = _gold(spark, sf_dir)
     tables = {"fact": g.fact, "date": g.date, "location": g.location, "educator": g.educator, "bridge": g.bridge}
-    register_views({sql_questions.GOLD_NAMES[k]: v for k, v in tables.items()})
+    register_views({sql_questions.TABLES[k]: v for k, v in tables.items()})
 
 
-@query("sql_views_reach_by_region")
-def sql_views_reach_by_region(spark, sf_dir):
+@query("sql_views_weekend_share")
+def sql_views_weekend_share(spark, sf_dir):
     """SQL text over session views of the (lazy) Gold tables."""
     _gold_views(spark, sf_dir)
-    return spark.sql(sql_questions.sql_text("reach_by_region"))
+    return spark.sql(sql_questions.sql_text("weekend_share"))
 
 
-@query("sql_views_attendance_by_type")
-def sql_views_attendance_by_type(spark, sf_dir):
+@query("sql_views_staff_nations")
+def sql_views_staff_nations(spark, sf_dir):
     _gold_views(spark, sf_dir)
-    return spark.sql(sql_questions.sql_text("attendance_by_type"))
+    return spark.sql(sql_questions.sql_text("staff_nations"))
 
 
-@query("sql_catalog_monthly_trend")
-def sql_catalog_monthly_trend(spark, sf_dir):
-    """SQL text over external catalog tables (database ``dbo``) that point at
+@query("sql_catalog_quarter_growth")
+def sql_catalog_quarter_growth(spark, sf_dir):
+    """SQL text over external catalog tables, in a database of this run, that point at
     the stored Gold layer of a gated layered build."""
-    root = scratch_path(spark, "catalog")
-    results = run_layers(spark, standin.layers(_bucket_count(spark)), standin.load(spark, sf_dir), root)
-    gold_paths = {sql_questions.GOLD_NAMES[k]: p for k, p in results[-1].paths.items()}
-    register_tables(spark, gold_paths, "dbo", f"{root}/dbo.db")
-    return spark.sql(sql_questions.sql_text("monthly_trend", "dbo"))
+    root, results = _layered(spark, sf_dir)
+    database = "strata_gold_" + root.rsplit("-", 1)[-1]
+    register_tables(spark, {sql_questions.TABLES[k]: p for k, p in results[-1].paths.items()}, database,
+                    f"{root}/{database}.db")
+    return spark.sql(sql_questions.sql_text("quarter_growth", database))
 
 
 @query("reconcile_sql_vs_metrics")

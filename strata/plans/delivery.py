@@ -16,17 +16,13 @@ from strata.functions.clean import group_values
 from strata.plans.metrics import Measure, Model, Relationship
 from strata.plans.star import dimension, fact
 
-# Gold fact columns, in order (columns absent from a source are skipped).
+# The columns that the model's relationships, measures and questions use.
 FACT_COLUMNS = (
-    "event_id", "event_group_id", "event_date_key", "event_date", "location_id", "lead_educator_id",
-    "event_name", "event_type", "programme_type",
-    "delivery_language", "audience_type", "delivery_format", "demonstration_type",
-    "registration_required", "registered_count", "attended_count", "attendance_variance", "attendance_rate",
-    "engaged_people_count", "people_reached", "engaged_boats_count",
-    "session_duration_minutes", "session_duration_hours",
-    "satisfaction_score", "engagement_level",
-    "weather_condition", "is_estimated", "event_status",
-    "delivery_count",
+    "event_id", "event_group_id", "event_name", "event_type", "programme_type", "delivery_language",
+    "event_date", "event_date_key", "location_id", "lead_educator_id",
+    "registration_required", "registered_count", "attended_count", "engaged_people_count", "people_reached",
+    "attendance_variance", "attendance_rate", "session_duration_minutes", "session_duration_hours",
+    "satisfaction_score", "delivery_count",
 )
 
 # Hidden from report users: row-level rate must not be averaged; keys.
@@ -36,7 +32,9 @@ HIDDEN = {
 }
 
 
-def gold_fact(silver_events: DataFrame) -> DataFrame:
+def gold_fact(silver_events: DataFrame, extra: tuple[str, ...] = (), optional: tuple[str, ...] = ()) -> DataFrame:
+    """The fact: ``FACT_COLUMNS`` and the domain's own ``extra`` columns; a source must have
+    them all but those in ``optional``."""
     reg, att = F.col("registered_count"), F.col("attended_count")
     derived = {
         "event_date_key": date_key("event_date"),
@@ -48,7 +46,7 @@ def gold_fact(silver_events: DataFrame) -> DataFrame:
         "attendance_rate": F.when(reg.isNotNull() & (reg > 0) & att.isNotNull(), F.round(att / reg, 4)),
         "session_duration_hours": F.round(F.col("session_duration_minutes") / F.lit(60.0), 2),
     }
-    return fact(silver_events, derived, FACT_COLUMNS)
+    return fact(silver_events, derived, (*FACT_COLUMNS, *extra), optional)
 
 
 def gold_dim_location(silver_locations: DataFrame, categories: dict[str, list[str]]) -> DataFrame:

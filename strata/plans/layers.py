@@ -6,7 +6,7 @@
 2. write each to a fresh run folder (``<root>/<layer>_<table>/run=<id>``);
 3. run the layer's checks over the **stored** tables (cheap scans, no
    recomputation of the build) and gate: any failed error-severity check
-   raises before the layer is handed on;
+   raises before the layer is handed on, and drops the run's catalog tables;
 4. publish the run in the layer's manifest (``sources.sinks.publish``) —
    readers of the layer (``sources.sinks.published``) only ever see runs
    that passed their checks — and hand the stored tables on.
@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-from strata.operators.quality import Check, gate, run_checks
+from strata.operators.quality import Check, QualityGateError, gate, run_checks
 from strata.sources.sinks import publish, read_layer, row_counts, write_layer
 
 Builder = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
@@ -40,7 +40,8 @@ class Layer:
     audit_column: str | None = None
     partition_by: dict[str, list[str]] = field(default_factory=dict)
     # table -> (number of buckets, columns): stored hash-bucketed and sorted,
-    # registered in the run's catalog database so readers keep the layout
+    # registered in the run's catalog database so readers keep the layout. The
+    # caller chooses the number for the table's size (a bucket is read by one task)
     buckets: dict[str, tuple[int, list[str]]] = field(default_factory=dict)
 
 
@@ -77,7 +78,12 @@ def run_layer(
     checks, rows = None, []
     if layer.checks:
         checks = run_checks({**inputs, **stored}, layer.checks, layer.name)
-        rows = gate(checks)  # raises before the run is published
+        try:
+            rows = gate(checks)  # raises before the run is published
+        except QualityGateError:
+            for table in catalog_tables.values():
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            raise
     publish(spark, root, layer.name, paths, run_id, fmt, catalog_tables)
     return LayerResult(layer.name, paths, stored, rows, checks)
 

@@ -24,7 +24,9 @@ estimate within the broadcast bound) the home table is joined with broadcast
 dimensions and aggregated once. Otherwise the home table is first
 aggregated by its join keys (partial sums/counts; distinct-count columns
 kept as keys), so the shuffle join sees one row per key instead of the raw
-fact, and a hot key costs nothing extra. Both paths return the same rows.
+fact; a hot key is one partial row per input partition, or one per distinct
+value where a measure counts distinct values. Both paths return the same rows
+and types.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, IntegralType, LongType
 
 from strata.functions.blank import blank_add, blank_div, blank_sub, nonblank
 from strata.operators.joins import is_small, merge_on_keys
@@ -239,7 +242,7 @@ class _Branch:
             col, kind = m.where
             if kind != "nonblank":
                 raise ModelError(f"unsupported measure filter {kind!r}")
-            conds.append(nonblank(F.col(col)))
+            conds.append(nonblank(F.col(col), self.model.tables[self.home].schema[col].dataType))
         return reduce(lambda a, b: a & b, conds) if conds else None
 
     # -- plan -----------------------------------------------------------------
@@ -383,16 +386,29 @@ class _Branch:
             cur = cur.filter(_filter_expr(F.col(_alias(t, c)), value))
         return cur
 
+    def _sum_type(self, m: Measure) -> DataType:
+        """The declared type of a sum, whichever way it is computed."""
+        kind = self.model.tables[self.home].schema[m.column].dataType
+        if isinstance(kind, DecimalType):
+            return DecimalType(min(38, kind.precision + 10), kind.scale)
+        return LongType() if isinstance(kind, IntegralType) else DoubleType()
+
+    @staticmethod
+    def _average(total: Column, n: Column) -> Column:
+        """The declared average, a double, from a sum and a count."""
+        return total.cast("double") / F.nullif(n, F.lit(0))
+
     def _final_direct(self, m: Measure, cond: Column | None) -> Column:
         def when(value: Column) -> Column:
             return value if cond is None else F.when(cond, value)
 
         if m.agg == "sum":
-            out = F.sum(when(F.col(m.column)))
+            out = F.sum(when(F.col(m.column))).cast(self._sum_type(m))
         elif m.agg == "count_rows":
             out = F.nullif(F.count(when(F.lit(1))), F.lit(0))
         elif m.agg == "avg":
-            out = F.avg(when(F.col(m.column)))
+            value = when(F.col(m.column))
+            out = self._average(F.sum(value), F.count(value))
         elif m.agg == "distinct":
             c = F.col(m.column)
             is_blank = c.isNull() if cond is None else (F.coalesce(cond, F.lit(False)) & c.isNull())
@@ -403,11 +419,11 @@ class _Branch:
 
     def _final_merge(self, i: int, m: Measure, flagged: bool) -> Column:
         if m.agg == "sum":
-            out = F.sum(f"__s{i}")
+            out = F.sum(f"__s{i}").cast(self._sum_type(m))
         elif m.agg == "count_rows":
             out = F.nullif(F.sum(f"__n{i}"), F.lit(0))
         elif m.agg == "avg":
-            out = F.sum(f"__s{i}") / F.nullif(F.sum(f"__n{i}"), F.lit(0))
+            out = self._average(F.sum(f"__s{i}"), F.sum(f"__n{i}"))
         elif m.agg == "distinct":
             c = F.col(f"__d{i}")
             keep = F.col(f"__f{i}") if flagged else None

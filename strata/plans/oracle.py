@@ -170,9 +170,8 @@ def _check_row(layer: str, name: str, kind: str, table: str, observed_sql: str,
                severity: str = "error") -> str:
     return (f"SELECT '{layer}' AS layer, '{name}' AS check_name, '{kind}' AS check_kind, '{table}' AS table_name, "
             f"CAST(({observed_sql}) AS BIGINT) AS observed, CAST({expected} AS BIGINT) AS expected, "
-            f"CAST(CASE WHEN {expected} IS NULL THEN 0 ELSE abs(({observed_sql}) - {expected}) END AS BIGINT) "
-            f"AS violations, "
-            f"(CASE WHEN {expected} IS NULL THEN 0 ELSE abs(({observed_sql}) - {expected}) END) = 0 AS passed, "
+            f"CAST(abs(({observed_sql}) - ({expected})) AS BIGINT) AS violations, "
+            f"({observed_sql}) = ({expected}) AS passed, "
             f"'{severity}' AS severity")
 
 
@@ -241,8 +240,6 @@ FK_ROWS = [
 ]
 
 GOLD_CHECKS = [
-    ("fact_row_count", "row_count", "fact", "SELECT COUNT(*) FROM fact", "NULL"),
-    ("fact_event_groups", "distinct_count", "fact", "SELECT COUNT(DISTINCT event_group_id) FROM fact", "NULL"),
     ("fact_event_id_unique", "unique", "fact",
      "SELECT COUNT(*) FROM (SELECT event_id FROM fact GROUP BY event_id HAVING COUNT(*) > 1)", "0"),
     ("bridge_event_id_educator_id_unique", "unique", "bridge",
@@ -407,7 +404,7 @@ ORACLE: dict[str, str] = {
     "dq_summary": with_ctes(" UNION ALL ".join(
         _check_row("gold", n, k, t, sql, exp) for n, k, t, sql, exp in GOLD_CHECKS), "fact", "br", "loc", "edu", "dt"),
     "staffing_summary": with_ctes(
-        "SELECT f.event_id, f.event_name, s.educator_count FROM fact f LEFT JOIN "
+        "SELECT f.event_id, f.event_name, f.event_date, f.event_type, f.programme_type, s.educator_count FROM fact f LEFT JOIN "
         "(SELECT event_id, COUNT(educator_id) AS educator_count FROM br GROUP BY event_id) s "
         "ON f.event_id = s.event_id", "fact", "br"),
     # step 4
@@ -569,11 +566,43 @@ ORACLE: dict[str, str] = {
         "FROM (SELECT DISTINCT l.region FROM fact f JOIN loc l ON f.location_id = l.location_id)", "fact", "loc"),
 }
 
-# SQL-text questions answer the same questions as their DataFrame twins.
-ORACLE["sql_views_reach_by_region"] = ORACLE["bq_reach_by_region"]
-ORACLE["sql_views_attendance_by_type"] = ORACLE["bq_attendance_by_type"]
-ORACLE["sql_catalog_monthly_trend"] = ORACLE["bq_monthly_trend"]
-
+# Questions asked in SQL text (plans/sql_questions.py), restated over the base CTEs.
+ORACLE["sql_views_weekend_share"] = with_ctes(
+    "SELECT l.venue_type, CAST(SUM(CASE WHEN dayofweek(f.event_date) IN (0, 6) THEN 1 ELSE 0 END) AS BIGINT) "
+    "AS weekend_events, COUNT(*) AS events FROM fact f JOIN loc l ON l.location_id = f.location_id "
+    "GROUP BY l.venue_type", "fact", "loc")
+ORACLE["sql_views_staff_nations"] = with_ctes(
+    "SELECT home_nation, COUNT(*) FILTER (WHERE active_status) AS active_staff, "
+    "COUNT(*) FILTER (WHERE experience_level = 'Senior') AS seniors FROM edu GROUP BY home_nation "
+    "HAVING COUNT(*) FILTER (WHERE active_status) > 0", "edu")
+ORACLE["sql_catalog_quarter_growth"] = with_ctes(
+    "SELECT year, quarter, events, events - lag(events) OVER (PARTITION BY quarter ORDER BY year) AS growth FROM "
+    "(SELECT d.year, d.quarter, COUNT(f.event_id) AS events FROM dt d LEFT JOIN fact f ON f.event_date_key = d.date_key "
+    "GROUP BY d.year, d.quarter)", "fact", "dt")
+
+ORACLE["dq_expected_counts"] = with_ctes(" UNION ALL ".join([
+    _check_row("gold", "fact_row_count", "row_count", "fact", "SELECT COUNT(*) FROM fact",
+               "SELECT COUNT(DISTINCT o_orderkey) FROM orders"),
+    _check_row("gold", "fact_event_group_id_distinct", "distinct_count", "fact",
+               "SELECT COUNT(DISTINCT event_group_id) FROM fact", "SELECT COUNT(DISTINCT o_orderkey) FROM orders"),
+]), "fact")
+ORACLE["dq_gate_failures"] = with_ctes(
+    "SELECT check_name, observed, expected FROM (" + _check_row(
+        "gold", "fact_event_group_id_distinct", "distinct_count", "fact",
+        "SELECT COUNT(DISTINCT event_group_id) FROM fact", "SELECT COUNT(DISTINCT o_orderkey) FROM orders")
+    + ") WHERE NOT passed", "fact")
+ORACLE["cast_rejects"] = with_ctes(
+    "SELECT CAST(COUNT(*) FILTER (WHERE NULLIF(TRIM(customer_id), '') IS NOT NULL "
+    "AND TRY_CAST(TRIM(customer_id) AS INTEGER) IS NULL) AS BIGINT) AS customer_id, "
+    "CAST(COUNT(*) FILTER (WHERE NULLIF(TRIM(is_final), '') IS NOT NULL "
+    "AND lower(TRIM(is_final)) NOT IN ('true', 'false')) AS BIGINT) AS is_final FROM dirty", "dirty")
+ORACLE["staffing_drilldown"] = with_ctes(
+    "SELECT f.event_id, f.event_date, f.event_name, s.educator_count FROM fact f LEFT JOIN "
+    "(SELECT event_id, COUNT(educator_id) AS educator_count FROM br GROUP BY event_id) s "
+    "ON f.event_id = s.event_id WHERE contains(f.event_name, '77')", "fact", "br")
+ORACLE["fact_preview"] = with_ctes(
+    "SELECT event_id, event_date, people_reached FROM fact ORDER BY event_date, event_id LIMIT 20", "fact")
+ORACLE["audited_educators"] = with_ctes("SELECT educator_id, educator_name, true AS audited FROM edu", "edu")
 # The model's validation queries: KPI rows and grouped summaries.
 RATE_TEXT = ("CASE WHEN ({r}) IS NOT NULL THEN printf('%.1f%%', ROUND(({r}) * 100, 1)) END")
 AVG_REACH = "average_people_reached_per_delivery"

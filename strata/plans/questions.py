@@ -12,19 +12,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import checked_broadcast, key_set_difference, merge_on_keys
+from strata.operators.joins import is_small, key_set_difference, merge_on_keys
 from strata.operators.reconcile import reconcile, reconcile_summary
 from strata.operators.topn import top_n_with_ties
 from strata.plans.metrics import Model, row, summarize
 
 
-def _with_location(fact: DataFrame, location: DataFrame, cols: list[str]) -> DataFrame:
-    dim = checked_broadcast(location.select("location_id", *cols).withColumnRenamed("location_id", "__loc"))
-    return fact.join(dim, fact["location_id"] == dim["__loc"], "inner")
+def _ordered(df: DataFrame, *order: str) -> DataFrame:
+    """Sorted by ``column`` or ``-column`` (descending); nulls first ascending, last descending."""
+    return df.orderBy(*[F.col(c[1:]).desc_nulls_last() if c[0] == "-" else F.col(c).asc_nulls_first() for c in order])
+
+
+def by_attribute(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, attributes: list[str],
+                 sums: dict[str, str | None], distinct: dict[str, str] | None = None) -> DataFrame:
+    """Inner join to a dimension and GROUP BY its attributes: ``sums`` (name -> fact column, None: rows)
+    and ``distinct`` counts (name -> fact column).
+
+    A dimension within the broadcast bound is joined to the rows. Otherwise the fact is
+    aggregated below the join: the sums to one row per key and, in a branch of its own, the
+    distinct columns to one row per key and value, so a hot key never crosses the join's
+    exchange as raw rows."""
+    distinct = distinct or {}
+    add = lambda c: F.lit(1).cast("bigint") if c is None else F.col(c)
+    right = dim.select(F.col(dim_key).alias("__key"), *attributes)
+    if is_small(right):
+        rows = fact.join(F.broadcast(right), fact[key] == right["__key"])
+        return rows.groupBy(*attributes).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()],
+                                             *[F.count_distinct(c).alias(n) for n, c in distinct.items()])
+    per_key = fact.groupBy(key).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()])
+    parts = [per_key.join(right, per_key[key] == right["__key"]).groupBy(*attributes)
+             .agg(*[F.sum(n).alias(n) for n in sums])]
+    for name, column in distinct.items():
+        values = fact.select(key, F.col(column).alias("__value")).distinct()
+        parts.append(values.join(right, values[key] == right["__key"]).groupBy(*attributes)
+                     .agg(F.count_distinct("__value").alias(name)))
+    return merge_on_keys(parts, attributes)
 
 
 def totals(fact: DataFrame) -> DataFrame:
-    """Q1–2: deliveries, groups and people reached overall."""
+    """Deliveries, groups and people reached overall."""
     return fact.agg(
         F.count(F.lit(1)).alias("delivery_records"),
         F.count_distinct("event_group_id").alias("event_groups"),
@@ -33,92 +59,87 @@ def totals(fact: DataFrame) -> DataFrame:
 
 
 def monthly_trend(fact: DataFrame, date: DataFrame) -> DataFrame:
-    """Q3: deliveries, groups and reach per calendar month."""
-    d = checked_broadcast(date.select("date_key", "year_month"))
-    j = fact.join(d, fact["event_date_key"] == d["date_key"], "inner")
-    return j.groupBy("year_month").agg(
-        F.count(F.lit(1)).alias("delivery_records"),
-        F.count_distinct("event_group_id").alias("event_groups"),
-        F.sum("people_reached").alias("people_reached"),
-    )
+    """Deliveries, groups and reach per calendar month, in order of the months."""
+    out = by_attribute(fact, "event_date_key", date, "date_key", ["year_month"],
+                       {"delivery_records": None, "people_reached": "people_reached"},
+                       {"event_groups": "event_group_id"})
+    return _ordered(out.select("year_month", "delivery_records", "event_groups", "people_reached"), "year_month")
+
+
+def _regions(fact: DataFrame, location: DataFrame) -> DataFrame:
+    return by_attribute(fact, "location_id", location, "location_id", ["region"],
+                        {"delivery_records": None, "people_reached": "people_reached"},
+                        {"event_groups": "event_group_id"}).select(
+        "region", "delivery_records", "event_groups", "people_reached")
 
 
 def reach_by_region(fact: DataFrame, location: DataFrame) -> DataFrame:
-    """Q4: regions by people reached."""
-    return _with_location(fact, location, ["region"]).groupBy("region").agg(
-        F.count(F.lit(1)).alias("delivery_records"),
-        F.count_distinct("event_group_id").alias("event_groups"),
-        F.sum("people_reached").alias("people_reached"),
-    )
+    """Regions, most people reached first."""
+    return _ordered(_regions(fact, location), "-people_reached", "region")
 
 
 def attendance_by_type(fact: DataFrame) -> DataFrame:
-    """Q5: registration vs attendance per event type (registered deliveries)."""
+    """Registration against attendance per event type (registered deliveries), highest rate first."""
     att, reg = F.sum("attended_count"), F.sum("registered_count")
-    return fact.filter(F.col("registered_count").isNotNull()).groupBy("event_type").agg(
+    return _ordered(fact.filter(F.col("registered_count").isNotNull()).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("registered_events"),
         att.alias("total_attended"),
         (att - reg).alias("attendance_variance"),
         F.round(F.lit(100.0) * att.cast("double") / F.nullif(reg, F.lit(0)).cast("double"), 1)
         .alias("attendance_rate_pct"),
-    )
+    ), "-attendance_rate_pct", "event_type")
 
 
 def reach_by_attribute(fact: DataFrame, column: str) -> DataFrame:
-    """Q6 (programme) / Q7–8 (language): deliveries and reach per fact attribute."""
-    return fact.groupBy(column).agg(
+    """Deliveries and reach per fact attribute, most people reached first."""
+    return _ordered(fact.groupBy(column).agg(
         F.count(F.lit(1)).alias("delivery_records"),
         F.sum("people_reached").alias("people_reached"),
-    )
+    ), "-people_reached", column)
 
 
 def venue_categories(fact: DataFrame, location: DataFrame) -> DataFrame:
-    """Q9: venue categories by frequency."""
-    return _with_location(fact, location, ["venue_category"]).groupBy("venue_category").agg(
-        F.count(F.lit(1)).alias("delivery_records"),
-        F.sum("people_reached").alias("people_reached"),
-    )
+    """Venue categories, the most frequent first."""
+    return _ordered(by_attribute(fact, "location_id", location, "location_id", ["venue_category"],
+                                 {"delivery_records": None, "people_reached": "people_reached"}),
+                    "-delivery_records", "-people_reached", "venue_category")
 
 
 def satisfaction_by_type(fact: DataFrame) -> DataFrame:
-    """Q10: rated deliveries and average satisfaction per event type."""
-    return fact.filter(F.col("satisfaction_score").isNotNull()).groupBy("event_type").agg(
+    """Rated deliveries and average satisfaction per event type, the best first."""
+    return _ordered(fact.filter(F.col("satisfaction_score").isNotNull()).groupBy("event_type").agg(
         F.count("satisfaction_score").alias("rated_events"),
         F.round(F.avg("satisfaction_score"), 2).alias("avg_satisfaction_score"),
-    )
+    ), "-avg_satisfaction_score", "event_type")
 
 
 def educator_ranking(bridge: DataFrame, educator: DataFrame) -> DataFrame:
-    """Q11: staff by distinct deliveries and hours (through the bridge)."""
-    e = checked_broadcast(educator.select(F.col("educator_id").alias("__edu"), "educator_name", "experience_level"))
-    j = bridge.join(e, bridge["educator_id"] == e["__edu"], "inner")
-    return j.groupBy("educator_id", "educator_name", "experience_level").agg(
-        F.count_distinct("event_id").alias("events_delivered"),
-        F.round(F.sum("hours_worked"), 1).alias("total_hours"),
-    )
+    """Staff by distinct deliveries and hours (through the bridge), the busiest first."""
+    dim = educator.select("educator_id", "educator_name", "experience_level")
+    out = by_attribute(bridge.select("event_id", "hours_worked", F.col("educator_id").alias("__educator")), "__educator",
+                       dim, "educator_id", ["educator_id", "educator_name", "experience_level"],
+                       {"total_hours": "hours_worked"}, {"events_delivered": "event_id"})
+    return _ordered(out.select("educator_id", "educator_name", "experience_level", "events_delivered",
+                               F.round("total_hours", 1).alias("total_hours")),
+                    "-events_delivered", "-total_hours", "educator_id")
 
 
 def outreach_regions(fact: DataFrame, location: DataFrame) -> DataFrame:
-    """Q12: regions with the lowest coverage (ascending deliveries, reach)."""
-    n = F.count(F.lit(1))
-    reach = F.sum("people_reached")
-    return _with_location(fact, location, ["region"]).groupBy("region").agg(
-        n.alias("delivery_records"),
-        F.count_distinct("event_group_id").alias("event_groups"),
-        reach.alias("people_reached"),
-        F.round(reach.cast("double") / F.nullif(n, F.lit(0)).cast("double"), 1).alias("avg_reach_per_delivery"),
-    )
+    """Regions by coverage, the lowest first."""
+    return _ordered(_regions(fact, location).withColumn("avg_reach_per_delivery", F.round(
+        F.col("people_reached").cast("double") / F.nullif(F.col("delivery_records"), F.lit(0)).cast("double"), 1)),
+        "delivery_records", "people_reached", "region")
 
 
 def staffing(fact: DataFrame, bridge: DataFrame, name_contains: str | None = None) -> DataFrame:
-    """Staff count per delivery (left join to a per-event pre-aggregate, so
-    unstaffed deliveries keep a null count); optionally only deliveries whose
-    name contains a text."""
+    """Staff count per delivery (left join to a per-event pre-aggregate, so unstaffed deliveries
+    keep a null count); with ``name_contains`` only deliveries whose name holds the text, by date."""
     staff = bridge.groupBy("event_id").agg(F.count("educator_id").alias("educator_count"))
-    events = fact.select("event_id", "event_name")
-    if name_contains:
-        events = events.filter(F.col("event_name").contains(name_contains))
-    return events.join(staff, "event_id", "left")
+    events = fact.select("event_id", "event_name", "event_date", "event_type", "programme_type")
+    if name_contains is None:
+        return events.join(staff, "event_id", "left")
+    found = events.filter(F.col("event_name").contains(name_contains)).join(staff, "event_id", "left")
+    return _ordered(found.select("event_id", "event_date", "event_name", "educator_count"), "event_date", "event_id")
 
 
 # -- metric-layer questions ---------------------------------------------------
@@ -128,21 +149,24 @@ SUBURB_MEASURES = ["total_delivery_records", "total_people_reached", "average_pe
 
 
 def reach_by_suburb(model: Model) -> DataFrame:
-    return summarize(model, ["location.region", "location.suburb"], SUBURB_MEASURES)
+    """Suburbs, most people reached first."""
+    return summarize(model, ["location.region", "location.suburb"], SUBURB_MEASURES,
+                     order_by=[("total_people_reached", False), ("region", True), ("suburb", True)])
 
 
 def lowest_reach_suburbs(model: Model, n: int = 10) -> DataFrame:
-    """The n lowest-reach suburbs; ties at the cut are all kept."""
-    return top_n_with_ties(
-        reach_by_suburb(model), n,
-        [("total_people_reached", True), ("total_delivery_records", True), ("suburb", True)],
-        materialize=True,
-    )
+    """The n lowest-reach suburbs, the lowest first; ties at the cut are all kept.
+
+    Lazy: all order columns are whole numbers or text, so both reads of the input agree."""
+    order = [("total_people_reached", True), ("total_delivery_records", True), ("suburb", True)]
+    found = top_n_with_ties(summarize(model, ["location.region", "location.suburb"], SUBURB_MEASURES), n, order)
+    return _ordered(found, *[c for c, _ in order], "region")
 
 
 def venue_detail(model: Model) -> DataFrame:
     return summarize(model, ["location.venue_category", "location.venue_type"],
-                     ["total_delivery_records", "total_people_reached"])
+                     ["total_delivery_records", "total_people_reached"],
+                     order_by=[("venue_category", True), ("total_delivery_records", False), ("venue_type", True)])
 
 
 def time_and_outreach(model: Model) -> DataFrame:
@@ -177,7 +201,7 @@ def model_coverage(model: Model) -> DataFrame:
 
 def reconcile_region_reach(fact: DataFrame, location: DataFrame, model: Model) -> DataFrame:
     """Hand-written question vs metric layer for reach by region: one summary row."""
-    sql_side = reach_by_region(fact, location)
+    sql_side = _regions(fact, location)
     metric_side = summarize(model, ["location.region"],
                             ["total_delivery_records", "total_event_groups", "total_people_reached"],
                             filters={"location.region": lambda c: c.isNotNull()})

@@ -34,12 +34,12 @@ def monthly(model: Model, filters: Filters = None) -> DataFrame:
 def region(model: Model, filters: Filters = None) -> DataFrame:
     return summarize(model, ["location.region"], ["total_people_reached", "total_delivery_records",
                                                   "locations_reached"], filters,
-                     order_by=[("total_people_reached", False)])
+                     order_by=[("total_people_reached", False), ("region", True)])
 
 
 def programme(model: Model, filters: Filters = None) -> DataFrame:
     return summarize(model, ["fact.programme_type"], ["total_people_reached"], filters,
-                     order_by=[("total_people_reached", False)])
+                     order_by=[("total_people_reached", False), ("programme_type", True)])
 
 
 def kpi_attendance(model: Model, filters: Filters = None) -> DataFrame:
@@ -55,28 +55,27 @@ def monthly_attendance(model: Model, filters: Filters = None) -> DataFrame:
 def rate_by_type(model: Model, filters: Filters = None) -> DataFrame:
     return summarize(model, ["fact.event_type"], ["attendance_rate", "total_delivery_records",
                                                   "locations_reached"], filters,
-                     order_by=[("attendance_rate", False)])
+                     order_by=[("attendance_rate", False), ("event_type", True)])
 
 
 def satisfaction_by_programme(model: Model, filters: Filters = None) -> DataFrame:
     # unrated programmes stay blank (and so drop out), never 0
     return summarize(model, ["fact.programme_type"], ["average_satisfaction"], filters,
-                     order_by=[("average_satisfaction", False)])
+                     order_by=[("average_satisfaction", False), ("programme_type", True)])
 
 
 def slicer_members(model: Model, slicers=PAGE1_SLICERS + ("fact.programme_type",)) -> DataFrame:
     """Member lists of each slicer: ``(slicer, member, sort_order)``; months
     sort by month number, other members by label (sort_order null)."""
-    parts = []
+    by_table: dict[str, list[str]] = {}
     for ref in dict.fromkeys(slicers):
-        table, col = ref.split(".")
-        df = model.tables[table]
-        if ref == "date.month_name":
-            members = df.select(F.col(col).alias("member"), F.col("month_number").alias("sort_order"))
-        else:
-            members = df.select(F.col(col).alias("member"), F.lit(None).cast("int").alias("sort_order"))
-        parts.append(members.filter(F.col("member").isNotNull()).distinct()
-                     .select(F.lit(ref).alias("slicer"), "member", "sort_order"))
+        by_table.setdefault(ref.split(".")[0], []).append(ref)
+    parts = []
+    for table, refs in by_table.items():  # one pass per table: every row names its members
+        members = [F.struct(F.lit(ref).alias("slicer"), F.col(ref.split(".")[1]).cast("string").alias("member"),
+                            (F.col("month_number") if ref == "date.month_name" else F.lit(None).cast("int"))
+                            .alias("sort_order")) for ref in refs]
+        parts.append(model.tables[table].select(F.inline(F.array(*members))).filter(F.col("member").isNotNull()).distinct())
     return reduce(DataFrame.unionByName, parts)
 
 

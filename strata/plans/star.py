@@ -24,19 +24,16 @@ def dimension(
     return dedup_by_key(out, keys) if dedup else out
 
 
-def fact(df: DataFrame, derived: dict[str, Column], columns: Sequence[str]) -> DataFrame:
+def fact(df: DataFrame, derived: dict[str, Column], columns: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
     """Derive columns and project the fact in the declared order (one select).
 
-    ``columns`` not produced by ``derived`` nor present in ``df`` are skipped,
-    so one fact definition serves sources with fewer attributes."""
-    available = set(df.columns) | set(derived)
-    exprs = []
-    for c in columns:
-        if c in derived:
-            exprs.append(derived[c].alias(c))
-        elif c in available:
-            exprs.append(F.col(c))
-    return df.select(*exprs)
+    A column of ``columns`` that is neither derived nor in ``df`` is an error,
+    unless it is named in ``optional``: then the fact does without it."""
+    missing = [c for c in columns if c not in derived and c not in df.columns and c not in optional]
+    if missing:
+        raise ValueError(f"the fact's source lacks the columns {missing}")
+    return df.select(*[derived[c].alias(c) if c in derived else F.col(c)
+                       for c in columns if c in derived or c in df.columns])
 
 
 def date_table(df: DataFrame, date_col: str) -> DataFrame:

@@ -35,18 +35,11 @@ def read_csv(
     return with_ingest_metadata(df, source_file) if with_metadata else df
 
 
-_PARQUET_SCHEMAS: dict[str, StructType] = {}
-
-
-def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan; the schema of a path is inferred once per process and
-    then declared, so later reads skip the footer-reading inference job."""
-    schema = _PARQUET_SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _PARQUET_SCHEMAS[path] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
+def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None,
+                 schema: StructType | None = None) -> DataFrame:
+    """Parquet scan. With a declared ``schema`` no file is opened to infer one."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
     return df.select(*columns) if columns else df
 
 

@@ -33,7 +33,9 @@ def write_table(
     """Overwrite ``path``. With ``bucket_by=(n, cols)`` the data is also
     hash-bucketed and sorted by ``cols`` and registered as the external
     catalog table ``catalog_table`` (bucketing lives in the catalog), so
-    later joins and aggregations on those columns need no shuffle."""
+    later joins and aggregations on those columns need no shuffle. The rows
+    are first dealt by the same columns into ``n`` partitions, so a bucket is
+    one file however many tasks computed the table."""
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -41,6 +43,9 @@ def write_table(
         if not catalog_table:
             raise ValueError("a bucketed table needs a catalog table name")
         n, cols = bucket_by
+        writer = df.repartition(n, *cols).write.mode("overwrite").format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(catalog_table)
     else:
         writer.save(path)

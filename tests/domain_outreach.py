@@ -1,8 +1,6 @@
-"""Test fixture domain: community outreach deliveries read from four CSV files.
+"""Test domain: community outreach deliveries in four CSV files that the tests write.
 
-Declared source schemas, cleaning specs and expected control totals. The CSV
-files themselves are not part of this repository; tests that need them read
-the folder named by STRATA_FIXTURE_CSV_DIR and are skipped when it is unset.
+Declared source schemas, cleaning specs and checks.
 """
 
 from __future__ import annotations

@@ -1,6 +1,8 @@
 import datetime as dt
 
-from strata.plans.delivery import gold_dim_location, gold_fact
+import pytest
+
+from strata.plans.delivery import FACT_COLUMNS, gold_dim_location, gold_fact
 
 
 def test_gold_fact_derivations(spark):
@@ -17,8 +19,11 @@ def test_gold_fact_derivations(spark):
         "event_id string, event_group_id string, event_date date, location_id string, registered_count int, "
         "attended_count int, engaged_people_count int, session_duration_minutes int",
     )
-    out = {r.event_id: r for r in gold_fact(df).collect()}
-    assert gold_fact(df).columns[:4] == ["event_id", "event_group_id", "event_date_key", "event_date"]
+    with pytest.raises(ValueError, match="event_name"):
+        gold_fact(df)
+    fact = gold_fact(df, optional=FACT_COLUMNS)
+    assert fact.columns == [c for c in FACT_COLUMNS if c in fact.columns]
+    out = {r.event_id: r for r in fact.collect()}
     assert out["a"].event_date_key == 20270101 and out["a"].delivery_count == 1
     assert [out[k].people_reached for k in "abcde"] == [8, 0, 0, 7, 2]
     assert [out[k].attendance_variance for k in "abcde"] == [-2, None, 3, 5, None]

@@ -1,114 +1,108 @@
-"""Golden control totals of the outreach fixture domain (four CSV files).
-
-The CSV files are not shipped; set STRATA_FIXTURE_CSV_DIR to the folder that
-holds events.csv, locations.csv, educators.csv and event_educators.csv.
-"""
-
-import os
+"""Golden totals of a small outreach domain, from CSV text with known defects to measures."""
 
 import pytest
-from pyspark.sql import functions as F
 
+from strata.functions.clean import cast_rejects
 from strata.operators import run_checks
 from strata.plans import questions
 from strata.plans.delivery import delivery_model
-from strata.plans.layers import run_layers
 from strata.plans.metrics import row, summarize
 from strata.session import scratch_path
 from strata.sources import read_csv
 from tests import domain_outreach as D
 
-CSV_DIR = os.environ.get("STRATA_FIXTURE_CSV_DIR")
-pytestmark = pytest.mark.skipif(
-    not CSV_DIR or not os.path.exists(os.path.join(CSV_DIR or "", "events.csv")),
-    reason="STRATA_FIXTURE_CSV_DIR not set",
-)
+# event, group, date, type, programme, place, registered, attended, engaged, minutes, score
+EVENTS = [
+    ("E1", "G1", "2024-01-05", "Talk", "A", "L1", "10", "8", "", "60", "4.0"),
+    (" E1 ", "G1", "2024-01-05", "Talk", "A", "L1", "10", "8", "", "60", "4.0"),   # the same key again, padded
+    ("E2", "G1", "2024-01-20", "Talk", "A", "L2", "0", "5", "7", "30", ""),         # nobody registered
+    ("E3", "G2", "2024-02-01", "Class", "B", "L1", "4", "6", "", "90", "5"),        # a rate above 1
+    ("E4", "G3", "2024-02-15", "Class", "B", "L9", "", "3", "20", "x", ""),         # no such place, no such number
+    ("E5", "G3", "2024-03-01", "Talk", "A", "L2", "ten", "2", "0", "45", "3"),      # a true 0 engaged
+    (" ", "G9", "2024-03-02", "Talk", "A", "L1", "2", "1", "", "15", ""),           # no key
+]
+ASSIGNMENTS = [("E1", "P1", "", "2"), ("E1", "P1", "", "2"), ("E1", "P2", "lead", "1"), ("E2", "P1", "", "3"),
+               ("E3", "P2", "", "2.5"), ("E9", "P1", "", "1"), ("E4", "P1", "", "many")]
+
+
+def _csv(spark, table, rows):
+    """Rows (column → text; absent columns empty) as a CSV file read with the declared schema."""
+    names = [c.name for c in table.columns]
+    lines = [",".join(names)] + [",".join(r.get(n, "") for n in names) for r in rows]
+    path = scratch_path(spark, table.name)
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return read_csv(spark, path, table)
 
 
 @pytest.fixture(scope="module")
 def built(spark):
-    bronze = {t.name: read_csv(spark, os.path.join(CSV_DIR, f"{t.name}.csv"), t, f"{t.name}.csv")
-              for t in (D.EVENTS, D.LOCATIONS, D.EDUCATORS, D.ASSIGNMENTS)}
-    expected = {"events": 47, "locations": 27, "educators": 8, "event_educators": 132}
-    bronze_checks = run_checks(bronze, D.bronze_checks(expected), "bronze")
-    results = run_layers(spark, D.layers(), bronze, scratch_path(spark, "fixture"))
-    gold = results[1].tables
+    event = ("event_id", "event_group_id", "event_date", "event_type", "programme_type", "location_id", "registered_count",
+             "attended_count", "engaged_people_count", "session_duration_minutes", "satisfaction_score")
+    bronze = {
+        "events": _csv(spark, D.EVENTS, [dict(zip(event, r)) for r in EVENTS]),
+        "locations": _csv(spark, D.LOCATIONS, [
+            {"location_id": "L1", "region": "North", "suburb": "Hill", "venue_type": "Hall"},
+            {"location_id": "L2", "region": "South", "suburb": "Bay", "venue_type": "Church Hall"}]),
+        "educators": _csv(spark, D.EDUCATORS, [{"educator_id": "P1", "educator_name": "Ann"},
+                                               {"educator_id": "P2", "educator_name": "Bo"}]),
+        "event_educators": _csv(spark, D.ASSIGNMENTS, [
+            dict(zip(("event_id", "educator_id", "educator_role", "hours_worked"), r)) for r in ASSIGNMENTS]),
+    }
+    silver = D.silver(bronze)
+    gold = D.gold(silver)
     model = delivery_model(gold["fact"], gold["date"], gold["location"], gold["educator"], gold["bridge"])
-    return bronze_checks, results, gold, model
-
-
-def test_all_layer_checks_pass(built):
-    bronze_checks, results, _, _ = built
-    assert bronze_checks.filter("NOT passed").count() == 0
-    for r in results:
-        assert all(row["passed"] for row in r.check_rows)
+    return bronze, silver, gold, model
 
 
-def test_kpis(built):
-    _, _, gold, model = built
+def test_totals(built):
+    _, _, _, model = built
     r = row(model, ["total_delivery_records", "total_event_groups", "total_people_reached", "total_registered",
-                    "registered_event_attended", "attendance_variance", "attendance_rate", "rated_delivery_records",
-                    "average_satisfaction", "total_session_hours", "locations_reached",
-                    "average_people_reached_per_delivery", "educator_hours"]).collect()[0]
-    assert (r.total_delivery_records, r.total_event_groups, r.total_people_reached) == (47, 34, 3565)
-    assert (r.total_registered, r.registered_event_attended, r.attendance_variance) == (191, 171, -20)
-    assert round(r.attendance_rate, 3) == 0.895 and r.rated_delivery_records == 9
-    assert round(r.average_satisfaction, 2) == 4.64 and round(r.total_session_hours, 2) == 207.92
-    assert r.locations_reached == 27 and round(r.average_people_reached_per_delivery, 1) == 75.9
-    assert round(r.educator_hours, 1) == 701.4
-    cov = questions.model_coverage(model).collect()[0]
-    assert (cov.bridge_assignments, cov.events_without_educators, cov.date_rows) == (132, 0, 166)
-
-
-def test_monthly_region_programme(built):
+                    "total_attended", "registered_event_attended", "attendance_variance", "attendance_rate",
+                    "rated_delivery_records", "average_satisfaction", "total_session_hours", "locations_reached",
+                    "average_people_reached_per_delivery", "educator_hours", "events_delivered_by_educator"]).collect()[0]
+    assert r.asDict() == {
+        "total_delivery_records": 6, "total_event_groups": 4, "total_people_reached": 42, "total_registered": 16,
+        "total_attended": 25, "registered_event_attended": 15, "attendance_variance": -1, "attendance_rate": 15 / 16,
+        "rated_delivery_records": 3, "average_satisfaction": 4.0, "total_session_hours": 4.0, "locations_reached": 3,
+        "average_people_reached_per_delivery": 7.0, "educator_hours": 9.5, "events_delivered_by_educator": 5}
+    c = questions.model_coverage(model).collect()[0]
+    assert (c.fact_delivery_records, c.bridge_assignments, c.events_without_educators, c.date_rows) == (6, 6, 2, 58)
+
+
+def test_groups(built):
     _, _, gold, model = built
-    month = {r.year_month: tuple(r)[1:] for r in summarize(
-        model, ["date.year_month"], ["total_delivery_records", "total_event_groups", "total_people_reached",
-                                     "total_registered", "total_attended"]).collect()}
-    assert month == {"2026-02": (6, 5, 460, 20, 19), "2026-03": (8, 7, 544, 42, 38), "2026-04": (4, 4, 151, 22, 19),
-                     "2026-05": (12, 6, 1450, 78, 69), "2026-06": (13, 8, 583, 29, 26),
-                     "2026-07": (4, 4, 377, None, None)}
-    region = {r.region: (r.delivery_records, r.event_groups, r.people_reached)
-              for r in questions.reach_by_region(gold["fact"], gold["location"]).collect()}
-    assert region == {"Central Auckland": (28, 21, 2233), "South Auckland": (9, 9, 653),
-                      "West Auckland": (5, 5, 484), "North Shore": (3, 3, 167), "East Auckland": (1, 1, 24),
-                      "North Auckland": (1, 1, 4)}
-    prog = {r.programme_type: (r.delivery_records, r.people_reached)
-            for r in questions.reach_by_attribute(gold["fact"], "programme_type").collect()}
-    assert prog == {"Water Safety Awareness": (29, 3314), "Be Water Safe": (7, 152), "Boating Safety": (9, 80),
-                    "Ambassador Training": (2, 19)}
-
-
-def test_language_venue_attendance_satisfaction(built):
-    _, _, gold, model = built
-    lang = {r.delivery_language: (r.delivery_records, r.people_reached)
-            for r in questions.reach_by_attribute(gold["fact"], "delivery_language").collect()}
-    assert lang["English/Te Reo Māori"] == (2, 240) and lang["English"] == (30, 2023)
-    venue = {r.venue_category: (r.delivery_records, r.people_reached)
-             for r in questions.venue_categories(gold["fact"], gold["location"]).collect()}
-    assert venue["Church"] == (9, 333) and venue["Expo Centre"] == (8, 1289) and len(venue) == 12
-    att = {r.event_type: r.attendance_rate_pct for r in questions.attendance_by_type(gold["fact"]).collect()}
-    assert att == {"Training": 94.4, "Community Presentation": 91.2, "Presentation": 87.6}
-    sat = {r.event_type: (r.rated_events, r.avg_satisfaction_score)
-           for r in questions.satisfaction_by_type(gold["fact"]).collect()}
-    assert sat == {"Training": (3, 4.77), "Community Presentation": (1, 4.7), "Presentation": (5, 4.56)}
-
-
-def test_educators_and_lowest_reach_suburbs(built):
-    _, _, gold, model = built
-    edu = {r.educator_id: (r.events_delivered, r.total_hours)
-           for r in questions.educator_ranking(gold["bridge"], gold["educator"]).collect()}
-    assert edu == {"EDU001": (24, 100.9), "EDU002": (24, 127.6), "EDU003": (18, 103.1), "EDU004": (14, 85.3),
-                   "EDU005": (21, 106.4), "EDU006": (11, 59.8), "EDU007": (12, 66.3), "EDU008": (8, 52.0)}
-    low = questions.lowest_reach_suburbs(model, 10).orderBy("total_people_reached", "total_delivery_records",
-                                                             "suburb").collect()
-    assert [(r.suburb, r.total_people_reached) for r in low] == [
-        ("Mangere Bridge", 3), ("Omaha", 4), ("Okahu Bay", 13), ("Te Atatu", 16), ("Takapuna", 20),
-        ("Half Moon Bay", 24), ("Otara", 31), ("Mt Albert", 43), ("Epsom", 63), ("Otahuhu", 74)]
-    assert questions.reconcile_region_reach(gold["fact"], gold["location"], model).collect()[0].matched == 6
-
-
-def test_literal_none_and_true_zero_survive(built):
-    _, _, gold, _ = built
-    assert gold["location"].filter(F.col("water_access") == "None").count() > 0
-    assert gold["fact"].filter(F.col("engaged_people_count") == 0).count() >= 1
+    month = [tuple(r) for r in questions.monthly_trend(gold["fact"], gold["date"]).collect()]
+    assert month == [("2024-01", 2, 1, 15), ("2024-02", 2, 2, 26), ("2024-03", 2, 2, 1)]
+    region = [tuple(r) for r in questions.reach_by_region(gold["fact"], gold["location"]).collect()]
+    assert region == [("North", 3, 3, 15), ("South", 2, 2, 7)]
+    blank = {r.region: r.total_people_reached for r in summarize(model, ["location.region"], ["total_people_reached"]).collect()}
+    assert blank == {"North": 15, "South": 7, None: 20}
+    kinds = [tuple(r) for r in questions.attendance_by_type(gold["fact"]).collect()]
+    assert kinds == [("Class", 1, 6, 2, 150.0), ("Talk", 3, 14, 2, 116.7)]
+    venues = [tuple(r) for r in questions.venue_categories(gold["fact"], gold["location"]).collect()]
+    assert venues == [("Hall", 3, 15), ("Church", 2, 7)]
+    staff = [tuple(r)[:1] + tuple(r)[3:] for r in questions.educator_ranking(gold["bridge"], gold["educator"]).collect()]
+    assert staff == [("P1", 4, 6.0), ("P2", 2, 3.5)]
+
+
+def test_checks_name_the_defects(built):
+    bronze, silver, _, _ = built
+    failed = {r.check_name: r.violations for r in run_checks(
+        bronze, D.bronze_checks({"events": 7, "locations": 3}), "bronze").collect() if not r.passed}
+    assert failed == {"event_educators_event_id_educator_id_unique": 1, "events_location_id_fk_locations": 1,
+                      "event_educators_event_id_fk_events": 1, "events_lead_educator_id_fk_educators": 1,
+                      "events_covered_by_event_educators": 3, "locations_row_count": 1}
+    failed = {r.check_name: r.violations for r in run_checks(silver, D.silver_checks(), "silver").collect() if not r.passed}
+    assert failed == {"events_event_id_not_null": 1, "events_location_id_fk_locations": 1,
+                      "events_covered_by_event_educators": 2}
+    rejects = cast_rejects(bronze["events"], D.EVENTS_CLEAN).collect()[0]
+    assert (rejects.registered_count, rejects.session_duration_minutes, rejects.attended_count) == (1, 1, 0)
+
+
+def test_row_values(built):
+    _, silver, gold, _ = built
+    rows = {r.event_id: r for r in gold["fact"].collect()}
+    assert len(rows) == 6 and rows["E3"].attendance_rate == 1.5 and rows["E2"].attendance_rate is None
+    assert rows["E5"].people_reached == 0 and rows["E5"].registered_count is None
+    roles = {(r.event_id, r.educator_id): r.educator_role for r in silver["event_educators"].collect()}
+    assert roles[("E1", "P2")] == "lead" and len(roles) == 6
