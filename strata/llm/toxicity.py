@@ -2,7 +2,8 @@
 
 1. Words and the letter 4- and 5-grams inside them (insults are inflected and
    compounded) get log-odds of standing in toxic against clean documents, with
-   a Dirichlet prior in proportion to their count over all documents; those
+   a Dirichlet prior in proportion to the number of all documents that hold
+   them (so no text can shift it by repeating a word); those
    whose odds stand out (by ``MIN_ODDS`` and z >= ``MIN_Z``) form the lexicon, at most
    ``MAX_LEXICON`` of them. A token scores the highest odds of its word and
    grams; a token without any costs ``-DRIFT``, so chance segments do not grow.
@@ -21,7 +22,7 @@ bounded by ``MAX_LEXICON``; the calibration groups the training texts into
 
 Defined results: null or empty texts have no segment and get the score of no
 evidence; rows come back one for one; null ids are not held out and have no
-label; without labels of both kinds the score is 0.5 at most everywhere.
+label; without labels of both kinds every score is 0.
 Of several labels of one doc_id the largest counts.
 """
 
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -65,7 +67,7 @@ class Lexicon:
     odds: dict[str, float]
     lam: float = 1.0
     k: float = 1.0
-    curve: list[float] = field(default_factory=lambda: [0.0] * BINS)
+    curve: list[tuple[int, float]] = field(default_factory=list)  # (evidence bin, share of toxic texts), rising
     words: dict[str, float] = field(default_factory=dict)  # a worker's cache
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[float, int, int]]]:
@@ -91,11 +93,15 @@ class Lexicon:
         return sum(x for s, _, _ in segments if (x := self.lam * s - base) > 0)
 
     def score(self, evidence: float) -> float:
-        """Monotone in the evidence: between the centres of two bins, in proportion."""
-        at = min(evidence / BIN_WIDTH, BINS - 1.0)
-        i = int(at)
-        after = self.curve[min(i + 1, BINS - 1)]
-        return self.curve[i] + (after - self.curve[i]) * (at - i)
+        """Monotone in the evidence: between the centres of two bins that have texts, in proportion."""
+        if not self.curve:
+            return 0.0
+        at = evidence / BIN_WIDTH
+        i = bisect_left(self.curve, at, key=lambda k: k[0])
+        if i == 0 or i == len(self.curve):
+            return self.curve[max(0, i - 1)][1]
+        (x, low), (y, high) = self.curve[i - 1], self.curve[i]
+        return low + (high - low) * (at - x) / (y - x)
 
 
 def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[float, int, int]]:
@@ -127,8 +133,8 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = MA
     """``docs``: doc_id, text; ``labels``: doc_id, toxic; ``training``: which doc_ids may teach.
 
     The lexicon is fitted on at most ``sample`` labelled documents of each kind (those whose id
-    hashes lowest), so the join with the texts may broadcast their ids; the prior counts every
-    token of every document."""
+    hashes lowest), so the join with the texts may broadcast their ids; the prior counts the words
+    of every document."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & training)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     few = reduce(DataFrame.union, [known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -144,7 +150,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = MA
     by_word = (
         words(taught, F.array_distinct(split)).groupBy("w").agg(F.count_if(F.col("toxic") == 1).alias("t"),
                                        F.count_if(F.col("toxic") == 0).alias("c"))
-        .join(words(docs.select("text"), split).groupBy("w").agg(F.count("*").alias("n")), "w"))
+        .join(words(docs.select("text"), F.array_distinct(split)).groupBy("w").agg(F.count("*").alias("n")), "w"))
     counts = stored(by_word.withColumn("w", F.explode(F.concat(F.array("w"), F.array_distinct(grams))))
                     .groupBy("w").agg(*(F.sum(c).alias(c) for c in "tcn")), "toxicity-features")
     total = counts.agg(F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("c").alias("c")).first()
@@ -196,17 +202,14 @@ def calibrate(lexicon: Lexicon, taught: DataFrame) -> None:
 
     bins = (taught.select("text", "toxic").mapInArrow(run, "bin int, toxic int")
             .groupBy("bin").agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("t")).collect())
-    seen = {r.bin: (r.t, r.n) for r in bins}
-    everywhere = sum(t for t, _ in seen.values()) / max(1, sum(n for _, n in seen.values()))
-    blocks: list[list[float]] = []  # [toxic, texts, bins]; pooled while they fall
-    for i in range(BINS):
-        t, n = seen.get(i, (0, 0))
-        blocks.append([t + everywhere * 0.01, n + 0.01, 1] if n else [0.0, 0.0, 1])
-        while len(blocks) > 1 and (blocks[-1][1] == 0 or blocks[-2][1] == 0
-                                   or blocks[-2][0] / blocks[-2][1] > blocks[-1][0] / blocks[-1][1]):
-            t, n, k = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + t, blocks[-1][1] + n, blocks[-1][2] + k]
-    lexicon.curve = [t / n if n else everywhere for t, n, k in blocks for _ in range(k)]
+    everywhere = sum(r.t for r in bins) / max(1, sum(r.n for r in bins))
+    blocks: list[list] = []  # [toxic, texts, bins]; neighbours are pooled while the share falls
+    for r in sorted(bins, key=lambda r: r.bin):
+        blocks.append([r.t + everywhere * 0.01, r.n + 0.01, [r.bin]])
+        while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] > blocks[-1][0] / blocks[-1][1]:
+            t, n, own = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + t, blocks[-1][1] + n, blocks[-1][2] + own]
+    lexicon.curve = [(b, t / n) for t, n, own in blocks for b in own]
 
 
 def score(docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
