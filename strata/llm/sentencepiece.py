@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Words (a run of blanks and what follows it) are encoded once, not once per occurrence:
+Words (blanks and the letters, or all, that follow them) are encoded once, not once per occurrence:
 
 1. the words of all documents are counted;
 2. every substring of a word up to the longest piece is a row, and an equi-join with the
@@ -44,10 +44,15 @@ from strata.llm.token_counts import vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-MAX_WORDS = 150_000   # dictionary entries sent to the workers
+MAX_WORDS = 200_000   # dictionary entries sent to the workers
 MAX_LENGTH = 48       # characters of a dictionary word
-CACHE_WORDS = 1 << 18
-WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
+CACHE_WORDS = 1 << 19
+# Marks that no piece of the vocabulary holds next to a letter: no merge crosses between the two.
+APART = ".,;:!?"
+# A word of letters that ends before such a mark, a blank or a line end; else all up to a blank or line end.
+CUT = "{mark}*{letter}+(?=[{mark}\n{apart}]|{end})|{mark}+[^{mark}\n]*|[^{mark}\n]+|\n"
+WORD = re.compile(CUT.format(mark=MARK, letter=r"[^\W\d_]", apart=APART, end=r"\Z"))
+ROWS = 500            # rows encoded at once
 UNKNOWN = -1          # stands for a character without a piece until its bytes are put in
 
 
@@ -63,6 +68,8 @@ class Pieces:
         self.ids = {self.names[i]: i for i in plain}
         if "\n" in self.ids:
             raise ValueError("words are cut at line ends: the vocabulary must not hold them")
+        if any(a in APART and b.isalpha() or b in APART and a.isalpha() for p in self.ids for a, b in zip(p, p[1:])):
+            raise ValueError(f"words are cut between letters and {APART}: no piece may hold both side by side")
         self.ranks = {self.names[i]: -sp.get_score(i) for i in plain if len(self.names[i]) > 1}
         self.bpe = Bpe(self.ids, ranks=self.ranks)
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -122,7 +129,7 @@ def pieces(path: str) -> Pieces:
 def words(text: Column) -> Column:
     """The words of a text, as an array column; the same cuts as ``WORD``."""
     marked = F.concat(F.lit(MARK), F.translate(text, " ", MARK))
-    return F.regexp_extract_all(marked, F.lit(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n"), F.lit(0))
+    return F.regexp_extract_all(marked, F.lit(CUT.format(mark=MARK, letter=r"\p{L}", apart=APART, end=r"\z")), F.lit(0))
 
 
 def lattice(word_table: DataFrame, piece_table: DataFrame, longest: int) -> DataFrame:
@@ -173,7 +180,7 @@ def walk_back(best: Column, n: Column) -> Column:
 def encode_words(word_table: DataFrame, model: Pieces) -> DataFrame:
     """(word, path): the encoding of every word as (start, id) pairs."""
     spark = word_table.sparkSession
-    dealt = word_table.select("word").repartition(F.col("word"))
+    dealt = word_table.select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     grouped = lattice(dealt, model.table(spark), model.bpe.longest)
     merges = F.filter("edges", lambda x: x["e"] - x["s"] > 1)
     folded = grouped.withColumn("merges", merges).withColumn("best", viterbi(F.col("edges"), F.col("merges"), F.col("n")))
@@ -222,14 +229,13 @@ def encode_documents(docs: DataFrame, model: str | None = None, most: int = MAX_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = pieces(model or vocabulary_path(MODEL)), shared.value
-        for b in batches:
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             texts = b.column(1).to_pylist()
             ids = [m.encode(t, known) for t in texts]
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate([*ids, np.zeros(0, np.int32)])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(flat)).cast(
-                    pa.list_(pa.int32())),
+                [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                  pa.array([len(x) for x in ids], pa.int64()), pa.array([len((t or "").encode()) for t in texts], pa.int64()),
                  pa.array([m.decode(x.tolist()) == (t or "") for x, t in zip(ids, texts)], pa.bool_())],
                 ["doc_id", "ids", "n_tokens", "n_bytes", "round_trip"])
