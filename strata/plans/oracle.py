@@ -169,7 +169,7 @@ def with_ctes(body: str, *names: str) -> str:
 def _check_row(layer: str, name: str, kind: str, table: str, observed_sql: str, expected: str = "0",
                severity: str = "error") -> str:
     return (f"SELECT '{layer}' AS layer, '{name}' AS check_name, '{kind}' AS check_kind, '{table}' AS table_name, "
-            f"CAST(({observed_sql}) AS BIGINT) AS observed, CAST({expected} AS BIGINT) AS expected, "
+            f"CAST(({observed_sql}) AS BIGINT) AS observed, CAST(({expected}) AS BIGINT) AS expected, "
             f"CAST(abs(({observed_sql}) - ({expected})) AS BIGINT) AS violations, "
             f"({observed_sql}) = ({expected}) AS passed, "
             f"'{severity}' AS severity")
