@@ -36,8 +36,8 @@ from strata.llm.common import parts_for, stored, table
 K = 5
 SHARD = 8192        # vectors per tree, on average
 QUERY_BLOCK = 1024  # queries that visit a tree together, on average
-PAGE = 128          # entries of a page
-FANOUT = 16         # routing objects per split
+PAGE = 512          # entries of a page
+FANOUT = 32         # routing objects per split
 SCALE = 256
 SLACK = 1e-6        # relative margin for rounding in distances
 
@@ -60,6 +60,7 @@ class MTree:
         norms = (points * points).sum(axis=1)
         self.far2 = norms.max(initial=0.0)
         self.extra = np.sqrt(np.maximum(self.far2 - norms, 0.0))
+        self.blocks: dict[int, np.ndarray] = {}  # page → its entries' vectors side by side, once visited
 
     @classmethod
     def build(cls, points: np.ndarray, ids: np.ndarray, seed: int = 7) -> "MTree":
@@ -140,7 +141,11 @@ class MTree:
                     continue
             else:
                 open_ = np.arange(len(entries))
-            score = self.points[entries[open_]] @ q  # whole numbers below 2^53: exact
+            block = self.blocks.get(number)
+            if block is None:
+                block = self.blocks[number] = self.points[entries]
+            # whole numbers below 2^53: exact
+            score = (block if len(open_) == len(entries) else block[open_]) @ q
             computed += len(open_)
             distance = np.sqrt(np.maximum(q2 + self.far2 - 2 * score, 0.0))
             if radii is not None:
@@ -150,7 +155,11 @@ class MTree:
                         heapq.heappush(queue, (max(0.0, b - margin), int(child), float(d)))
                 continue
             near = np.flatnonzero(distance <= reach + margin)
-            for s, i in zip(score[near], self.ids[entries[open_[near]]]):
+            ids = self.ids[entries[open_[near]]]
+            if len(near) > 4 * k:  # the page's own k best, and one more as the query itself may be among them
+                first = np.lexsort((ids, -score[near]))[:k + 1]
+                near, ids = near[first], ids[first]
+            for s, i in zip(score[near].tolist(), ids.tolist()):
                 if i == query_id:
                     continue
                 if len(best) < k:
