@@ -3,10 +3,10 @@
 1. Fingerprints: one Arrow pass over the documents; equal ones become one leaf.
 2. Pairs of trie nodes are walked together from (root, root), ``STEP`` bits at a
    time, as a table: a pair whose prefixes differ in more than ``MAX_BITS`` bits
-   is dropped, a pair with more than ``LEAVES`` leaves below it is joined with
-   the children of both nodes, any other pair is done. Node counts decide, so a
+   is dropped, a pair with too many leaves below it is joined with the children
+   of both nodes, any other pair is done. Node counts decide, so a
    prefix that many fingerprints share is split further down than others.
-3. A done pair's leaves meet in one group of at most ``LEAVES``: the walk goes on
+3. A done pair's leaves meet in one group of at most ``MOST``: the walk goes on
    there bit by bit over sorted arrays, down to node pairs of a few leaves, whose
    fingerprints are compared. Links leave the group as a spanning forest, never
    as all pairs of a dense cluster, so no link between components is lost.
@@ -34,7 +34,9 @@ SHINGLE = 3
 SEED = 42
 MAX_BITS = 3
 STEP = 4           # bits per level of the distributed walk
-LEAVES = 1 << 15   # most leaves of a done node pair
+LEAVES = 1 << 15   # leaves of a done node pair, at least: fewer, larger groups
+MOST = 1 << 20     # repeat a leaf in fewer pairs, so groups grow with the input
+SHARE = 64         # (a SHARE-th of all leaves) up to this many
 FEW = 8            # leaves per node below which fingerprints are compared directly
 BLOCK = 1 << 20    # comparisons or node pairs held at once
 
@@ -72,10 +74,11 @@ def prefix(fp: Column, bits: int) -> Column:
     return F.shiftrightunsigned(fp, 64 - bits) if bits else F.lit(0).cast("long")
 
 
-def node_pairs(leaves: DataFrame, max_bits: int = MAX_BITS, most: int = LEAVES) -> DataFrame:
+def node_pairs(leaves: DataFrame, max_bits: int = MAX_BITS, most: int | None = None) -> DataFrame:
     """(depth, u, v, diff): node pairs that together hold every pair of leaves within
     ``max_bits``, each with at most ``most`` leaves (or at full depth)."""
     total = leaves.count()
+    most = most or min(MOST, max(LEAVES, total // SHARE))
     if total <= most:
         return leaves.sparkSession.createDataFrame([(0, 0, 0, 0)], "depth int, u long, v long, diff int")
     done, depth = None, 0
@@ -176,7 +179,7 @@ def join_subtrees(fp: np.ndarray, u: tuple[int, int], v: tuple[int, int], depth:
     return label
 
 
-def links_of(leaves: DataFrame, max_bits: int = MAX_BITS, most: int = LEAVES) -> DataFrame:
+def links_of(leaves: DataFrame, max_bits: int = MAX_BITS, most: int | None = None) -> DataFrame:
     """(a, b): links between leaves' documents, per node pair a spanning forest of all its links.
 
     ``leaves``: fp (distinct), doc."""
@@ -203,7 +206,7 @@ def links_of(leaves: DataFrame, max_bits: int = MAX_BITS, most: int = LEAVES) ->
     return rows.groupBy("depth", "u", "v", "diff").applyInPandas(run, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS, most: int = LEAVES) -> DataFrame:
+def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS, most: int | None = None) -> DataFrame:
     """doc_id, fingerprint, component_id; one row per input row."""
     prints = stored(fingerprints(docs), "simhash-prints")
     leaves = stored(prints.groupBy("fp").agg(F.min("doc").alias("doc")), "simhash-leaves")
