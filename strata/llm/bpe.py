@@ -98,7 +98,7 @@ class Bpe:
         key = (a, b)
         ok = self._fits.get(key)
         if ok is None:
-            if len(self._fits) > 1_000_000:  # a cache only: bounds a worker's memory
+            if len(self._fits) >= 300_000:  # a cache only: bounds a worker's memory
                 self._fits.clear()
             ok = self._fits[key] = self._meets(a, b)
         return ok

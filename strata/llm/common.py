@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``: bounds what a worker unpacks at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def parts_for(rows: int, rows_per_part: int, least: int = 1) -> int:
     """How many pieces keep each at or below ``rows_per_part`` on average."""
     return max(least, math.ceil(rows / rows_per_part))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import parts_for, stored, table
+from strata.llm.common import parts_for, sliced, stored, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -261,7 +261,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> D
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = shared.value
-            for b in batches:
+            for b in sliced(batches):
                 rows = [(d, *hit) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for hit in m.search(t)]
                 columns = list(zip(*rows)) or [()] * 7
                 kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.float64()] * 4]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import crc_mod, table
+from strata.llm.common import crc_mod, sliced, table
 
 BUCKETS = 1 << 14
 UNDETERMINED = "und"
@@ -92,7 +92,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in sliced(batches):
             for language, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if t and LETTER.search(t):
                     g = np.bincount(grams(t), minlength=BUCKETS)
@@ -134,7 +134,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in sliced(batches):
             found = [m.predict(t) for t in b.column(1).to_pylist()]
             lang, score, unsure, wrong = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -168,7 +168,7 @@ def language_filter(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in sliced(batches):
             found = [m.predict(t) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([lang != UNDETERMINED and score >= MIN_SCORE for lang, score, *_ in found],
                                     pa.bool_()))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import order_key, parts_for, stored, table
+from strata.llm.common import order_key, parts_for, sliced, stored, table
 from strata.llm.cuckoo import CuckooFilter
 
 MIN_KEY = 10              # code points
@@ -175,7 +175,7 @@ def deduped(docs: DataFrame, index: LineIndex) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256; one row per input row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             found = [kept_lines(t, set(r or ())) for t, r in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for _, n, _ in found], pa.int64()),
@@ -195,7 +195,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     at, repeats = docs.columns.index("text"), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts = [kept_lines(t, set(r))[0] if r else t
                      for t, r in zip(b.column(at).to_pylist(), b.column(repeats).to_pylist())]
             columns = [b.column(i) for i in range(repeats)]

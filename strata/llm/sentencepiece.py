@@ -39,20 +39,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.bpe import TOP, Bpe
-from strata.llm.common import stored, table
+from strata.llm.common import sliced, stored, table
 from strata.llm.token_counts import vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 MAX_WORDS = 200_000   # dictionary entries sent to the workers
 MAX_LENGTH = 48       # characters of a dictionary word
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 300_000
 # Marks that no piece of the vocabulary holds next to a letter: no merge crosses between the two.
 APART = ".,;:!?"
 # A word of letters that ends before such a mark, a blank or a line end; else all up to a blank or line end.
 CUT = "{mark}*{letter}+(?=[{mark}\n{apart}]|{end})|{mark}+[^{mark}\n]*|[^{mark}\n]+|\n"
 WORD = re.compile(CUT.format(mark=MARK, letter=r"[^\W\d_]", apart=APART, end=r"\Z"))
-ROWS = 500            # rows encoded at once
 UNKNOWN = -1          # stands for a character without a piece until its bytes are put in
 
 
@@ -229,7 +228,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, most: int = MAX_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = pieces(model or vocabulary_path(MODEL)), shared.value
-        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
+        for b in sliced(batches):
             texts = b.column(1).to_pylist()
             ids = [m.encode(t, known) for t in texts]
             ends = np.cumsum([0, *map(len, ids)])
@@ -248,7 +247,7 @@ def decode_documents(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = pieces(model or vocabulary_path(MODEL))
-        for b in batches:
+        for b in sliced(batches):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([m.decode(x or []) for x in b.column(1).to_pylist()], pa.string())], ["doc_id", "text"])
 

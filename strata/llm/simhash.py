@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import LAST_DOC, order_key, stored, table
+from strata.llm.common import LAST_DOC, order_key, sliced, stored, table
 from strata.llm.components import connected_components
 
 SHINGLE = 3
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """(doc, fp): the order key of the id, and the fingerprint's 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             fp = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc", "fp"])
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.bpe import byte_level
-from strata.llm.common import table
+from strata.llm.common import sliced, table
 
 LIMIT = 512
 VOCABULARY = "byte_bpe_50k.json"
@@ -178,7 +178,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(source or vocabulary_path(VOCABULARY))
-        for b in batches:
+        for b in sliced(batches):
             ids, texts = b.column(0), b.column(1).to_pylist()
             sizes = [len(t.encode()) if t else 0 for t in texts]
             n = [c.count(t) for t in texts]

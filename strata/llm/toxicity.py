@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import crc_mod, stored, table
+from strata.llm.common import crc_mod, sliced, stored, table
 
 MIN_Z = 3.0
 MIN_ODDS = 2.5
@@ -195,7 +195,7 @@ def calibrate(lexicon: Lexicon, taught: DataFrame) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in sliced(batches):
             found = [min(BINS - 1, round(m.evidence(*m.segments(t)) / BIN_WIDTH)) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), b.column(1).cast(pa.int32())],
                                              ["bin", "toxic"])
@@ -218,7 +218,7 @@ def score(docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in sliced(batches):
             scores, evidences, spans = [], [], []
             for t in b.column(1).to_pylist():
                 n, found = m.segments(t)
