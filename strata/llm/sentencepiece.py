@@ -46,7 +46,7 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 MAX_WORDS = 200_000   # dictionary entries sent to the workers
 MAX_LENGTH = 48       # characters of a dictionary word
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 # Marks that no piece of the vocabulary holds next to a letter: no merge crosses between the two.
 APART = ".,;:!?"
 # A word of letters that ends before such a mark, a blank or a line end; else all up to a blank or line end.
@@ -97,6 +97,11 @@ class Pieces:
                 self.words[word] = known
         return known
 
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.words.clear()
+        self.bpe._fits.clear()
+
     def encode(self, text: str | None, dictionary: dict[str, bytes]) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
@@ -228,16 +233,19 @@ def encode_documents(docs: DataFrame, model: str | None = None, most: int = MAX_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, known = pieces(model or vocabulary_path(MODEL)), shared.value
-        for b in sliced(batches):
-            texts = b.column(1).to_pylist()
-            ids = [m.encode(t, known) for t in texts]
-            ends = np.cumsum([0, *map(len, ids)])
-            flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                 pa.array([len(x) for x in ids], pa.int64()), pa.array([len((t or "").encode()) for t in texts], pa.int64()),
-                 pa.array([m.decode(x.tolist()) == (t or "") for x, t in zip(ids, texts)], pa.bool_())],
-                ["doc_id", "ids", "n_tokens", "n_bytes", "round_trip"])
+        try:
+            for b in sliced(batches):
+                texts = b.column(1).to_pylist()
+                ids = [m.encode(t, known) for t in texts]
+                ends = np.cumsum([0, *map(len, ids)])
+                flat = np.concatenate([*ids, np.zeros(0, np.int32)])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                     pa.array([len(x) for x in ids], pa.int64()), pa.array([len((t or "").encode()) for t in texts], pa.int64()),
+                     pa.array([m.decode(x.tolist()) == (t or "") for x, t in zip(ids, texts)], pa.bool_())],
+                    ["doc_id", "ids", "n_tokens", "n_bytes", "round_trip"])
+        finally:  # the worker lives on and may serve other stages
+            m.forget()
 
     return picked.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, n_bytes long, round_trip boolean")
 
