@@ -3,18 +3,21 @@
 Index: every benchmark item is cut into a question and an answer (``parts``) and, where it
 is long, into units of at most ``UNIT`` words; the inverted index has, per word, the units
 that hold it with their BM25 impact, in blocks that know their largest impact. Impacts are
-divided by the least score that a unit can have in a passage that holds ``SIMILARITY`` of
-its shingles: all its impacts but the largest ones that so many missing shingles can hide.
-So a passage with a score of 1 or more, and no other, can be contaminated: the threshold
-loses nothing.
-
-Query: every window of ``WINDOW`` words of every document (each ``UNIT`` words one begins)
-is a query. For all windows of a document the largest impacts per block of units are added
-up first; a window that reaches 1 in no block is done, the others walk the postings with
-block-max WAND and retrieve every unit above the threshold. The
+divided by the least score that a unit can have in a text that holds ``SIMILARITY`` of
+its shingles: all its impacts but the most that so many missing shingles can hide
+(``most_hidden``; a run that is missing whole has up to four words more than shingles).
+A shingle that repeats in an item counts for the first unit that has it, so some unit of
+an item always holds the item's share. So a text in which no unit scores 1 or more cannot
+be contaminated: the threshold loses nothing.
+
+Query: the distinct words of every document are one query, so parts of an item may stand
+anywhere in it. The largest impacts per block of units are added up first; a document
+that reaches 1 in no block is done, the others walk the postings of the remaining blocks
+with block-max WAND and retrieve every unit above the threshold. The
 items found are verified on the text: the document is contaminated where it holds at
 least ``SIMILARITY`` of the item's five-word shingles, taken over question and answer; the
-overlap of each part is returned.
+overlap of each part is returned, and as passage the window of ``WINDOW`` words (each
+``UNIT`` words one begins) in which a unit of the item scores most, with that score.
 
 The index goes to the workers by shards of at most ``SHARD`` units, one pass over the
 documents for each, so its size there is bounded however many items there are; documents
@@ -48,7 +51,6 @@ UNIT = 64
 WINDOW = 2 * UNIT
 SHARD = 4000
 BLOCK = 4           # units per block
-SPAN = 2048         # word blocks of a document bounded at once
 K1, B = 1.2, 0.75
 
 TOKEN = re.compile(r"[^\W_]+")
@@ -84,89 +86,170 @@ def units(question: list[str], answer: list[str]) -> list[list[list[str]]]:
             for i in range(0, max(1, len(p) - SHINGLE + 1), step)]
 
 
+def own_shingles(question: list[str], answer: list[str]) -> list[list[list[bool]]]:
+    """Per unit, run and shingle whether it is the first such shingle of its part."""
+    found, seen = units(question, answer), set()
+    step = UNIT - SHINGLE + 1
+    part_of = [j for j, p in enumerate(p for p in (question, answer) if p)
+               for _ in range(0, max(1, len(p) - SHINGLE + 1), step)]
+    out = []
+    for n, runs in enumerate(found):
+        out.append([])
+        for i, run in enumerate(runs):
+            part = i if len(question) + len(answer) <= UNIT else part_of[n]
+            mine = [(part, *run[at:at + SHINGLE]) for at in range(max(1, len(run) - SHINGLE + 1))]
+            out[-1].append([s not in seen and not seen.add(s) for s in mine])
+    return out
+
+
+def most_hidden(runs: list[list[str]], own: list[list[bool]], impacts: dict[str, float], missing: int) -> float:
+    """The most that ``impacts`` of words can add up to that are hidden with ``missing`` of the own shingles.
+
+    A word is hidden where all shingles over it are missing. Exact for words and shingles that
+    occur once; otherwise at least the true sum, as later occurrences are hidden for nothing."""
+    seen: set[str] = set()
+    total = np.zeros(missing + 1)  # by number of own shingles missing so far
+    for run, costs in zip(runs, own):
+        gain = []
+        for w in run:
+            gain.append(0.0 if w in seen else impacts[w])
+            seen.add(w)
+        n, k = len(run), len(costs)
+        last = [total, *[np.full(missing + 1, -np.inf)] * SHINGLE]  # by shingles missing in a row up to here
+        for i, cost in enumerate(costs):
+            now = [reduce(np.maximum, last), *[np.full(missing + 1, -np.inf)] * SHINGLE]
+            for c, best in enumerate(last):
+                row = min(SHINGLE, c + 1)
+                if cost:
+                    best = np.concatenate([[-np.inf], best[:-1]])
+                now[row] = np.maximum(now[row], best + (gain[i] if row >= min(SHINGLE, i + 1) else 0.0))
+            last = now
+        total = reduce(np.maximum, (
+            best + sum(gain[p] for p in range(k, n) if c >= min(n - p, k)) for c, best in enumerate(last)))
+    return float(total.max())
+
+
+def keys(ids: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit key of every run of ``n`` words; equal runs have equal keys."""
+    out = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + ids[i:i + len(out)].astype(np.uint64) + np.uint64(1)
+    return out
+
+
 class Index:
     """Postings of one shard. ``rows``: (unit number, item_id, question, answer, runs, impacts by word)."""
 
     def __init__(self, rows: list[tuple]):
-        self.items = [(item_id, shingles(q), shingles(a)) for _, item_id, q, a, _, _ in rows]
         postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
-        for n, (_, _, _, _, runs, impacts) in enumerate(rows):
-            whole = sum(len(shingles(r)) for r in runs)
-            hidden = math.floor((1 - SIMILARITY) * whole + 1e-9)
-            least = sum(sorted(impacts.values(), reverse=True)[hidden:])
+        for n, (_, _, q, a, runs, impacts) in enumerate(rows):
+            own = next(o for u, o in zip(units(q, a), own_shingles(q, a)) if u == runs)
+            count = sum(map(sum, own))
+            hidden = math.floor((1 - SIMILARITY) * count + 1e-9)
+            whole = sum(impacts.values())
+            least = whole - most_hidden(runs, own, impacts, hidden)
             for word, impact in impacts.items():  # a unit that may lose all its words matches everywhere
-                postings[word].append((n, impact / least if least > 0 else math.inf))
+                if count:  # else another unit of the item has all its shingles
+                    postings[word].append((n, impact / least if least > 1e-9 * whole else math.inf))
+        for _, _, q, a, _, _ in rows:
+            for word in (*q, *a):  # words of the items' other units: for the shingles only
+                postings[word]  # noqa: B018
         self.words = {w: i for i, w in enumerate(postings)}
+        known: dict = {}
+        coded = lambda words: shingles([self.words[w] for w in words])
+        for _, _, q, a, _, _ in rows:  # the units of an item share its shingles
+            if (at := (tuple(q), tuple(a))) not in known:
+                known[at] = coded(q), coded(a)
+        self.items = [(item_id, *known[tuple(q), tuple(a)]) for _, item_id, q, a, _, _ in rows]
+        grams: dict[int, list] = defaultdict(list)
+        for s in {s for both in known.values() for part in both for s in part}:
+            grams[len(s)].append(s)
+        self.grams = {n: np.unique(np.concatenate([keys(np.array(s, np.int64), n) for s in found]))
+                      for n, found in grams.items()}
         self.blocks = len(rows) // BLOCK + 1
         self.units, self.impacts, self.block_max, self.most = [], [], [], []
-        for found in postings.values():
+        self.of_unit: list[list[tuple[int, float]]] = [[] for _ in rows]
+        for w, found in enumerate(postings.values()):
             self.units.append([n for n, _ in found])
             self.impacts.append([x for _, x in found])
             most: dict[int, float] = {}
             for n, x in found:
                 most[n // BLOCK] = max(x, most.get(n // BLOCK, 0.0))
+                self.of_unit[n].append((w, x))
             self.block_max.append(most)
-            self.most.append(max(most.values()))
-        # the same block maxima as flat arrays, for bounding many windows at once
+            self.most.append(max(most.values(), default=0.0))
+        # the same block maxima as flat arrays, for bounding all blocks at once
         sizes = [len(m) for m in self.block_max]
         self.first = np.cumsum([0, *sizes])
         self.block = np.array([k for m in self.block_max for k in m], np.int64)
         self.bound = np.array([x for m in self.block_max for x in m.values()])
 
-    def windows(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(first word, distinct index words) of the windows that can hold a unit. ``ids``: the
-        document's words as numbers, ``len(self.words)`` for those that no unit has."""
-        none = len(self.words)
-        for start in range(0, len(ids), SPAN * UNIT):
-            part = ids[start:start + (SPAN + 1) * UNIT]  # the last window of a span ends in the next
-            held = part < none
-            pairs = np.unique((np.arange(len(part)) // UNIT * none + part)[held])
-            row, word = pairs // none, pairs % none
-            sizes = self.first[word + 1] - self.first[word]
-            of = np.repeat(np.arange(len(pairs)), sizes)
-            at = np.arange(len(of)) + np.repeat(self.first[word] - np.cumsum(sizes) + sizes, sizes)
-            rows = -(-len(part) // UNIT)
-            sums = np.bincount(row[of] * self.blocks + self.block[at], self.bound[at], rows * self.blocks)
-            sums = sums.reshape(rows, self.blocks)
-            sums = sums[:-1] + sums[1:] if rows > 1 else sums
-            for i in np.flatnonzero((sums >= 1 - 1e-6).any(axis=1)):
-                own = np.unique(part[i * UNIT:i * UNIT + WINDOW])
-                yield start + int(i) * UNIT, own[own < none]
-
-    def retrieve(self, words: list[int]) -> list[tuple[int, float]]:
-        """Every unit whose impacts over ``words`` (distinct) add up to 1 or more: block-max WAND."""
+    def reached(self, own: np.ndarray) -> np.ndarray:
+        """The blocks whose largest impacts over the words ``own`` (distinct) add up to 1 or more."""
+        sizes = self.first[own + 1] - self.first[own]
+        at = np.arange(sizes.sum()) + np.repeat(self.first[own] - np.cumsum(sizes) + sizes, sizes)
+        return np.flatnonzero(np.bincount(self.block[at], self.bound[at], self.blocks) >= 1 - 1e-6)
+
+    def held(self, ids: np.ndarray) -> set[tuple[int, ...]]:
+        """The shingles of items that the text (word numbers) holds."""
+        out = set()
+        for n, known in self.grams.items():
+            found = keys(ids, n)
+            at = np.flatnonzero(known[np.minimum(np.searchsorted(known, found), len(known) - 1)] == found)
+            out |= set(map(tuple, ids[at[:, None] + np.arange(n)].tolist()))
+        return out
+
+    def passage(self, ids: np.ndarray, unit: int) -> tuple[float, int]:
+        """(score, first word) of the first window in which the unit scores most."""
+        words, impacts = map(np.array, zip(*sorted(self.of_unit[unit])))
+        at = np.flatnonzero(np.isin(ids, words))
+        there = np.zeros((-(-len(ids) // UNIT), len(words)), bool)
+        there[at // UNIT, np.searchsorted(words, ids[at])] = True
+        if len(there) > 1:
+            there = there[:-1] | there[1:]
+        scores = np.where(there, impacts, 0.0).sum(axis=1)
+        best = int(scores.argmax())
+        return float(scores[best]), best * UNIT
+
+    def retrieve(self, words: list[int], blocks: np.ndarray | None = None) -> list[tuple[int, float]]:
+        """Every unit whose impacts over ``words`` (distinct) add up to 1 or more: block-max WAND.
+
+        ``blocks``: the only ones that can hold such a unit, rising."""
         need = 1 - 1e-9
+        if blocks is None:
+            blocks = self.reached(np.array(words, np.int64))
         at = {w: 0 for w in words}
         found = []
-        while True:
-            order = sorted((w for w in at if at[w] < len(self.units[w])), key=lambda w: self.units[w][at[w]])
-            total, pivot = 0.0, None
-            for i, w in enumerate(order):
-                total += self.most[w]
-                if total >= need:
-                    pivot = i
+        for block in blocks.tolist():
+            first, end = block * BLOCK, (block + 1) * BLOCK
+            lists = []
+            for w in words:
+                if block in self.block_max[w]:
+                    at[w] = bisect_left(self.units[w], first, at[w])
+                    lists.append(w)
+            while True:
+                lists = [w for w in lists if at[w] < len(self.units[w]) and self.units[w][at[w]] < end]
+                lists.sort(key=lambda w: self.units[w][at[w]])
+                total, pivot = 0.0, None
+                for i, w in enumerate(lists):
+                    total += self.block_max[w][block]
+                    if total >= need:
+                        pivot = i
+                        break
+                if pivot is None:
                     break
-            if pivot is None:
-                return found
-            unit = self.units[order[pivot]][at[order[pivot]]]
-            while pivot + 1 < len(order) and self.units[order[pivot + 1]][at[order[pivot + 1]]] == unit:
-                pivot += 1
-            lists = order[:pivot + 1]
-            block = unit // BLOCK
-            if sum(self.block_max[w].get(block, 0.0) for w in lists) < need:
-                # no unit of this block, unless a list that begins later joins in
-                after = [(block + 1) * BLOCK, *(self.units[w][at[w]] for w in order[pivot + 1:pivot + 2])]
-                for w in lists:
-                    at[w] = bisect_left(self.units[w], min(after), at[w])
-            elif self.units[lists[0]][at[lists[0]]] == unit:
-                score = sum(self.impacts[w][at[w]] for w in lists)
-                if score >= need:
-                    found.append((unit, score))
-                for w in lists:
-                    at[w] += 1
-            else:
-                for w in lists:
-                    at[w] = bisect_left(self.units[w], unit, at[w])
+                unit = self.units[lists[pivot]][at[lists[pivot]]]
+                if self.units[lists[0]][at[lists[0]]] == unit:
+                    same = [w for w in lists if self.units[w][at[w]] == unit]
+                    score = sum(self.impacts[w][at[w]] for w in same)
+                    if score >= need:
+                        found.append((unit, score))
+                    for w in same:
+                        at[w] += 1
+                else:
+                    for w in lists[:pivot + 1]:
+                        at[w] = bisect_left(self.units[w], unit, at[w])
+        return found
 
     def search(self, text: str | None) -> Iterator[tuple]:
         """(item_id, passage, score, overlap, question_overlap, answer_overlap) of every item that the
@@ -176,28 +259,26 @@ class Index:
             return
         get, none = self.words.get, len(self.words)
         ids = np.array([get(w, none) for w in words], np.int64)
-        best: dict[int, tuple[float, int]] = {}
-        for at, own in self.windows(ids):
-            for unit, score in self.retrieve(own.tolist()):
-                if score > best.get(unit, (0.0, 0))[0]:
-                    best[unit] = (score, at)
+        own = np.unique(ids)
+        own = own[own < none]
+        blocks = self.reached(own)
+        if not len(blocks):
+            return
+        best = [unit for unit, _ in self.retrieve(own.tolist(), blocks)]
         if not best:
             return
-        have = shingles(words)
-        short = {len(s) for u in best for part in self.items[u][1:] for s in part if len(s) < SHINGLE}
-        for n in short:
-            have |= {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
+        have = self.held(ids)
         by_item: dict = {}
-        for unit, (score, at) in best.items():
-            item = self.items[unit][0]
-            if item not in by_item or score > by_item[item][0]:
-                by_item[item] = (score, at, unit)
-        for item, (score, at, unit) in by_item.items():
-            _, q, a = self.items[unit]
+        for unit in best:
+            item, q, a = self.items[unit]
             overlap = (len(q & have) + len(a & have)) / (len(q) + len(a))
             if overlap >= SIMILARITY - 1e-9:
-                yield (item, at, score, overlap, len(q & have) / len(q) if q else None,
-                       len(a & have) / len(a) if a else None)
+                score, at = self.passage(ids, unit)
+                if item not in by_item or score > by_item[item][1]:
+                    by_item[item] = (at, score, overlap, len(q & have) / len(q) if q else None,
+                                     len(a & have) / len(a) if a else None)
+        for item, found in by_item.items():
+            yield (item, *found)
 
 
 UNITS = ("item_key long, item_id long, question array<string>, answer array<string>, "

@@ -93,3 +93,54 @@ def test_wand_equals_full_scoring():
             for u, x in zip(index.units[w], index.impacts[w]):
                 scores[u] = scores.get(u, 0) + x
         assert sorted(u for u, _ in index.retrieve(query)) == sorted(u for u, s in scores.items() if s >= 1 - 1e-9)
+
+
+def anywhere(texts, items):
+    """(doc, item) whose text holds 0.8 of the item's shingles, wherever they stand."""
+    out = set()
+    for d, t in texts.items():
+        words = D.tokens(t)
+        grams = {tuple(words[i:i + n]) for n in range(1, 6) for i in range(len(words) - n + 1)}
+        for i, item in items.items():
+            pooled = [s for p in map(D.tokens, D.parts(item)) for s in D.shingles(p)]
+            if pooled and sum(s in grams for s in pooled) >= 0.8 * len(pooled) - 1e-9:
+                out.add((d, i))
+    return out
+
+
+def test_parts_alone_and_far_apart_are_found(spark):
+    r = random.Random(5)
+    say = lambda n, of=4000: " ".join(f"w{r.randrange(of)}" for _ in range(n))
+    sizes = [(25, 5), (20, 4), (5, 25), (3, 22), (30, 8), (44, 12), (90, 20), (20, 90), (200, 40), (24, 1)]
+    items = {i: say(q) + "? " + say(a) for i, (q, a) in enumerate(sizes * 3)}
+    items[40] = " ".join([say(12)] * 9) + "? " + say(70)      # its shingles repeat over its units
+    items[41] = " ".join([say(64)] * 3) + " " + say(20) + "? " + say(5)
+    texts = {}
+    for i, item in items.items():
+        q, a = D.parts(item)
+        words = item.split()
+        cuts = [q, a, q + " " + say(700) + " " + a, a + " " + say(300) + " " + q, " ".join(words[len(words) // 6:]),
+                " ".join(words[:len(words) * 5 // 6]), " ".join(words[: len(words) // 2]) + " " + say(400) + " " + " ".join(words[len(words) // 2:])]
+        texts |= {len(texts) + n: f"{say(r.choice([0, 40]))} {cut} {say(r.choice([0, 40]))}" for n, cut in enumerate(cuts)}
+    want = anywhere(texts, items)
+    assert len(want) > 100
+    for options in ({}, {"shard": 7}):
+        assert {(x.doc_id, x.item_id) for x in found(spark, texts, items, **options).collect()} == want
+
+
+def test_most_hidden_equals_trying_every_choice():
+    from itertools import combinations
+
+    r = random.Random(2)
+    for n in range(200):
+        left = iter(range(99))
+        runs = [[f"w{next(left)}" for _ in range(r.randint(1, 9))] for _ in range(r.randint(1, 2))]
+        impacts = {w: r.random() for run in runs for w in run}
+        at = [(i, j) for i, run in enumerate(runs) for j in range(max(1, len(run) - 4))]
+        missing = r.randint(0, min(3, len(at)))
+        most = 0.0
+        for gone in combinations(at, missing):
+            kept = {w for i, j in at if (i, j) not in gone for w in runs[i][j:j + 5]}
+            most = max(most, sum(x for w, x in impacts.items() if w not in kept))
+        own = [[True] * max(1, len(run) - 4) for run in runs]
+        assert abs(D.most_hidden(runs, own, impacts, missing) - most) < 1e-9
