@@ -12,13 +12,14 @@
 3. Extreme-value calibration: with lambda and K of the score distribution of
    clean text, a segment of score S in a text of n tokens has E-value
    K n exp(-lambda S). The text's evidence is the sum of -ln E over its
-   significant segments (E < 1); the share of toxic training texts by evidence,
-   made monotone, is the score.
+   significant segments (E < 1); the share of toxic texts by evidence among all
+   labelled training texts, made monotone, is the score.
 
 The counting is one grouped aggregate over all documents (map-side combined,
 one row per token); the scan is one Arrow pass with the lexicon broadcast,
-bounded by ``MAX_LEXICON``; the calibration groups the training texts into
-``BINS`` evidence bins before anything reaches the driver.
+bounded by ``MAX_LEXICON``; the calibration scans the training texts where they
+are and joins only ids and evidence bins with the labels; ``BINS`` sums reach the
+driver.
 
 Defined results: null or empty texts have no segment and get the score of no
 evidence; rows come back one for one; null ids are not held out and have no
@@ -134,7 +135,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = MA
 
     The lexicon is fitted on at most ``sample`` labelled documents of each kind (those whose id
     hashes lowest), so the join with the texts may broadcast their ids; the prior counts the words
-    of every document."""
+    of every document, and the calibration all that are labelled."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & training)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     few = reduce(DataFrame.union, [known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -165,7 +166,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = MA
     lexicon = Lexicon({r.w: r.d for r in best})
     if best:
         lexicon.lam, lexicon.k = karlin_altschul([(r.d, (r.c + 0.5) / (total.c + 1)) for r in best], DRIFT)
-    calibrate(lexicon, taught)
+    calibrate(lexicon, docs.filter(F.col("doc_id").isNotNull() & training), known)
     return lexicon
 
 
@@ -189,19 +190,24 @@ def karlin_altschul(hits: list[tuple[float, float]], drift: float) -> tuple[floa
     return max(low, 1e-3), max(1e-9, sum(p for _, p in hits))
 
 
-def calibrate(lexicon: Lexicon, taught: DataFrame) -> None:
-    """Fill ``lexicon.curve``: the share of toxic texts per evidence bin, monotone."""
-    shared = taught.sparkSession.sparkContext.broadcast(lexicon)
+def calibrate(lexicon: Lexicon, docs: DataFrame, known: DataFrame) -> None:
+    """Fill ``lexicon.curve``: the share of toxic texts per evidence bin, monotone.
+
+    ``known``: doc_id, toxic; every labelled text counts, so the shares are those of the input."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in sliced(batches):
-            found = [min(BINS - 1, round(m.evidence(*m.segments(t)) / BIN_WIDTH)) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), b.column(1).cast(pa.int32())],
-                                             ["bin", "toxic"])
-
-    bins = (taught.select("text", "toxic").mapInArrow(run, "bin int, toxic int")
-            .groupBy("bin").agg(F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("t")).collect())
+            found = [min(BINS - 1, round(m.evidence(*m.segments(t)) / BIN_WIDTH)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.int32())], ["doc_id", "bin"])
+
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # a repeated id is one row per bin before it meets its label
+    found = picked.mapInArrow(run, "doc_id long, bin int").groupBy("doc_id", "bin").agg(F.count("*").alias("rows"))
+    bins = (found.join(known, "doc_id").groupBy("bin")
+            .agg(F.sum("rows").alias("n"), F.sum(F.when(F.col("toxic") == 1, F.col("rows")).otherwise(0)).alias("t"))
+            .collect())
     everywhere = sum(r.t for r in bins) / max(1, sum(r.n for r in bins))
     blocks: list[list] = []  # [toxic, texts, bins]; neighbours are pooled while the share falls
     for r in sorted(bins, key=lambda r: r.bin):

@@ -104,3 +104,22 @@ def test_held_out_toxicity(spark):
     toxic = [r.score for r in rows if r.toxic]
     clean = [r.score for r in rows if not r.toxic]
     assert sum(s >= 0.7 for s in toxic) > 0.7 * len(toxic) and sum(s >= 0.7 for s in clean) < 0.02 * len(clean)
+
+
+def test_toxicity_is_calibrated_on_all_labels_when_the_fit_is_sampled(spark):
+    r = random.Random(8)
+    docs, marks = [], []
+    for d in range(2400):
+        bad = d % 10 == 0
+        words = [r.choice(["stone", "green", "water", "light", "under", "house"]) + r.choice("abc") for _ in range(30)]
+        if bad or r.random() < 0.05:
+            words[10:10] = ["scumbag"] * 3
+        docs.append((d, " ".join(words)))
+        marks.append((d, int(bad)))
+    texts = spark.createDataFrame(docs, "doc_id long, text string")
+    lexicon = T.learn(texts, spark.createDataFrame(marks, "doc_id long, toxic int"), ~T.held_out(), sample=100)
+    rows = T.score(texts, lexicon).withColumn("held_out", T.held_out()).collect()
+    found = [x for x in rows if x.evidence > 0 and not x.held_out]
+    share = sum(x.doc_id % 10 == 0 for x in found) / len(found)
+    assert len(found) > 150 and 0.5 < share < 0.8
+    assert all(abs(x.score - share) < 0.05 for x in found)
