@@ -49,3 +49,8 @@ def parts_for(rows: int, rows_per_part: int, least: int = 1) -> int:
 def order_key(doc_id: str) -> Column:
     """doc_id with null replaced by the largest long: null sorts after every id."""
     return F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_DOC))
+
+
+def text_key(text: str) -> Column:
+    """A text's key, never null: its SHA-256 digest, or the empty string for null."""
+    return F.coalesce(F.sha2(F.col(text).cast("string").cast("binary"), 256), F.lit(""))

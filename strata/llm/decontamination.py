@@ -333,9 +333,12 @@ RESULT = ("doc_id long, item_id long, passage int, score double, overlap double,
           "answer_overlap double")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
-    """One row per document and benchmark item that it holds."""
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD, doc_id: str = "doc_id") -> DataFrame:
+    """One row per document and benchmark item that it holds; ``doc_id``: the column returned
+    under that name (a string column of another name stays a string)."""
+    kind = "string" if dict(docs.dtypes)[doc_id] == "string" and doc_id != "doc_id" else "long"
+    picked = docs.select(F.col(doc_id).cast(kind).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    result = RESULT.replace("doc_id long", f"doc_id {kind}", 1)
 
     def scan(index: Index) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(index)  # at most ``shard`` units
@@ -345,14 +348,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> D
             for b in sliced(batches):
                 rows = [(d, *hit) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for hit in m.search(t)]
                 columns = list(zip(*rows)) or [()] * 7
-                kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.float64()] * 4]
+                kinds = [pa.string() if kind == "string" else pa.int64(), pa.int64(), pa.int32(), *[pa.float64()] * 4]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                                  [x.split()[0] for x in RESULT.split(", ")])
 
-        return picked.mapInArrow(run, RESULT)
+        return picked.mapInArrow(run, result)
 
     found = [scan(index) for index in indexes(benchmark, shard)]
-    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], RESULT)
+    return reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], result)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

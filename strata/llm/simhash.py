@@ -10,11 +10,12 @@
    there bit by bit over sorted arrays, down to node pairs of a few leaves, whose
    fingerprints are compared. Links leave the group as a spanning forest, never
    as all pairs of a dense cluster, so no link between components is lost.
-4. Components of the forests' links (``components.py``).
+4. Components of the forests' links (``components.py``); the nodes are fingerprints,
+   so rows with a null or a repeated doc_id are linked by their own text only.
 
 Defined results: null, empty and all-blank texts have fingerprint zero and link
 like any other; a null doc_id sorts after all others and is returned as null;
-rows that repeat a doc_id are one document; an empty table gives no rows.
+component_id is the smallest doc_id of the component; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import LAST_DOC, order_key, sliced, stored, table
+from strata.llm.common import LAST_DOC, order_key, sliced, stored, table, text_key
 from strata.llm.components import connected_components
 
 SHINGLE = 3
@@ -59,15 +60,15 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, fp): the order key of the id, and the fingerprint's 64 bits as a long."""
+    """(doc, fp, key): the order key of the id, the fingerprint's 64 bits as a long, and the text's key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             fp = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), b.column(2)], ["doc", "fp", "key"])
 
-    return docs.select(order_key(doc_id).alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "doc long, fp long")
+    return docs.select(order_key(doc_id).alias("doc"), F.col(text).cast("string").alias("text"),
+                       text_key(text).alias("key")).mapInArrow(run, "doc long, fp long, key string")
 
 
 def prefix(fp: Column, bits: int) -> Column:
@@ -180,43 +181,69 @@ def join_subtrees(fp: np.ndarray, u: tuple[int, int], v: tuple[int, int], depth:
 
 
 def links_of(leaves: DataFrame, max_bits: int = MAX_BITS, most: int | None = None) -> DataFrame:
-    """(a, b): links between leaves' documents, per node pair a spanning forest of all its links.
+    """(a, b): links between fingerprints, per node pair a spanning forest of all its links.
 
-    ``leaves``: fp (distinct), doc."""
+    ``leaves``: fp (distinct)."""
     pairs = stored(node_pairs(leaves, max_bits, most), "trie-done")
     depths = [r.depth for r in pairs.select("depth").distinct().collect()]  # 16 at most
     sides = pairs.withColumn("p", F.explode(F.array_distinct(F.array("u", "v"))))
-    keyed = leaves.select("fp", "doc", F.explode(F.array(*(
+    keyed = leaves.select("fp", F.explode(F.array(*(
         F.struct(F.lit(d).alias("depth"), prefix(F.col("fp"), d).alias("p")) for d in depths))).alias("k"))
-    rows = (keyed.select("fp", "doc", F.col("k.depth").alias("depth"), F.col("k.p").alias("p"))
-            .join(sides, ["depth", "p"]).select("depth", "u", "v", "diff", "fp", "doc"))
+    rows = (keyed.select("fp", F.col("k.depth").alias("depth"), F.col("k.p").alias("p"))
+            .join(sides, ["depth", "p"]).select("depth", "u", "v", "diff", "fp"))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         depth, u, v, diff = map(int, key)
         fp = pdf["fp"].to_numpy().view(np.uint64)
-        order = np.argsort(fp)
-        fp, doc = fp[order], pdf["doc"].to_numpy()[order]
+        fp = np.sort(fp)
         shift = np.uint64(64 - depth) if depth else None
         top = fp >> shift if depth else np.zeros(len(fp), np.uint64)
         ranges = [tuple(np.searchsorted(top, np.uint64(x & (2**64 - 1)), s) for s in ("left", "right")) for x in (u, v)]
         label = join_subtrees(fp, *ranges, depth, diff, max_bits)
         at = np.flatnonzero(label != np.arange(len(fp)))
-        return pd.DataFrame({"a": doc[at], "b": doc[label[at]]})
+        return pd.DataFrame({"a": fp[at].view(np.int64), "b": fp[label[at]].view(np.int64)})
 
     return rows.groupBy("depth", "u", "v", "diff").applyInPandas(run, "a long, b long")
 
 
+def first_rows(prints: DataFrame, first: Column, max_bits: int, most: int | None) -> DataFrame:
+    """(fp, component, first): every fingerprint's component (its smallest fingerprint), and the
+    smallest ``first`` of all rows of ``prints`` in that component."""
+    leaves = stored(prints.groupBy("fp").agg(F.min(first).alias("own")), "simhash-leaves")
+    found = stored(connected_components(links_of(leaves, max_bits, most)), "simhash-components")
+    least = (found.join(leaves, found["node"] == leaves["fp"]).groupBy("component").agg(F.min("own").alias("least")))
+    linked = found.join(least, "component")
+    return (leaves.join(linked, leaves["fp"] == linked["node"], "left")
+            .select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("least", "own").alias("first")))
+
+
 def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS, most: int | None = None) -> DataFrame:
     """doc_id, fingerprint, component_id; one row per input row."""
-    prints = stored(fingerprints(docs), "simhash-prints")
-    leaves = stored(prints.groupBy("fp").agg(F.min("doc").alias("doc")), "simhash-leaves")
-    found = connected_components(links_of(leaves, max_bits, most))
-    classes = (leaves.join(found, leaves["doc"] == found["node"], "left")
-               .select("fp", F.coalesce("component", "doc").alias("component")))
+    prints = stored(fingerprints(docs).select("doc", "fp"), "simhash-prints")
+    classes = first_rows(prints, F.col("doc"), max_bits, most).select("fp", "first")
     null = lambda c: F.when(F.col(c) != LAST_DOC, F.col(c))
     return prints.join(classes, "fp").select(
         null("doc").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        null("component").alias("component_id"))
+        null("first").alias("component_id"))
+
+
+def simhash_survivors(docs: DataFrame, max_bits: int = MAX_BITS, most: int | None = None) -> DataFrame:
+    """The rows of ``docs`` that have the smallest id of their component, one of each component:
+    of several with that id the one with the smallest key of its text."""
+    prints = stored(fingerprints(docs), "simhash-prints")
+    classes = first_rows(prints, F.struct("doc", "key"), max_bits, most)
+    kept = stored(classes.select("component", "first.doc", "first.key").distinct()
+                  .select("doc", "key"), "simhash-kept")
+    own = docs.withColumns({"_doc": order_key("doc_id"), "_key": text_key("text")})
+    same = lambda df, to: (df["_doc"] == to["doc"]) & (df["_key"] == to["key"])
+    rows = own.join(kept, same(own, kept), "left_semi")
+    # equal rows (id and text) are one document: one of them stays
+    repeated = stored(prints.groupBy("doc", "key").agg(F.count("*").alias("n")).filter("n > 1").select("doc", "key"),
+                      "simhash-repeated")
+    if not repeated.isEmpty():
+        once = rows.join(repeated, same(rows, repeated), "left_semi").dropDuplicates(["_doc", "_key"])
+        rows = rows.join(repeated, same(rows, repeated), "left_anti").unionByName(once)
+    return rows.drop("_doc", "_key")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """The stages of the corpus pipeline; each calls one operator of this package.
 
 Every stage but the last returns the columns of its input, whatever further
-columns there are. Rows are matched by doc_id, null ids included.
+columns there are. Each row is judged by its own text: rows with a null or a repeated
+doc_id are matched to their verdict by the key of their text.
 """
 
 from __future__ import annotations
@@ -9,24 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import table
+from strata.llm.common import table, text_key
 from strata.llm.decontamination import contaminated
 from strata.llm.language_id import language_filter
 from strata.llm.line_dedup import without_repeated_lines
 from strata.llm.sentencepiece import encode_documents
-from strata.llm.simhash import simhash_components
-
-
-def keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``decided`` (column doc_id; null matches null)."""
-    d = decided.select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(d, docs["doc_id"].eqNullSafe(d["_kept_id"]), "left_semi")
-
-
-def drop(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not in ``decided``."""
-    d = decided.select(F.col("doc_id").alias("_dropped_id"))
-    return docs.join(d, docs["doc_id"].eqNullSafe(d["_dropped_id"]), "left_anti")
+from strata.llm.simhash import simhash_survivors
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +31,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked fingerprints the document with the smallest id."""
-    found = simhash_components(docs)
-    return keep(docs, found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return simhash_survivors(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return drop(docs, contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    own = docs.withColumn("_key", text_key("text"))
+    leaks = contaminated(own, table(spark, sf_dir, "benchmark"), doc_id="_key").select("doc_id").distinct()
+    leaks = leaks.select(F.col("doc_id").alias("_leak"))
+    return own.join(leaks, F.col("_key") == F.col("_leak"), "left_anti").drop("_key")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -106,3 +106,18 @@ def test_stages_keep_columns_and_take_odd_tables(spark, tables, tmp_path):
             assert out.count() <= docs.count()
     assert stages.language_id(spark, nulls, path).count() == 2
     assert stages.benchmark_decontamination(spark, nulls, path).count() == 4
+
+
+def test_null_and_repeated_ids_are_judged_by_their_own_text(spark, tables):
+    path, _, items = tables
+    r = random.Random(9)
+    say = lambda: " ".join(f"w{r.randrange(900)}" for _ in range(60))
+    first, second, third, fourth = (say() for _ in range(4))
+    rows = [(None, items[0][1]), (None, first), (None, second), (7, items[1][1]), (7, third), (8, None)]
+    kept = stages.benchmark_decontamination(spark, spark.createDataFrame(rows, "doc_id long, text string"), path).collect()
+    assert {tuple(x) for x in kept} == {(None, first), (None, second), (7, third), (8, None)} and len(kept) == 4
+    rows = [(5, first), (None, first), (None, second), (None, second.upper()), (6, third), (6, fourth), (9, third), (6, fourth)]
+    kept = stages.simhash_near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), path).collect()
+    assert len(kept) == 4 and {(x.doc_id, x.text.lower()) for x in kept} == {(5, first), (None, second), (6, third), (6, fourth)}
+    parts = {(x.doc_id, x.component_id) for x in S.simhash_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert parts == {(5, 5), (None, 5), (None, None), (6, 6), (9, 6)}
