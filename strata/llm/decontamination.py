@@ -19,7 +19,7 @@ least ``SIMILARITY`` of the item's five-word shingles, taken over question and a
 overlap of each part is returned, and as passage the window of ``WINDOW`` words (each
 ``UNIT`` words one begins) in which a unit of the item scores most, with that score.
 
-The index goes to the workers by shards of at most ``SHARD`` units, one pass over the
+The index goes to the workers by shards of about ``SHARD`` units (an item's units in one), one pass over the
 documents for each, so its size there is bounded however many items there are; documents
 stay where they are read.
 
@@ -138,7 +138,7 @@ def keys(ids: np.ndarray, n: int) -> np.ndarray:
 
 
 class Index:
-    """Postings of one shard. ``rows``: (unit number, item_id, question, answer, runs, impacts by word)."""
+    """Postings of one shard. ``rows``: (unit number, (item row, item_id), question, answer, runs, impacts by word)."""
 
     def __init__(self, rows: list[tuple]):
         postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
@@ -278,7 +278,7 @@ class Index:
                     by_item[item] = (at, score, overlap, len(q & have) / len(q) if q else None,
                                      len(a & have) / len(a) if a else None)
         for item, found in by_item.items():
-            yield (item, *found)
+            yield (item[1], *found)
 
 
 UNITS = ("item_key long, item_id long, question array<string>, answer array<string>, "
@@ -286,7 +286,7 @@ UNITS = ("item_key long, item_id long, question array<string>, answer array<stri
 
 
 def item_units(benchmark: DataFrame) -> DataFrame:
-    """The units of all items; ``item_key`` numbers the items' rows."""
+    """The units of all items; ``item_key`` numbers the items' rows, equal ones too (one run's numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -299,19 +299,20 @@ def item_units(benchmark: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              [x.split()[0] for x in UNITS.split(", ")])
 
-    numbered = benchmark.select(F.xxhash64("item_id", "text").alias("item_key"),
+    numbered = benchmark.select(F.monotonically_increasing_id().alias("item_key"),
                                 F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     return numbered.mapInArrow(run, UNITS)
 
 
 def indexes(benchmark: DataFrame, shard: int = SHARD) -> Iterator[Index]:
-    """The index in shards of about ``shard`` units each; document frequencies are those of all units."""
+    """The index in shards of about ``shard`` units each, an item's units in one; document frequencies are
+    those of all units."""
     found = stored(item_units(benchmark).withColumn("words", F.flatten("runs")), "benchmark-units")
     n, length = found.agg(F.count("*"), F.avg(F.size("words"))).first()
     frequency = found.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(
         F.count("*").alias("df"))
     shards = parts_for(n, shard)
-    dealt = found.withColumn("shard", F.pmod(F.xxhash64("item_key", "runs"), F.lit(shards)))
+    dealt = found.withColumn("shard", F.pmod(F.xxhash64("item_key"), F.lit(shards)))
     for s in range(shards if n else 0):
         mine = dealt.filter(F.col("shard") == s)
         df = {r.word: r.df for r in mine.select(F.explode("words").alias("word")).distinct().join(frequency, "word").collect()}
@@ -325,7 +326,7 @@ def indexes(benchmark: DataFrame, shard: int = SHARD) -> Iterator[Index]:
                 tf = r.words.count(w)
                 idf = math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5))
                 impacts[w] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(r.words) / length))
-            rows.append((i, r.item_id, r.question, r.answer, r.runs, impacts))
+            rows.append((i, (r.item_key, r.item_id), r.question, r.answer, r.runs, impacts))
         yield Index(rows)
 
 
@@ -341,7 +342,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD, doc_
     result = RESULT.replace("doc_id long", f"doc_id {kind}", 1)
 
     def scan(index: Index) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(index)  # at most ``shard`` units
+        shared = docs.sparkSession.sparkContext.broadcast(index)  # about ``shard`` units
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = shared.value

@@ -144,3 +144,16 @@ def test_most_hidden_equals_trying_every_choice():
             most = max(most, sum(x for w, x in impacts.items() if w not in kept))
         own = [[True] * max(1, len(run) - 4) for run in runs]
         assert abs(D.most_hidden(runs, own, impacts, missing) - most) < 1e-9
+
+
+def test_items_with_one_id_or_none_are_each_verified_and_reported_once(spark):
+    r = random.Random(12)
+    say = lambda n: " ".join(f"w{r.randrange(900)}" for _ in range(n))
+    one, two, twin, long = say(30) + "? " + say(5), say(30) + "? " + say(5), say(20), say(200) + "? " + say(90)
+    bench = spark.createDataFrame([(None, one), (None, two), (3, twin), (3, twin), (3, one), (4, long)], "item_id long, text string")
+    half = " ".join(two.split()[:24])  # scores, but does not hold the item
+    docs = spark.createDataFrame([(1, one + " " + two), (2, one + " " + half), (3, twin), (4, long)], "doc_id long, text string")
+    want = sorted([(1, None), (1, None), (1, 3), (2, None), (2, 3), (3, 3), (3, 3), (4, 4)], key=str)
+    for shard in (4000, 1):
+        got = D.contaminated(docs, bench, shard).collect()
+        assert sorted(((x.doc_id, x.item_id) for x in got), key=str) == want
