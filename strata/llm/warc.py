@@ -216,10 +216,17 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                          .withColumn("digest_ok", F.col("payload_bytes").isNotNull()).select(*out)))
 
 
+def verified(read: DataFrame) -> DataFrame:
+    """The rows of :func:`read_archives`; the query fails at a payload that is not the one declared."""
+    message = F.concat(F.lit("payload of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")),
+                       F.lit(" does not have its declared digest"))
+    return read.withColumn("payload_digest", F.when(F.col("digest_ok"), F.col("payload_digest")).otherwise(F.raise_error(message)))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
-    return read_archives(spark, path)
+    return verified(read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE = """

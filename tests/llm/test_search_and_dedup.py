@@ -18,12 +18,14 @@ from tests.conftest import SF_SMALL
 @pytest.mark.parametrize("name", sorted(llm.ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     con.execute(llm.ORACLE[name])
     want, columns = con.fetchall(), None
     columns = [d[0] for d in con.execute(llm.ORACLE[name]).description]
-    got = [tuple(r[c] for c in columns) for r in llm.QUERIES[name](spark, SF_SMALL).collect()]
+    df = llm.QUERIES[name](spark, SF_SMALL)
+    assert sorted(df.columns) == sorted(columns)
+    got = [tuple(r[c] for c in columns) for r in df.collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
