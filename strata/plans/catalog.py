@@ -24,7 +24,7 @@ from strata.plans.delivery import delivery_model
 from strata.plans.layers import check_report, run_layers
 from strata.plans.metrics import NOT_BLANK, Measure, Model, row, summarize
 from strata.session import scratch_path
-from strata.sources.catalog import register_tables, register_views
+from strata.sources.catalog import register_tables, session_views
 from strata.sources.ingest import read_csv, read_parquet
 from strata.sources.schema import spec
 from strata.sources.sinks import read_layer, row_counts, stage_tables, write_layer
@@ -713,23 +713,23 @@ def layered_row_counts(spark, sf_dir):
     return reduce(DataFrame.unionByName, [r.row_counts() for r in results])
 
 
-def _gold_views(spark, sf_dir):
+def _asked_over_views(spark, sf_dir, question):
+    """A question over session views of this call alone; they go once the text is analysed."""
     g = _gold(spark, sf_dir)
     tables = {"fact": g.fact, "date": g.date, "location": g.location, "educator": g.educator, "bridge": g.bridge}
-    register_views({sql_questions.TABLES[k]: v for k, v in tables.items()})
+    with session_views(spark, {sql_questions.TABLES[k]: v for k, v in tables.items()}) as prefix:
+        return spark.sql(sql_questions.sql_text(question, prefix=prefix))
 
 
 @query("sql_views_weekend_share")
 def sql_views_weekend_share(spark, sf_dir):
     """SQL text over session views of the (lazy) Gold tables."""
-    _gold_views(spark, sf_dir)
-    return spark.sql(sql_questions.sql_text("weekend_share"))
+    return _asked_over_views(spark, sf_dir, "weekend_share")
 
 
 @query("sql_views_staff_nations")
 def sql_views_staff_nations(spark, sf_dir):
-    _gold_views(spark, sf_dir)
-    return spark.sql(sql_questions.sql_text("staff_nations"))
+    return _asked_over_views(spark, sf_dir, "staff_nations")
 
 
 @query("sql_catalog_quarter_growth")

@@ -1,6 +1,6 @@
 """Questions asked in Spark SQL text over the Gold tables.
 
-``{gold}`` is the database that holds the tables, with its dot, or nothing for
+``{gold}`` is the database that holds the tables, with its dot, or the prefix of
 session views. The tables are named ``delivery``, ``calendar``, ``place``,
 ``staff`` and ``assignment`` there.
 """
@@ -39,5 +39,5 @@ QUESTIONS = {
 }
 
 
-def sql_text(name: str, database: str = "") -> str:
-    return QUESTIONS[name].format(gold=f"{database}." if database else "")
+def sql_text(name: str, database: str = "", prefix: str = "") -> str:
+    return QUESTIONS[name].format(gold=f"{database}." if database else prefix)

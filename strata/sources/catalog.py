@@ -1,6 +1,7 @@
 """Catalog registration, so business questions can be asked in SQL text.
 
-* :func:`register_views` — session temp views over (lazy) DataFrames;
+* :func:`register_views` — session temp views over (lazy) DataFrames, and
+  :func:`session_views`, which takes them away again;
 * :func:`register_tables` — external catalog tables over stored layer
   folders: metadata only, the data stays where the layer run wrote it. The
   database itself is created with an explicit location (the shared scratch
@@ -9,6 +10,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,6 +26,21 @@ def register_views(tables: dict[str, DataFrame], prefix: str = "") -> dict[str,
     return names
 
 
+@contextmanager
+def session_views(spark: SparkSession, tables: dict[str, DataFrame]) -> Iterator[str]:
+    """Views under a prefix of their own, dropped at the end; yields the prefix.
+
+    SQL text is resolved when ``spark.sql`` is called, so a DataFrame made inside
+    keeps its plan; two callers in one session do not see each other's views."""
+    prefix = f"v{uuid.uuid4().hex[:12]}_"
+    views = register_views(tables, prefix)
+    try:
+        yield prefix
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
+
+
 def register_tables(
     spark: SparkSession,
     paths: dict[str, str],
