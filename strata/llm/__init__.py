@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import decontamination, language_id, line_dedup, mtree, sentencepiece, simhash, suffix_dedup, token_counts, toxicity, warc
+from strata.llm import decontamination, language_id, line_dedup, mtree, quality_rules, sentencepiece, simhash, suffix_dedup, token_counts, toxicity, warc
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_language_id": language_id.op9_language_id,
     "op10_mtree_topk": mtree.op10_mtree_topk,
+    "op11_quality_rules": quality_rules.op11_quality_rules,
 }
 
 #: DuckDB SQL of the queries that SQL can express
@@ -23,4 +24,5 @@ ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op6_warc": warc.ORACLE,
     "op10_mtree_topk": mtree.ORACLE,
+    "op11_quality_rules": quality_rules.ORACLE,
 }
