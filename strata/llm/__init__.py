@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from strata.llm import decontamination, language_id, line_dedup, mtree, quality_rules, sentencepiece, simhash, suffix_dedup, token_counts, toxicity, warc
+from strata.llm import (
+    decontamination,
+    hard_negatives,
+    language_id,
+    line_dedup,
+    mtree,
+    quality_rules,
+    sentencepiece,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 #: query name → (spark, sf_dir) → DataFrame
 QUERIES = {
@@ -17,6 +30,7 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_mtree_topk": mtree.op10_mtree_topk,
     "op11_quality_rules": quality_rules.op11_quality_rules,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
 }
 
 #: DuckDB SQL of the queries that SQL can express
@@ -25,4 +39,5 @@ ORACLE: dict[str, str] = {
     "op6_warc": warc.ORACLE,
     "op10_mtree_topk": mtree.ORACLE,
     "op11_quality_rules": quality_rules.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
