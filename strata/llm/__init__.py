@@ -8,6 +8,7 @@ from strata.llm import (
     language_id,
     line_dedup,
     mtree,
+    prefix_trie,
     quality_rules,
     sentencepiece,
     simhash,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_mtree_topk": mtree.op10_mtree_topk,
     "op11_quality_rules": quality_rules.op11_quality_rules,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 #: DuckDB SQL of the queries that SQL can express
@@ -40,4 +42,5 @@ ORACLE: dict[str, str] = {
     "op10_mtree_topk": mtree.ORACLE,
     "op11_quality_rules": quality_rules.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
