@@ -1,20 +1,19 @@
-"""Top-N that keeps ties, without a global single-partition window.
+"""Top-N that keeps ties, in one read of its input and without sending all rows to one task.
 
-``rank() OVER (ORDER BY ..) <= n`` on an unpartitioned window pulls every row
-into one task. Instead:
-
-1. ``orderBy(..).limit(n)`` — a distributed take-ordered (each partition keeps
-   its own top n; one task merges n × partitions rows);
-2. the last of those rows is the boundary, read as a scalar subquery;
-3. every row not ordered after the boundary is kept — ties at the cut
-   included — with a plain distributed filter.
+``rank() OVER (ORDER BY ..) <= n`` in two levels: first within each of ``SALTS`` groups of
+rows (dealt by a hash of the whole row, so equal order keys spread), then over what the
+groups kept. Spark limits each task's rows by rank before either exchange, so the first
+moves at most n rows and their ties per task, and the second n rows and their ties per group.
+The rank limit is only planned up to ``spark.sql.optimizer.windowGroupLimitThreshold``;
+beyond it the boundary row is read as a scalar subquery and all rows up to it are kept, which
+reads the input twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
@@ -42,15 +41,23 @@ def not_after(cols: Sequence[Column], bounds: Sequence[Column], ascending: Seque
     return cond
 
 
-def top_n_with_ties(df: DataFrame, n: int, order: Order, materialize: bool = False) -> DataFrame:
-    """Rows ranked ``<= n`` under ``order`` (ties at the cut all kept).
+SALTS = 64
+LIMIT_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def top_n_with_ties(df: DataFrame, n: int, order: Order) -> DataFrame:
+    """Rows ranked ``<= n`` under ``order`` (ties at the cut all kept)."""
+    if n > int(df.sparkSession.conf.get(LIMIT_THRESHOLD, "1000")):
+        return _up_to_boundary(df, n, order)
+    names = set(df.columns)
+    salt, rank = (next(x for x in (f"{'_' * i}{c}" for i in range(2, len(names) + 3)) if x not in names) for c in ("salt", "rank"))
+    by = [_sort_col(c, a) for c, a in order]
+    near = df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    near = near.withColumn(rank, F.rank().over(Window.partitionBy(salt).orderBy(*by))).filter(F.col(rank) <= n)
+    return near.withColumn(rank, F.rank().over(Window.orderBy(*by))).filter(F.col(rank) <= n).drop(salt, rank)
+
 
-    The input is read twice (boundary, then filter). ``materialize=True``
-    first checkpoints it to the session's shared checkpoint folder, so an
-    expensive input (an aggregate over a large fact) is computed once.
-    """
-    if materialize:
-        df = df.checkpoint(eager=True)
+def _up_to_boundary(df: DataFrame, n: int, order: Order) -> DataFrame:
     names = [c for c, _ in order]
     head = df.orderBy(*[_sort_col(c, a) for c, a in order]).limit(n)
     boundary = (

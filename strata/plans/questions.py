@@ -29,9 +29,8 @@ def by_attribute(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, attrib
     and ``distinct`` counts (name -> fact column).
 
     A dimension within the broadcast bound is joined to the rows. Otherwise the fact is
-    aggregated below the join: the sums to one row per key and, in a branch of its own, the
-    distinct columns to one row per key and value, so a hot key never crosses the join's
-    exchange as raw rows."""
+    aggregated below the join, in one branch and one read: to a row per key and distinct
+    value, with partial sums, so a hot key never crosses the join's exchange as raw rows."""
     distinct = distinct or {}
     add = lambda c: F.lit(1).cast("bigint") if c is None else F.col(c)
     right = dim.select(F.col(dim_key).alias("__key"), *attributes)
@@ -39,14 +38,11 @@ def by_attribute(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, attrib
         rows = fact.join(F.broadcast(right), fact[key] == right["__key"])
         return rows.groupBy(*attributes).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()],
                                              *[F.count_distinct(c).alias(n) for n, c in distinct.items()])
-    per_key = fact.groupBy(key).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()])
-    parts = [per_key.join(right, per_key[key] == right["__key"]).groupBy(*attributes)
-             .agg(*[F.sum(n).alias(n) for n in sums])]
-    for name, column in distinct.items():
-        values = fact.select(key, F.col(column).alias("__value")).distinct()
-        parts.append(values.join(right, values[key] == right["__key"]).groupBy(*attributes)
-                     .agg(F.count_distinct("__value").alias(name)))
-    return merge_on_keys(parts, attributes)
+    values = [F.col(c).alias(f"__value{i}") for i, c in enumerate(distinct.values())]
+    partial = fact.groupBy(F.col(key).alias("__own"), *values).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()])
+    return (partial.join(right, partial["__own"] == right["__key"]).groupBy(*attributes)
+            .agg(*[F.sum(n).alias(n) for n in sums],
+                 *[F.count_distinct(f"__value{i}").alias(n) for i, n in enumerate(distinct)]))
 
 
 def totals(fact: DataFrame) -> DataFrame:
@@ -155,9 +151,7 @@ def reach_by_suburb(model: Model) -> DataFrame:
 
 
 def lowest_reach_suburbs(model: Model, n: int = 10) -> DataFrame:
-    """The n lowest-reach suburbs, the lowest first; ties at the cut are all kept.
-
-    Lazy: all order columns are whole numbers or text, so both reads of the input agree."""
+    """The n lowest-reach suburbs, the lowest first; ties at the cut are all kept."""
     order = [("total_people_reached", True), ("total_delivery_records", True), ("suburb", True)]
     found = top_n_with_ties(summarize(model, ["location.region", "location.suburb"], SUBURB_MEASURES), n, order)
     return _ordered(found, *[c for c, _ in order], "region")

@@ -3,18 +3,21 @@ physical paths, no stale schemas, aggregation below a hot key's join."""
 
 import datetime as dt
 import os
+import re
+from collections import Counter
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import QualityGateError
+from strata.operators import QualityGateError, top_n_with_ties
 from strata.operators import quality as Q
-from strata.plans import questions
+from strata.plans import catalog, questions
 from strata.plans.layers import Layer, layer_database, run_layers
 from strata.plans.metrics import Measure, Model, Relationship, summarize
 from strata.session import scratch_path
 from strata.sources.ingest import read_parquet
+from tests.conftest import SF_SMALL
 
 
 def _layers(buckets, expected):
@@ -90,6 +93,37 @@ def test_hot_key_is_aggregated_below_the_join(spark):
         initial = plan.split("== Initial Plan ==")[-1]
         assert "SortMergeJoin" in initial and "BroadcastHashJoin" not in initial
         joins = initial.split("SortMergeJoin")[1:]
-        assert all("HashAggregate(keys=[location_id" in j for j in joins)
+        left = joins[0].split("+- Sort [__key")[0]
+        assert len(joins) == 1 and left.count("HashAggregate(keys=[") == 2 and "partial_sum(" in left
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _raw_scans(df) -> Counter:
+    """How often each raw table is scanned in the planned tree."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return Counter(re.findall(r"FileScan parquet.*?Location: .*?/(\w+)\.parquet\]", plan))
+
+
+@pytest.mark.parametrize("name, once", [
+    ("bq_reach_by_region", ["orders", "lineitem", "customer"]),
+    ("bq_educator_ranking", ["lineitem", "supplier"]),
+    ("bq_outreach_suburbs_top10", ["orders", "lineitem", "customer"]),
+])
+def test_questions_scan_each_table_once(spark, name, once):
+    scans = _raw_scans(catalog.REGISTRY[name](spark, SF_SMALL))
+    assert {t: scans[t] for t in once} == dict.fromkeys(once, 1), scans
+
+
+def test_monthly_trend_scans_orders_for_the_fact_and_the_calendar_bounds(spark):
+    scans = _raw_scans(catalog.REGISTRY["bq_monthly_trend"](spark, SF_SMALL))
+    assert scans["lineitem"] <= 1 and scans["orders"] == 2, scans
+
+
+def test_top_n_limits_rows_in_every_task_and_keeps_ties_past_the_threshold(spark):
+    rows = spark.range(4000).select("id", (F.col("id") % 9).alias("v"), F.lit(0).alias("salt"))
+    df = top_n_with_ties(rows, 3, [("v", True)])
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("WindowGroupLimit") == 4 and plan.count("Range (") == 1
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, rows.filter("v = 0").collect()))
+    assert top_n_with_ties(rows, 1500, [("v", True)]).count() == rows.filter("v < 4").count()
