@@ -28,6 +28,8 @@ from strata.operators.dedup import duplicate_keys
 from strata.operators.joins import is_small, orphan_rows
 
 SCALAR_KINDS = {"row_count", "distinct_count", "not_null", "in_range"}
+#: scalar checks that can be evaluated while a table is written (a distinct count cannot be observed)
+OBSERVABLE_KINDS = SCALAR_KINDS - {"distinct_count"}
 
 
 @dataclass(frozen=True)
@@ -102,6 +104,15 @@ def _observed_expr(check: Check) -> Column:
     raise ValueError(check.kind)
 
 
+def observable(checks: Sequence[Check], tables: Sequence[str]) -> dict[str, dict[str, Column]]:
+    """table -> check name -> aggregate, of the checks that a write of ``tables`` can evaluate."""
+    out: dict[str, dict[str, Column]] = {}
+    for c in checks:
+        if c.kind in OBSERVABLE_KINDS and c.table in tables:
+            out.setdefault(c.table, {})[c.name] = _observed_expr(c)
+    return out
+
+
 def _pair_profile(child: DataFrame, child_cols: Sequence[str], parent: DataFrame,
                   parent_cols: Sequence[str]) -> DataFrame:
     """One row: ``orphans`` (distinct child keys without a parent) and
@@ -186,9 +197,12 @@ def _uses(checks: Sequence[Check]) -> dict[str, int]:
 
 
 def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], layer: str = "",
-               materialize: bool = False) -> DataFrame:
+               materialize: bool = False, known: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """The check table for ``checks`` (lazy; one row per check).
 
+    ``known`` (table -> check name -> observed value): what was counted while the tables
+    were written; those checks read nothing.
+
     ``materialize=True`` first writes every table that two or more check
     branches read to the session's shared scratch folder (concurrently), so
     an expensive derived table is computed once instead of once per check.
@@ -204,8 +218,14 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check], layer: str
             tables = {**tables, **stage_tables(spark, shared, scratch_path(spark, "checks"))}
     parts: list[DataFrame] = []
     scalar: dict[str, list[Check]] = {}
+    counted = [(c, known[c.table][c.name]) for c in checks if c.name in (known or {}).get(c.table, {})]
+    if counted:
+        spark = next(iter(tables.values())).sparkSession
+        schema = ("layer string, check_name string, check_kind string, table_name string, observed bigint, expected bigint, "
+                  "severity string")
+        parts.append(spark.createDataFrame([(layer, c.name, c.kind, c.table, n, c.expected, c.severity) for c, n in counted], schema))
     for c in checks:
-        if c.kind in SCALAR_KINDS:
+        if c.kind in SCALAR_KINDS and c not in [k for k, _ in counted]:
             scalar.setdefault(c.table, []).append(c)
     for table, cs in scalar.items():
         wide = tables[table].agg(*[_observed_expr(c).alias(f"__o{i}") for i, c in enumerate(cs)])

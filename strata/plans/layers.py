@@ -3,8 +3,10 @@
 ``run_layer`` computes each table of a layer exactly once:
 
 1. build the layer's tables lazily from the previous layer's stored tables;
-2. write each to a fresh run folder (``<root>/<layer>_<table>/run=<id>``);
-3. run the layer's checks over the **stored** tables (cheap scans, no
+2. write each to a fresh run folder (``<root>/<layer>_<table>/run=<id>``); row
+   counts and the checks that are plain aggregates (rows, nulls, ranges) are
+   observed in the writing tasks, and the row counts held against the files' footers;
+3. run the layer's other checks over the **stored** tables (cheap scans, no
    recomputation of the build) and gate: any failed error-severity check
    raises before the layer is handed on, and drops the run's catalog tables;
 4. publish the run in the layer's manifest (``sources.sinks.publish``) —
@@ -26,8 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-from strata.operators.quality import Check, QualityGateError, gate, run_checks
-from strata.sources.sinks import publish, read_layer, row_counts, write_layer
+from strata.operators.quality import Check, QualityGateError, gate, observable, run_checks
+from strata.sources.sinks import WriteVerificationError, publish, read_layer, verify_rows, write_observed
 
 Builder = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
 
@@ -52,9 +54,13 @@ class LayerResult:
     tables: dict[str, DataFrame]
     check_rows: list
     checks: DataFrame | None
+    counts: dict[str, int]
 
     def row_counts(self) -> DataFrame:
-        return row_counts({f"{self.name}_{t}": df for t, df in self.tables.items()})
+        """(table_name, row_count), as counted during the write and found in the stored files' footers."""
+        spark = next(iter(self.tables.values())).sparkSession
+        return spark.createDataFrame([(f"{self.name}_{t}", n) for t, n in self.counts.items()],
+                                     "table_name string, row_count bigint")
 
 
 def run_layer(
@@ -71,21 +77,23 @@ def run_layer(
     if layer.buckets:
         database = layer_database(spark, root)
         catalog_tables = {name: f"{database}.{layer.name}_{name}_{run_id}" for name in layer.buckets}
-    paths = write_layer(spark, built, root, layer.name, fmt, layer.audit_column, run_id, layer.partition_by,
-                        buckets=layer.buckets, catalog_tables=catalog_tables)
+    written = write_observed(spark, built, root, layer.name, fmt, layer.audit_column, run_id, layer.partition_by,
+                             buckets=layer.buckets, catalog_tables=catalog_tables, metrics=observable(layer.checks, list(built)))
+    paths = written.paths
     schemas = {name: df.schema for name, df in built.items()} if layer.audit_column is None else None
     stored = read_layer(spark, paths, fmt, schemas, catalog_tables)
     checks, rows = None, []
-    if layer.checks:
-        checks = run_checks({**inputs, **stored}, layer.checks, layer.name)
-        try:
+    try:
+        counts = verify_rows(written, stored)
+        if layer.checks:
+            checks = run_checks({**inputs, **stored}, layer.checks, layer.name, known=written.observed)
             rows = gate(checks)  # raises before the run is published
-        except QualityGateError:
-            for table in catalog_tables.values():
-                spark.sql(f"DROP TABLE IF EXISTS {table}")
-            raise
+    except (QualityGateError, WriteVerificationError):
+        for table in catalog_tables.values():
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
     publish(spark, root, layer.name, paths, run_id, fmt, catalog_tables)
-    return LayerResult(layer.name, paths, stored, rows, checks)
+    return LayerResult(layer.name, paths, stored, rows, checks, counts)
 
 
 def layer_database(spark: SparkSession, root: str) -> str:
