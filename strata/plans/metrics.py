@@ -86,6 +86,7 @@ class Model:
     measures: dict[str, Measure]
     hidden: dict[str, tuple[str, ...]] = field(default_factory=dict)
     max_broadcast_bytes: int | None = None  # None: the session's broadcast threshold
+    aggregates: list = field(default_factory=list)  # see strata.plans.aggregates
 
     def add_measures(self, measures: Iterable[Measure]) -> "Model":
         for m in measures:
@@ -310,10 +311,6 @@ class _Branch:
         conds = {m.name: self._condition(m, folded) for m in self.measures}
         home_keys = [c for c in need.get(self.home, [])]  # own group cols + FKs
 
-        def when(m: Measure, value: Column) -> Column:
-            c = conds[m.name]
-            return value if c is None else F.when(c, value)
-
         # Columns of the home table, named with the table alias.
         home_proj = [F.col(c).alias(_alias(self.home, c)) for c in home_keys]
         if small or not edges:
@@ -324,29 +321,54 @@ class _Branch:
             aggs = [self._final_direct(m, conds[m.name]) for m in self.measures]
         else:
             # Pre-aggregate by join keys (+ distinct columns), then join.
-            flags = []
-            pre_keys = list(home_proj)
-            for i, m in enumerate(self.measures):
-                if m.agg == "distinct":
-                    pre_keys.append(F.col(m.column).alias(f"__d{i}"))
-                    if conds[m.name] is not None:
-                        pre_keys.append(conds[m.name].alias(f"__f{i}"))
-                        flags.append(i)
-            partials = []
-            for i, m in enumerate(self.measures):
-                if m.agg == "sum":
-                    partials.append(F.sum(when(m, F.col(m.column))).alias(f"__s{i}"))
-                elif m.agg == "count_rows":
-                    partials.append(F.count(when(m, F.lit(1))).alias(f"__n{i}"))
-                elif m.agg == "avg":
-                    partials.append(F.sum(when(m, F.col(m.column))).alias(f"__s{i}"))
-                    partials.append(F.count(when(m, F.col(m.column))).alias(f"__n{i}"))
-            pre = home_df.groupBy(*pre_keys).agg(*partials) if partials else home_df.select(*pre_keys).distinct()
+            pre, flags = self._pre_aggregated(home_df, home_proj, conds)
             cur = self._join(pre, edges, dims, filtered, broadcast=False)
             aggs = [self._final_merge(i, m, i in flags) for i, m in enumerate(self.measures)]
         group_cols = [F.col(_alias(t, c)).alias(c) for t, c in self.group]
         return cur.groupBy(*group_cols).agg(*aggs) if group_cols else cur.agg(*aggs)
 
+    def _pre_aggregated(self, home_df: DataFrame, home_proj: list[Column],
+                        conds: dict[str, Column | None]) -> tuple[DataFrame, list[int]]:
+        """The home table by its join keys and distinct columns (``__d``, with ``__f`` where a
+        condition holds), with partial sums ``__s`` and counts ``__n``; which measures have a condition."""
+        def when(m: Measure, value: Column) -> Column:
+            c = conds[m.name]
+            return value if c is None else F.when(c, value)
+
+        flags = []
+        pre_keys = list(home_proj)
+        for i, m in enumerate(self.measures):
+            if m.agg == "distinct":
+                pre_keys.append(F.col(m.column).alias(f"__d{i}"))
+                if conds[m.name] is not None:
+                    pre_keys.append(conds[m.name].alias(f"__f{i}"))
+                    flags.append(i)
+        partials = []
+        for i, m in enumerate(self.measures):
+            if m.agg == "sum":
+                partials.append(F.sum(when(m, F.col(m.column))).alias(f"__s{i}"))
+            elif m.agg == "count_rows":
+                partials.append(F.count(when(m, F.lit(1))).alias(f"__n{i}"))
+            elif m.agg == "avg":
+                partials.append(F.sum(when(m, F.col(m.column))).alias(f"__s{i}"))
+                partials.append(F.count(when(m, F.col(m.column))).alias(f"__n{i}"))
+        pre = home_df.groupBy(*pre_keys).agg(*partials) if partials else home_df.select(*pre_keys).distinct()
+        return pre, flags
+
+    def states(self) -> DataFrame:
+        """Group columns (named with their table), distinct columns and partial sums: what
+        the measures need to be added up to any coarser grouping. No filters."""
+        edges = self._tree()
+        need = self._needed_cols(edges)
+        dims = {r.to_table: self._dimension(r.to_table, need.get(r.to_table, []), r.to_col) for r in edges}
+        small = all(is_small(d, self.model.max_broadcast_bytes) for d in dims.values())
+        home_proj = [F.col(c).alias(_alias(self.home, c)) for c in need.get(self.home, [])]
+        pre, _ = self._pre_aggregated(self.model.tables[self.home], home_proj, {m.name: self._condition(m, {}) for m in self.measures})
+        cur = self._join(pre, edges, dims, set(), broadcast=small)
+        keys = [_alias(t, c) for t, c in self.group] + [c for c in pre.columns if c.startswith(("__d", "__f"))]
+        added = [F.sum(c).alias(c) for c in pre.columns if c.startswith(("__s", "__n"))]
+        return cur.groupBy(*keys).agg(*added) if added else cur.select(*keys).distinct()
+
     def _measure_cols(self) -> list[str]:
         out: list[str] = []
         for m in self.measures:
@@ -465,16 +487,31 @@ def summarize(
             raise ModelError(f"measure {n!r}: unknown aggregation {m.agg!r}")
         by_home.setdefault(m.table, []).append(m)
 
-    parts = [_Branch(model, home, ms, group, parsed_filters).build() for home, ms in by_home.items()]
-    result = _combine(parts, names)
+    parts = []
+    for home, ms in by_home.items():
+        stored = covering(model, home, group, [m.name for m in ms], parsed_filters)
+        parts.append(stored.evaluate(model, group, [m.name for m in ms], parsed_filters) if stored is not None
+                     else _Branch(model, home, ms, group, parsed_filters).build())
+    return finish(_combine(parts, names), model, names, measures, keep_blank_rows, order_by)
+
+
+def covering(model: Model, home: str, group: Sequence[tuple[str, str]], base: Sequence[str],
+             filters: dict[tuple[str, str], FilterValue]):
+    """The stored aggregate with the fewest rows that can answer, if any."""
+    able = [a for a in model.aggregates if a.home == home and a.covers(model, group, base, filters)]
+    return min(able, key=lambda a: a.rows, default=None)
+
 
+def finish(result: DataFrame, model: Model, names: Sequence[str], measures: Sequence[str], keep_blank_rows: bool,
+           order_by: Sequence[tuple[str, bool]] | None) -> DataFrame:
+    """Derived measures, the requested columns, without all-blank groups, in order."""
     for n in _derived_order(model, measures):
         m = model.measures[n]
         fn = DERIVED[m.agg]
         result = result.withColumn(n, fn(F.col(m.inputs[0]), F.col(m.inputs[1])))
 
     result = result.select(*names, *measures)
-    if group and not keep_blank_rows:
+    if names and not keep_blank_rows:
         result = result.filter(reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in measures]))
     if order_by:
         result = result.orderBy(*[F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last()
