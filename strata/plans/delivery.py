@@ -8,13 +8,16 @@ the Silver columns below, then the same Gold builders and measures apply.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.calendar import date_key
 from strata.functions.clean import group_values
 from strata.plans.metrics import Measure, Model, Relationship
 from strata.plans.star import dimension, fact
+from strata.sources.manifest import published, published_buckets
 
 # The columns that the model's relationships, measures and questions use.
 FACT_COLUMNS = (
@@ -122,3 +125,15 @@ def delivery_model(
         hidden=dict(HIDDEN),
     )
     return model.add_measures(delivery_measures())
+
+
+def published_model(spark: SparkSession, root: str, layer: str = "gold", number: int | None = None) -> Model:
+    """The model bound to a published version of the Gold layer, as it is stored: relationships
+    between tables in the same buckets by their join columns are joined where they lie."""
+    tables = published(spark, root, layer, number)
+    stored = published_buckets(spark, root, layer, number)
+    model = delivery_model(*[tables[t] for t in ("fact", "date", "location", "educator", "bridge")])
+    together = {(r.from_table, r.to_table) for r in model.relationships
+                if r.from_table in stored and r.to_table in stored and stored[r.from_table][0] == stored[r.to_table][0]
+                and stored[r.from_table][1] == [r.from_col] and stored[r.to_table][1] == [r.to_col]}
+    return replace(model, colocated=frozenset(together))

@@ -9,8 +9,8 @@
 3. run the layer's other checks over the **stored** tables (cheap scans, no
    recomputation of the build) and gate: any failed error-severity check
    raises before the layer is handed on, and drops the run's catalog tables;
-4. publish the run in the layer's manifest (``sources.sinks.publish``) —
-   readers of the layer (``sources.sinks.published``) only ever see runs
+4. publish the run under the next number (``sources.manifest.publish``) —
+   readers of the layer (``sources.manifest.published``) only ever see runs
    that passed their checks — and hand the stored tables on.
 
 Writing before checking avoids the double execution of "check, then write"
@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 from strata.operators.quality import Check, QualityGateError, gate, observable, run_checks
-from strata.sources.sinks import WriteVerificationError, publish, read_layer, verify_rows, write_observed
+from strata.sources.manifest import publish
+from strata.sources.sinks import WriteVerificationError, read_layer, verify_rows, write_observed
 
 Builder = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
 
@@ -55,6 +56,7 @@ class LayerResult:
     check_rows: list
     checks: DataFrame | None
     counts: dict[str, int]
+    version: int
 
     def row_counts(self) -> DataFrame:
         """(table_name, row_count), as counted during the write and found in the stored files' footers."""
@@ -92,8 +94,8 @@ def run_layer(
         for table in catalog_tables.values():
             spark.sql(f"DROP TABLE IF EXISTS {table}")
         raise
-    publish(spark, root, layer.name, paths, run_id, fmt, catalog_tables)
-    return LayerResult(layer.name, paths, stored, rows, checks, counts)
+    number = publish(spark, root, layer.name, paths, run_id, fmt, catalog_tables, layer.buckets)
+    return LayerResult(layer.name, paths, stored, rows, checks, counts, number)
 
 
 def layer_database(spark: SparkSession, root: str) -> str:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, DoubleType, IntegralType, LongType
 
 from strata.functions.blank import blank_add, blank_div, blank_sub, nonblank
-from strata.operators.joins import is_small, merge_on_keys
+from strata.operators.joins import checked_broadcast, is_small, merge_on_keys
 
 NOT_BLANK = "__not_blank__"
 
@@ -87,6 +87,8 @@ class Model:
     hidden: dict[str, tuple[str, ...]] = field(default_factory=dict)
     max_broadcast_bytes: int | None = None  # None: the session's broadcast threshold
     aggregates: list = field(default_factory=list)  # see strata.plans.aggregates
+    # relationships (from_table, to_table) whose two tables are stored in the same buckets by their join columns
+    colocated: frozenset[tuple[str, str]] = frozenset()
 
     def add_measures(self, measures: Iterable[Measure]) -> "Model":
         for m in measures:
@@ -390,16 +392,38 @@ class _Branch:
               filtered: set[str], broadcast: bool) -> DataFrame:
         needed_attrs = {t for t, _ in self.group} | {t for t, _ in self.post_filters}
         keep_cols = {_alias(t, c) for t, c in self.group} | {_alias(t, c) for t, c in self.post_filters}
+
+        def below(table: str) -> set[str]:
+            return {table}.union(*[below(e.to_table) for e in edges if e.from_table == table])
+
+        # a table that, with all beyond it, only filters: its rows are reduced from the far end
+        # and the near side keeps the rows that have a match, without taking columns over
+        filtering = {r.to_table for r in edges if r.to_table in filtered and not below(r.to_table) & needed_attrs}
+
+        def reduced(r: Relationship) -> DataFrame:
+            dim = dims[r.to_table]
+            for e in edges:
+                if e.from_table == r.to_table:
+                    dim = dim.join(reduced(e), dim[_alias(e.from_table, e.from_col)] == F.col(_alias(e.to_table, e.to_col)), "left_semi")
+            dim = dim.select(_alias(r.to_table, r.to_col))
+            if broadcast:
+                return F.broadcast(dim)
+            if (r.from_table, r.to_table) in self.model.colocated:
+                return dim.hint("merge")
+            return checked_broadcast(dim, self.model.max_broadcast_bytes)
+
         for r in edges:
+            if r.from_table in filtering:
+                continue
+            left_key, right_key = _alias(r.from_table, r.from_col), _alias(r.to_table, r.to_col)
+            if r.to_table in filtering:
+                cur = cur.join(reduced(r), F.col(left_key) == F.col(right_key), "left_semi")
+                continue
             dim = dims[r.to_table]
             if broadcast:
                 dim = F.broadcast(dim)
-            left_key = _alias(r.from_table, r.from_col)
-            right_key = _alias(r.to_table, r.to_col)
-            downstream = any(e.from_table == r.to_table for e in edges)
-            if r.to_table in filtered and r.to_table not in needed_attrs and not downstream:
-                cur = cur.join(dim, cur[left_key] == dim[right_key], "left_semi")
-                continue
+            elif (r.from_table, r.to_table) in self.model.colocated:
+                dim = dim.hint("merge")
             how = "inner" if r.to_table in filtered else "left"
             cur = cur.join(dim, cur[left_key] == dim[right_key], how)
             if right_key not in keep_cols and right_key != left_key:

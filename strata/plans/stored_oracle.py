@@ -43,5 +43,28 @@ ORACLE_STORED = {
         _dataset("event_type", "event_type", ["total_delivery_records"])]), "fjd"),
 }
 
+#: orders as declared: column, type
+_ORDERS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+           ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+_CHANGED = {"o_totalprice": (3, "string", "type changed"), "o_orderpriority": (None, None, "missing")}
+
+
+def _drift() -> str:
+    def text(v) -> str:
+        return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+
+    rows = [(1, "orders", c, i, t, t, "same") for i, (c, t) in enumerate(_ORDERS)]
+    for i, (c, t) in enumerate(_ORDERS):
+        at, stored, status = _CHANGED.get(c, (i, t, "same"))
+        rows.append((2, "orders", c, at, t, stored, status))
+    rows.append((2, "orders", "o_note", 5, None, "int", "unexpected"))
+    values = ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
+    return ("SELECT CAST(version AS INTEGER) AS version, table_name, column_name, CAST(position AS INTEGER) AS position, declared, stored, status "
+            f"FROM (VALUES {values}) t(version, table_name, column_name, position, declared, stored, status)")
+
+
+ORACLE_STORED["mx_filter_propagation_published"] = ORACLE["mx_filter_propagation"]
+ORACLE_STORED["schema_drift"] = _drift()
+
 ORACLE.update(ORACLE_STORED)
 

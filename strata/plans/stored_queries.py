@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from strata.operators.distincts import distinct_counts
 from strata.plans import report, standin
 from strata.plans.aggregates import StoredAggregate, stored_aggregate, with_aggregates
-from strata.plans.catalog import PAGE1, _fact_with_blank_groups, query
-from strata.plans.delivery import delivery_model
+from strata.plans.catalog import PAGE1, _fact_with_blank_groups, _layered, query
+from strata.plans.delivery import delivery_model, published_model
+from strata.plans.layers import Layer, run_layer
 from strata.plans.metrics import Model, summarize
+from strata.session import scratch_path
+from strata.sources.ingest import read_parquet
+from strata.sources.manifest import schema_drift
 
 
 def _rolled_up(aggregate: StoredAggregate, levels: dict[str, list[str]], measures: dict[str, tuple[str, bool]]) -> DataFrame:
@@ -87,3 +91,25 @@ def rv_page1(spark, sf_dir):
                                *[(F.col(m) if m in df.columns else F.lit(None).cast("double" if m == "attendance_rate" else "long")).alias(m)
                                  for m in PAGE1_MEASURES]))
     return reduce(DataFrame.unionByName, parts)
+
+
+@query("mx_filter_propagation_published")
+def mx_filter_propagation_published(spark, sf_dir):
+    """The location filter reaches the bridge through the fact, over the published Gold layer:
+    bridge and fact lie in the same buckets, so nothing is moved between them."""
+    root, _ = _layered(spark, sf_dir)
+    return summarize(published_model(spark, root), ["educator.experience_level"],
+                     ["events_delivered_by_educator", "educator_hours"], {"location.region": ["ASIA"]})
+
+
+@query("schema_drift")
+def schema_drift_of_orders(spark, sf_dir):
+    """Every published version of a layer against its declared schema: the second version
+    stores the price as text, lacks the priority and has a column that nobody declared."""
+    root = scratch_path(spark, "drift")
+    orders = read_parquet(spark, f"{sf_dir}/orders.parquet")
+    drifted = orders.withColumn("o_totalprice", F.col("o_totalprice").cast("string")).drop("o_orderpriority").withColumn("o_note", F.lit(1))
+    layer = Layer("bronze", lambda t: {"orders": t["orders"]})
+    for table in (orders, drifted):
+        run_layer(spark, layer, {"orders": table}, root)
+    return schema_drift(spark, root, "bronze", {"orders": orders.schema})

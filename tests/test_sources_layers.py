@@ -8,7 +8,7 @@ from strata.operators import quality as Q
 from strata.plans.layers import Layer, check_report, run_layers
 from strata.session import scratch_path
 from strata.sources import SchemaMismatch, assert_schema, read_csv, spec
-from strata.sources.sinks import published
+from strata.sources.manifest import published
 
 
 def _write(spark, name, text):
@@ -72,7 +72,7 @@ def test_gate_stops_before_next_layer(spark):
     with pytest.raises(QualityGateError) as err:
         run_layers(spark, _tiny_layers(2), {"raw": raw, "parents": parents}, root)
     assert "items_parent_fk_parents" in str(err.value)
-    with pytest.raises(Exception):  # the failed run was never published
+    with pytest.raises(FileNotFoundError):  # the failed run was never published
         published(spark, root, "silver")
 
 
