@@ -441,7 +441,7 @@ def bq_time_outreach(spark, sf_dir):
 
 @query("bq_model_coverage")
 def bq_model_coverage(spark, sf_dir):
-    return questions.model_coverage(_gold(spark, sf_dir).model())
+    return questions.model_coverage(_stored_gold(spark, sf_dir).model())
 
 
 # -- step 5: metric layer semantics -------------------------------------------
@@ -745,5 +745,5 @@ def sql_catalog_quarter_growth(spark, sf_dir):
 
 @query("reconcile_sql_vs_metrics")
 def reconcile_sql_vs_metrics(spark, sf_dir):
-    g = _gold(spark, sf_dir)
+    g = _stored_gold(spark, sf_dir)
     return questions.reconcile_region_reach(g.fact, g.location, g.model())

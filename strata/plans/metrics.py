@@ -95,22 +95,30 @@ class Model:
             self.measures[m.name] = m
         return self
 
-    def path(self, start: str, target: str) -> list[Relationship] | None:
-        """Shortest many→one path from ``start`` to ``target`` (BFS)."""
+    def paths(self, start: str, target: str) -> list[list[Relationship]]:
+        """Every many→one path from ``start`` to ``target`` that visits no table twice."""
         if start == target:
-            return []
-        seen = {start}
+            return [[]]
+        found = []
         queue: deque[tuple[str, list[Relationship]]] = deque([(start, [])])
         while queue:
             table, route = queue.popleft()
             for r in self.relationships:
-                if r.from_table == table and r.to_table not in seen:
-                    nxt = route + [r]
+                if r.from_table == table and r.to_table not in {start, *(x.to_table for x in route)}:
                     if r.to_table == target:
-                        return nxt
-                    seen.add(r.to_table)
-                    queue.append((r.to_table, nxt))
-        return None
+                        found.append([*route, r])
+                    else:
+                        queue.append((r.to_table, [*route, r]))
+        return found
+
+    def path(self, start: str, target: str) -> list[Relationship] | None:
+        """The many→one path from ``start`` to ``target``; two paths are an error, since a filter
+        would reach the measure in two ways."""
+        found = self.paths(start, target)
+        if len(found) > 1:
+            ways = "; ".join(" → ".join([start, *(r.to_table for r in route)]) for route in found)
+            raise ModelError(f"ambiguous paths from {start!r} to {target!r}: {ways}")
+        return found[0] if found else None
 
     def business_view(self, table: str) -> DataFrame:
         """The table without its hidden columns."""

@@ -65,7 +65,7 @@ def satisfaction_by_programme(model: Model, filters: Filters = None) -> DataFram
 
 
 def slicer_members(model: Model, slicers=PAGE1_SLICERS + ("fact.programme_type",)) -> DataFrame:
-    """Member lists of each slicer: ``(slicer, member, sort_order)``; months
+    """Member lists of each slicer: ``(slicer, member, sort_order)``, as a slicer shows them: months
     sort by month number, other members by label (sort_order null)."""
     by_table: dict[str, list[str]] = {}
     for ref in dict.fromkeys(slicers):
@@ -76,7 +76,7 @@ def slicer_members(model: Model, slicers=PAGE1_SLICERS + ("fact.programme_type",
                             (F.col("month_number") if ref == "date.month_name" else F.lit(None).cast("int"))
                             .alias("sort_order")) for ref in refs]
         parts.append(model.tables[table].select(F.inline(F.array(*members))).filter(F.col("member").isNotNull()).distinct())
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("slicer", F.col("sort_order").asc_nulls_first(), "member")
 
 
 def formatted(df: DataFrame, model: Model, measures: list[str]) -> DataFrame:

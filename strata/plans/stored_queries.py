@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.distincts import distinct_counts
+from strata.operators.reconcile import comparison_summary
 from strata.plans import report, standin
 from strata.plans.aggregates import StoredAggregate, stored_aggregate, with_aggregates
-from strata.plans.catalog import PAGE1, _fact_with_blank_groups, _layered, query
+from strata.plans.audit import model_audit
+from strata.plans.catalog import CUSTOMER_CSV, PAGE1, _fact_with_blank_groups, _layered, _stored_gold, query
 from strata.plans.delivery import delivery_model, published_model
 from strata.plans.layers import Layer, run_layer
 from strata.plans.metrics import Model, summarize
+from strata.plans.reconciliation import control_totals, reconciled
 from strata.session import scratch_path
-from strata.sources.ingest import read_parquet
+from strata.sources.ingest import CsvIngest, ingest_csv, read_parquet
 from strata.sources.manifest import schema_drift
 
 
@@ -113,3 +116,60 @@ def schema_drift_of_orders(spark, sf_dir):
     for table in (orders, drifted):
         run_layer(spark, layer, {"orders": table}, root)
     return schema_drift(spark, root, "bronze", {"orders": orders.schema})
+
+
+@query("reconcile_questions")
+def reconcile_questions(spark, sf_dir):
+    """All business questions against the metric layer and control totals: what was compared
+    per question and measure, and how much of it agrees."""
+    g = _stored_gold(spark, sf_dir)
+    return comparison_summary(reconciled(g.model(), control_totals(g.orders, g.lines)))
+
+
+@query("model_audit")
+def audit_of_the_delivery_model(spark, sf_dir):
+    """Every measure against every table: may it be grouped by the table, over how many paths
+    (none from the fact to the staff: the lead educator is no relationship), what is hidden."""
+    return model_audit(_stored_gold(spark, sf_dir).model())
+
+
+def _defective_csv(spark, sf_dir) -> CsvIngest:
+    """``customer`` as CSV lines, each seventh key without its last field and each eleventh with
+    one more than declared (a quoted one that holds a comma), ingested."""
+    customer = read_parquet(spark, f"{sf_dir}/customer.parquet")
+    names = CUSTOMER_CSV.column_names
+    quoted = [F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in names]
+    line = (F.when(F.col("c_custkey") % 7 == 0, F.concat_ws(",", *quoted[:-1]))
+            .when(F.col("c_custkey") % 11 == 0, F.concat_ws(",", *quoted, F.lit('"one, more"'))).otherwise(F.concat_ws(",", *quoted)))
+    path = scratch_path(spark, "csv-defects")
+    customer.select(line.alias("value")).write.text(path)
+    return ingest_csv(spark, path, CUSTOMER_CSV, scratch_path(spark, "csv-ingested"), header=False)
+
+
+@query("csv_rejected_rows")
+def csv_rejected_rows(spark, sf_dir):
+    """The reject table: text, number of fields and kind of every row that was not accepted."""
+    rejected = _defective_csv(spark, sf_dir).rejected
+    return rejected.select("row_text", "fields", "kind", F.col("source_file").isNotNull().alias("has_source_file"))
+
+
+@query("csv_ingest_counts")
+def csv_ingest_counts(spark, sf_dir):
+    """Rows accepted and rejected by kind, as counted in the storing pass, beside what is stored."""
+    done = _defective_csv(spark, sf_dir)
+    counted = spark.createDataFrame(list(done.counts.items()), "kind string, counted long")
+    kinds = done.accepted.select(F.lit("accepted").alias("kind")).unionByName(done.rejected.select("kind"))
+    stored = kinds.groupBy(F.col("kind").alias("__k")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(stored, F.col("kind") == F.col("__k"), "left").select("kind", "counted", F.coalesce("n", F.lit(0)).alias("stored"))
+
+
+@query("mx_blank_order")
+def mx_blank_order(spark, sf_dir):
+    """Where a sort puts the blank member: first ascending, last descending (the first
+    member of either sort)."""
+    model = _stored_gold(spark, sf_dir).model()
+    parts = []
+    for name, ascending in (("ascending", True), ("descending", False)):
+        first = summarize(model, ["fact.delivery_language"], ["total_delivery_records"], order_by=[("delivery_language", ascending)]).limit(1)
+        parts.append(first.select(F.lit(name).alias("sort"), F.col("delivery_language").alias("first_member"), "total_delivery_records"))
+    return reduce(DataFrame.unionByName, parts)

@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+import __spark_entry__  # noqa: F401  (registers the queries)
 from strata.plans import catalog, oracle
 from tests.conftest import SF_SMALL
 from tests.test_entry import TABLES, _norm
@@ -21,6 +22,8 @@ ORDER = {
     "bq_outreach_regions": "delivery_records, people_reached, region",
     "bq_outreach_suburbs_top10": "total_people_reached, total_delivery_records, suburb, region",
     "mx_educator": "events_delivered_by_educator DESC, educator_name",
+    "mx_month_name_sorted": "month_number",
+    "rv_slicer_members": "slicer, sort_order, member",
     "mx_attendance_by_type": "total_registered DESC, event_type",
     "mx_satisfaction_by_type": "average_satisfaction DESC, event_type",
     "mx_monthly_detail": "year_month",
