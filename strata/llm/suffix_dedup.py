@@ -19,17 +19,18 @@ byte a hundred times, so the suffixes that can match are found first, without lo
    array and its common-prefix lengths, from which follows, for every anchor and every offset
    of a string before it, whether an earlier one has the same bytes.
 
-Every bucket, run and part is bounded: a passage that a third of all documents hold is one
-anchor per batch, not one per document. Texts move twice: to the anchors' positions, and,
-only those that have repeats, to the resulting spans.
+A passage that a third of all documents hold between the same neighbours is one anchor per
+batch, not one per document. A gram between ever different neighbours (a licence line, say) is
+not split: its anchors lie in one bucket and their suffixes in one part. Texts move twice: to
+the anchors' positions, and, only those that have repeats, to the resulting spans.
 
 Buckets and parts: as many as the session has shuffle partitions. Context equality in step
 1 is that of 64-bit hashes within an equal gram hash; step 3 compares bytes.
 
-Defined results: null text is empty; texts shorter than ``LENGTH`` lose nothing; a null doc_id
-is one document after all others; of rows that repeat a doc_id with several texts the smallest
-text is judged and the other rows get its spans; an empty table gives no rows; further columns
-are ignored.
+Defined results: null text is empty; texts shorter than ``LENGTH`` lose nothing; null doc_ids
+come after all others; rows that share a doc_id (or have none) are judged each by its own text,
+in the order of the texts' SHA-256, and equal rows are one document; an empty table gives no
+rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -462,13 +463,27 @@ def judged(docs: DataFrame) -> DataFrame:
     return met.mapInArrow(run, RESULT)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans; one row per input row."""
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, doc, text: ``doc`` orders the documents and is shared by equal rows only.
+
+    It is the id itself where every id names one text. Otherwise the different (id, text) are
+    numbered in their order: null ids last, texts of one id by their SHA-256."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), order_key("doc_id").alias("doc"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    if keyed.select("doc").groupBy("doc").count().filter("count > 1").isEmpty():  # reads ids only
+        return keyed
+    named = keyed.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
+    order = named.select("doc", "sha").distinct().repartitionByRange("doc", "sha").sortWithinPartitions("doc", "sha")
+    order = stored(order.withColumn("place", F.monotonically_increasing_id()), "suffix-order")
+    return stored(named.join(order, ["doc", "sha"]).select("doc_id", F.col("place").alias("doc"), "text"), "suffix-placed")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans; one row per input row."""
+    keyed = placed(docs)
     texts = keyed.select("doc", "text")
     again = texts.groupBy("doc").count().filter("count > 1").select("doc")
-    if not again.isEmpty():  # ids only were read so far
+    if not again.isEmpty():  # equal rows are one document
         again = stored(again, "suffix-again")
         texts = texts.join(again, "doc", "left_anti").unionByName(
             texts.join(again, "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text")))

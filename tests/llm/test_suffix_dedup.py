@@ -53,6 +53,22 @@ def test_equals_brute_force(spark):
         assert found(spark, rows) == want
 
 
+def test_rows_without_an_id_and_texts_that_share_one_are_judged_by_themselves(spark):
+    r = random.Random(12)
+    say = lambda k: "".join(r.choice("abcdeé ") for _ in range(k))
+    line = say(180)
+    rows = [(1, "aaa " + line), (None, "bbb " + line), (None, "short, unrelated: " + say(50)), (None, None), (7, line + "x"), (7, say(90) + line),
+            (7, line + "x"), (None, "ccc " + line), (None, "ccc " + line), (8, say(300)), (8, say(20)), (9, "ddd " + line), (5, None), (5, line)]
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    different = sorted({(i is None, i or 0, sha(t), t or "") for i, t in rows})
+    want = brute([(n, t) for n, (*_, t) in enumerate(different)])
+    by_text = {(None if none else i, h): want[n] for n, (none, i, h, _) in enumerate(different)}
+    got = S.without_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert all(x.n_removed <= x.n_bytes for x in got)
+    assert sorted((x.doc_id is None, x.doc_id or 0, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got) == sorted(
+        (i is None, i or 0, *by_text[i, sha(t)]) for i, t in rows)
+
+
 def test_periodic_and_copied_texts(spark):
     rows = [(5, "ab" * 300), (6, "x" * 500), (7, "x" * 99), (8, "x" * 100), (9, "abc" * 100 + "x" * 150), (10, "ab" * 300),
             (11, "the of " * 4000), (3, "the of " * 40), (12, "q" + "ab" * 60 + "q"), (13, "q" + "ab" * 60 + "q")]
