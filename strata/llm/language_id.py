@@ -2,10 +2,20 @@
 
 Each language gets a codeword; one binary classifier per bit tells the
 languages whose word has this bit from the others, by the log-odds of hashed
-letter trigrams. A text's margins are compared with every codeword by a
+letter trigrams. No two bits ask the same question: up to ``EXHAUSTIVE`` languages
+every split is a bit (four languages: 7 bits, any two words 4 apart), beyond it random
+splits whose words lie farthest apart of those tried. A text's margins, bounded so that one
+classifier cannot outvote the others, are compared with every codeword by a
 logistic loss, each bit weighted by how well it separates the training
 languages; the codeword of smallest loss names the language, and a text whose
-two best words are nearly as good is flagged.
+two best words are nearly as good is flagged. From four languages on one classifier
+may be wrong without changing the answer; two or three languages have no room for that
+(their words are one and two bits apart).
+
+A text agrees with its codeword as far as its margins point the codeword's way: about 0.9
+for a text of a learned language, about 0.1 for 300 random letters or more, whatever the
+number of languages (a line of 20 may reach 0.4: too short to tell). The filter goes by that,
+not by the score, which only says how the words compare.
 
 Learning is one pass of counting: a task adds up the trigrams of its documents
 per language in fixed-size arrays, Spark adds the arrays of the tasks, and a
@@ -21,6 +31,7 @@ named are read, so further columns do not matter.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,8 +45,11 @@ from strata.llm.common import crc_mod, sliced, table
 
 BUCKETS = 1 << 14
 UNDETERMINED = "und"
-AMBIGUOUS = 0.1   # relative difference of the two smallest losses
-MIN_SCORE = 0.3   # the filter rejects below; four even languages would give 0.25
+AMBIGUOUS = 0.1      # relative difference of the two smallest losses
+MIN_AGREEMENT = 0.3  # the filter rejects below
+EXHAUSTIVE = 7       # languages up to which every split is a bit
+MAX_MARGIN = 1.5     # a typical text has margins of about 1
+TRIES = 64           # random codes tried
 
 LETTER = re.compile(r"[^\W\d_]")
 # Bytes that are no letters (ASCII other than a-z, after lower-casing) count as one blank.
@@ -53,14 +67,24 @@ def grams(text: str) -> np.ndarray:
 
 
 def codewords(k: int) -> np.ndarray:
-    """``k`` words of +1/-1: rows of a Hadamard matrix, any two half a word apart.
-
-    Bits on which all words agree tell nothing and are left out."""
-    h = np.ones((1, 1), np.int8)
-    while h.shape[0] < max(8, k):
-        h = np.block([[h, h], [h, -h]])
-    words = h[:k]
-    return words[:, (words != words[0]).any(axis=0)]
+    """``k`` words of +1/-1, one per row; no column repeats another, or its opposite, or is constant."""
+    if k <= EXHAUSTIVE:
+        columns = [[1, *[1 if n >> i & 1 else -1 for i in range(k - 1)]] for n in range(2 ** max(0, k - 1) - 1)]
+        return np.array(columns, np.int8).reshape(len(columns), k).T
+    bits = 5 * math.ceil(math.log2(k))
+    best, apart = None, -1
+    for seed in range(TRIES):
+        random = np.random.default_rng(seed)
+        columns: dict[tuple, None] = {}
+        while len(columns) < bits:
+            half = np.where(random.permutation(k) < k // 2, 1, -1)
+            columns[tuple((half * half[0]).tolist())] = None  # the first language's bit is 1: no opposites
+        words = np.array(list(columns), np.int8).T
+        distance = (bits - words.astype(int) @ words.T) // 2
+        least = int(distance[~np.eye(k, dtype=bool)].min())
+        if least > apart:
+            best, apart = words, least
+    return best
 
 
 @dataclass
@@ -70,21 +94,21 @@ class Model:
     weights: np.ndarray  # buckets x bits, mean margin of about +1/-1
     trust: np.ndarray    # bits, sums to 1
 
-    def predict(self, text: str | None) -> tuple[str, float, bool, int]:
-        """Language, score, ambiguity flag, bits that differ from the codeword."""
+    def predict(self, text: str | None) -> tuple[str, float, bool, int, float]:
+        """Language, score, ambiguity flag, bits that differ from the codeword, agreement with it."""
         if not self.languages or not text or not LETTER.search(text):
-            return UNDETERMINED, 0.0, False, 0
+            return UNDETERMINED, 0.0, False, 0, 0.0
         if len(self.languages) == 1:
-            return self.languages[0], 1.0, False, 0
+            return self.languages[0], 1.0, False, 0, 1.0
         g = grams(text)
-        margin = np.bincount(g, minlength=BUCKETS) @ self.weights / len(g)
+        margin = np.clip(np.bincount(g, minlength=BUCKETS) @ self.weights / len(g), -MAX_MARGIN, MAX_MARGIN)
         loss = np.logaddexp(0, -3 * self.words * margin) @ self.trust
         order = np.argsort(loss, kind="stable")
         best, second = order[0], order[1]
         belief = np.exp(-4 * (loss - loss[best]))
-        wrong = int(((self.words[best] * margin) <= 0).sum())
-        return (self.languages[best], float(1 / belief.sum()),
-                bool(loss[second] - loss[best] < AMBIGUOUS * loss[second]), wrong)
+        towards = self.words[best] * margin
+        return (self.languages[best], float(1 / belief.sum()), bool(loss[second] - loss[best] < AMBIGUOUS * loss[second]),
+                int((towards <= 0).sum()), float(np.clip(towards, -1, 1) @ self.trust))
 
 
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
@@ -114,17 +138,18 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
         return Model(languages, np.zeros((k, 0)), np.zeros((BUCKETS, 0)), np.zeros(0))
     counts = np.zeros((k, BUCKETS))
     counts[rows["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(), rows["bucket"].to_numpy()] = rows["n"]
+    seen = counts.any(axis=0)  # a trigram that no language has tells nothing
     share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)  # every language counts alike
     words = codewords(k).astype(float)
     weights = np.empty((BUCKETS, words.shape[1]))
     trust = np.empty(words.shape[1])
     for j, bit in enumerate(words.T):
         w = np.log(share[bit > 0].mean(axis=0)) - np.log(share[bit < 0].mean(axis=0))
-        margins = share @ w * bit  # of a typical text of each language, positive if right
         w -= (share[bit > 0] @ w).mean() / 2 + (share[bit < 0] @ w).mean() / 2
         scale = max(1e-9, np.abs(share @ w).mean())
-        weights[:, j] = w / scale
-        trust[j] = max(1e-3, (share @ w * bit).min() / scale) if margins.size else 1.0
+        weights[:, j] = np.where(seen, w / scale, 0.0)
+        trust[j] = max(1e-3, (share @ w * bit).min() / scale)
+    trust = np.clip(trust, trust.mean() / 2, trust.mean() * 1.5)  # no bit speaks for several
     return Model(languages, words, weights, trust / trust.sum())
 
 
@@ -136,7 +161,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
         m = shared.value
         for b in sliced(batches):
             found = [m.predict(t) for t in b.column(1).to_pylist()]
-            lang, score, unsure, wrong = zip(*found) if found else ((), (), (), ())
+            lang, score, unsure, wrong, _ = zip(*found) if found else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                  pa.array(unsure, pa.bool_()), pa.array(wrong, pa.int32())],
@@ -160,7 +185,7 @@ def op9_language_id(spark, sf_dir: str) -> DataFrame:
 def language_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in a recognised language, with all their columns.
 
-    Rejected: null text, text without a letter, and score below ``MIN_SCORE``.
+    Rejected: null text, text without a letter, and an agreement below ``MIN_AGREEMENT``.
     The text is judged where the row is; nothing is joined or shuffled."""
     model = learn(docs.filter(~held_out()))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -170,7 +195,7 @@ def language_filter(docs: DataFrame) -> DataFrame:
         m = shared.value
         for b in sliced(batches):
             found = [m.predict(t) for t in b.column(at).to_pylist()]
-            yield b.filter(pa.array([lang != UNDETERMINED and score >= MIN_SCORE for lang, score, *_ in found],
+            yield b.filter(pa.array([lang != UNDETERMINED and agreement >= MIN_AGREEMENT for lang, *_, agreement in found],
                                     pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

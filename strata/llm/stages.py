@@ -20,7 +20,7 @@ from strata.llm.simhash import simhash_survivors
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language: rejected are those without a letter and
-    those whose text favours no codeword."""
+    those whose text agrees with no codeword."""
     return language_filter(docs)
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from strata.llm import language_id as G
@@ -33,11 +34,96 @@ def test_language_edge_cases(spark):
     assert G.identify(docs.limit(0), one).count() == 0
 
 
-@pytest.mark.parametrize("k", [2, 3, 4, 7, 9, 20])
-def test_codewords_are_far_apart(k):
-    words = G.codewords(k)
+@pytest.mark.parametrize("k", [2, 3, 4, 7, 8, 9, 20, 60])
+def test_codewords_are_far_apart_and_ask_different_questions(k):
+    words = G.codewords(k).astype(int)
     assert len(words) == k and (words != words[0]).any(axis=0).all()
-    assert min((words[i] != words[j]).sum() for i in range(k) for j in range(i)) >= 4
+    columns = {tuple(c) for c in words.T} | {tuple(-c) for c in words.T}
+    assert len(columns) == 2 * words.shape[1]
+    least = min((words[i] != words[j]).sum() for i in range(k) for j in range(i))
+    assert least >= {2: 1, 3: 2}.get(k, 4)
+    assert [G.codewords(1).shape, G.codewords(0).shape[0]] == [(1, 0), 0] if k == 2 else True
+
+
+def invented(k, seed=5):
+    """k languages: each has syllables of its own choice."""
+    r = random.Random(seed)
+    syllables = [a + b + c for a in "bcdfghklmnprstvwz" for b in "aeiou" for c in ["", "n", "r", "s", "l"]]
+    own = {f"l{i:02}": r.sample(syllables, 60) for i in range(k)}
+    say = lambda lang, n: " ".join("".join(r.choice(own[lang]) for _ in range(r.randint(1, 3))) for _ in range(n))
+    return own, say
+
+
+def trained(spark, k):
+    own, say = invented(k)
+    rows = [(i, say(lang, 40), lang) for i, lang in enumerate([*own] * 12)]
+    return own, say, G.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4))
+
+
+@pytest.mark.parametrize("k", [4, 9, 20])
+def test_one_wrong_classifier_is_corrected(spark, k):
+    own, say, model = trained(spark, k)
+    texts = [(lang, say(lang, 60)) for lang in own for _ in range(3)]
+    for j in range(model.words.shape[1]):
+        weights = model.weights.copy()
+        weights[:, j] *= -1
+        broken = G.Model(model.languages, model.words, weights, model.trust)
+        assert [broken.predict(t)[0] for _, t in texts] == [lang for lang, _ in texts], j
+        assert all(broken.predict(t)[3] >= 1 for _, t in texts)
+
+
+@pytest.mark.parametrize("k", [2, 4, 20])
+def test_the_stage_rejects_random_letters_and_keeps_clean_text(spark, k):
+    own, say = invented(k)
+    r = random.Random(1)
+    noise = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n))
+    clean = [(lang, say(lang, r.choice([6, 30, 200]))) for lang in own for _ in range(max(14, 60 // k))]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(clean)] + [(100_000 + i, noise(r.choice([300, 600, 2000])), None) for i in range(60)]
+    kept = {x.doc_id for x in G.language_filter(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert len([i for i in kept if i < 100_000]) >= 0.99 * len(clean)
+    assert len([i for i in kept if i >= 100_000]) <= 1
+
+
+def test_learning_and_decoding_equal_a_dense_restatement(spark):
+    own, say = invented(5, seed=9)
+    rows = [(i, say(lang, r), lang) for r in (5, 20, 50) for i, lang in enumerate(own)]
+    model = G.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+    def buckets(text):
+        raw = b" " + b" ".join(bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in text.lower().encode()).split()) + b" "
+        out = []
+        for a, b, c in zip(raw, raw[1:], raw[2:]):
+            code = (a * 0x9E3779B1 ^ b * 0x85EBCA77 ^ c * 0xC2B2AE3D) & 0xFFFFFFFF
+            code ^= code >> 15
+            out.append((code * 0x2C1B3C6D & 0xFFFFFFFF) >> 18)
+        return out
+
+    share, seen = np.full((5, G.BUCKETS), 0.5), np.zeros(G.BUCKETS)
+    for _, text, lang in rows:
+        np.add.at(seen, buckets(text), 1)
+        np.add.at(share[list(own).index(lang)], buckets(text), 1)
+    share /= share.sum(axis=1, keepdims=True)
+    words = np.array([[1 if lang == 0 or n >> (lang - 1) & 1 else -1 for n in range(15)] for lang in range(5)], float)
+    assert (model.words == words).all() and model.languages == list(own)
+    weights = np.zeros((G.BUCKETS, 15))
+    trust = np.zeros(15)
+    for j in range(15):
+        yes, no = share[words[:, j] > 0], share[words[:, j] < 0]
+        odds = np.log(yes.mean(axis=0)) - np.log(no.mean(axis=0))
+        typical = share @ (odds - ((yes @ odds).mean() + (no @ odds).mean()) / 2)
+        weights[:, j] = (odds - ((yes @ odds).mean() + (no @ odds).mean()) / 2) / np.abs(typical).mean() * (seen > 0)
+        trust[j] = max(1e-3, (typical * words[:, j]).min() / np.abs(typical).mean())
+    trust = np.clip(trust, trust.mean() / 2, trust.mean() * 1.5) / np.clip(trust, trust.mean() / 2, trust.mean() * 1.5).sum()
+    assert np.allclose(model.weights, weights) and np.allclose(model.trust, trust)
+    for text in [say(lang, n) for lang in own for n in (1, 8)] + ["zzz qqq", "Ö"]:
+        found = buckets(text)
+        margin = np.clip([sum(weights[b, j] for b in found) / len(found) for j in range(15)], -1.5, 1.5)
+        loss = [sum(trust[j] * np.log1p(np.exp(-3 * words[i, j] * margin[j])) for j in range(15)) for i in range(5)]
+        best = int(np.argmin(loss))
+        lang, score, _, wrong, agreement = model.predict(text)
+        assert (lang, wrong) == (list(own)[best], int((words[best] * margin <= 0).sum()))
+        assert score == pytest.approx(1 / sum(np.exp(-4 * (x - loss[best])) for x in loss))
+        assert agreement == pytest.approx(sum(trust[j] * min(1, max(-1, words[best, j] * margin[j])) for j in range(15)))
 
 
 def segments_restated(scores):
