@@ -1,17 +1,25 @@
-"""Token counts by prefix dynamic programming.
+"""Token counts by prefix dynamic programming, stored once and asked again.
 
 A text is cut where a non-space is followed by a space: no token crosses such
-a place, and what stands on one side never changes the other. Each chunk's
-table holds the exact token count at every prefix (``bpe.Bpe.prefixes``), so
-the count of a whole text, of any prefix of it, and the cut that fits a token
-budget are sums of table entries; nothing is encoded twice.
+a place, and what stands on one side never changes the other. For each piece of a chunk the
+prefix table (``bpe.Bpe.prefixes``) has the exact token count at every byte and where the last
+token of every prefix starts; the path back through it gives the sizes of the piece's tokens.
+
+:func:`prefix_table` stores the sizes of all tokens of a document, one byte each. Their running
+sums are the byte offsets at which the count goes up, so the stored rows answer how many tokens
+a text or any part of it up to a byte has, where a token limit cuts it (:func:`truncated`,
+:func:`tokens_within`), and which documents fit a token budget (:func:`within_budget`) without the
+vocabulary and without encoding anything again. (The count of a prefix that ends inside a
+token, taken as a text of its own, is not a part of that; :meth:`Counter.prefix_counts` has it.)
 
 The rows stay where they are read: one Arrow pass over the documents, no
-shuffle, per-worker chunk tables of bounded size.
+shuffle, per-worker chunk tables of bounded size. Only the budget moves rows, and of
+those only ids and counts.
 
 Defined results: null or empty text has 0 tokens; rows are never merged, so
 repeated rows and null ids come back once per input row; further columns of
-the input are ignored, whatever their names; an empty table gives no rows.
+the input are ignored, whatever their names; an empty table gives no rows. In a budget, documents
+come by id, null last, rows of one id by their number of tokens.
 """
 
 from __future__ import annotations
@@ -19,16 +27,17 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.bpe import byte_level
-from strata.llm.common import sliced, table
+from strata.llm.common import order_key, sliced, stored, table
 
 LIMIT = 512
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_ENTRIES = 1 << 19  # chunk counts kept by a worker before it starts anew
+CACHE_ENTRIES = 1 << 19  # chunks kept by a worker before it starts anew
 
 # The characters that byte-level pre-tokenization takes for white space.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -48,29 +57,34 @@ class Counter:
         self.piece = regex.compile(PIECE)
         self.special = re.compile("|".join(re.escape(t) for t, _ in sorted(added, key=lambda a: -len(a[0])))) \
             if added else None
+        if max([self.bpe.longest, *(len(t.encode()) for t, _ in added)]) > 255:
+            raise ValueError("a token is longer than 255 bytes; its size does not fit a byte")
         self.cache_entries = cache_entries
-        self.pieces: dict[str, int] = {}
-        self.chunks: dict[str, int] = {}
-
-    def _of_piece(self, piece: str) -> int:
-        raw = piece.encode()
-        n = self.bpe.prefixes(raw)[0][-1]
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def _of_piece(self, piece: str) -> bytes:
+        """The sizes of the piece's tokens."""
+        starts = self.bpe.prefixes(piece.encode())[1]
+        sizes, end = [], len(starts) - 1
+        while end:
+            sizes.append(end - starts[end])
+            end = starts[end]
+        found = bytes(sizes[::-1])
         if len(piece) <= 64:
             if len(self.pieces) >= self.cache_entries:
                 self.pieces.clear()
-            self.pieces[piece] = n
-        return n
+            self.pieces[piece] = found
+        return found
 
-    def of_chunk(self, chunk: str) -> int:
+    def of_chunk(self, chunk: str) -> bytes:
         known = self.pieces.get
-        n = 0
-        for p in self.piece.findall(chunk):
-            n += known(p) or self._of_piece(p)
+        found = b"".join([known(p) or self._of_piece(p) for p in self.piece.findall(chunk)])
         if len(chunk) <= 64:
             if len(self.chunks) >= self.cache_entries:
                 self.chunks.clear()
-            self.chunks[chunk] = n
-        return n
+            self.chunks[chunk] = found
+        return found
 
     def units(self, text: str) -> Iterator[tuple[str, int]]:
         """The text in order: (chunk or special token, token count)."""
@@ -84,39 +98,28 @@ class Counter:
     def _plain(self, text: str) -> Iterator[tuple[str, int]]:
         known = self.chunks.get
         for c in CHUNK.findall(text):
-            yield c, known(c) or self.of_chunk(c)
+            yield c, len(known(c) or self.of_chunk(c))
 
-    def count(self, text: str | None) -> int:
+    def sizes(self, text: str | None) -> bytes:
+        """The sizes of all tokens of the text in bytes, in order."""
         if not text:
-            return 0
+            return b""
         known, of_chunk = self.chunks.get, self.of_chunk
-        parts = self.special.split(text) if self.special else [text]
-        n = len(parts) - 1
-        for part in parts:
-            for c in CHUNK.findall(part):
-                n += known(c) or of_chunk(c)
-        return n
+        if not self.special or not self.special.search(text):
+            return b"".join([known(c) or of_chunk(c) for c in CHUNK.findall(text)])
+        out, at = [], 0
+        for m in self.special.finditer(text):
+            out += [known(c) or of_chunk(c) for c in CHUNK.findall(text[at:m.start()])]
+            out.append(bytes([len(m.group().encode())]))
+            at = m.end()
+        return b"".join(out + [known(c) or of_chunk(c) for c in CHUNK.findall(text[at:])])
+
+    def count(self, text: str | None) -> int:
+        return len(self.sizes(text))
 
     def cut(self, text: str | None, limit: int) -> int:
         """How many UTF-8 bytes the first ``limit`` tokens of the text cover."""
-        left, size = limit, 0
-        for unit, n in self.units(text or ""):
-            if n <= left:
-                left -= n
-                size += len(unit.encode())
-                continue
-            for p in self.piece.findall(unit):
-                raw = p.encode()
-                count, start = self.bpe.prefixes(raw)
-                if count[-1] <= left:
-                    left -= count[-1]
-                    size += len(raw)
-                    continue
-                e = len(raw)
-                while count[e] > left:  # back along the whole text's own tokens
-                    e = start[e]
-                return size + e
-        return size
+        return sum(self.sizes(text)[:limit])
 
     def prefix_counts(self, text: str | None) -> list[int]:
         """The exact token count of ``text[:k]`` for every k from 0."""
@@ -146,10 +149,10 @@ class Counter:
             # A shorter text can only be cut otherwise in its last two pieces.
             tail = (pieces[i - 1] if i else "")
             for k in range(1, len(p) + 1):
-                out.append(before + sum(self.pieces.get(q) or self._of_piece(q)
+                out.append(before + sum(len(self.pieces.get(q) or self._of_piece(q))
                                         for q in self.piece.findall(tail + p[:k])))
             if i:
-                before += self.pieces.get(tail) or self._of_piece(tail)
+                before += len(self.pieces.get(tail) or self._of_piece(tail))
         return out
 
 
@@ -168,10 +171,11 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) and limit_bytes, the
-    bytes that the first ``limit`` tokens cover (all of them below the limit).
+TABLE = "doc_id long, n_bytes long, n_tokens long, token_sizes binary"
+
+
+def prefix_table(docs: DataFrame, vocabulary: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_tokens, token_sizes (a byte per token) of every row, stored in the shared folder.
 
     ``vocabulary``: file path of a byte-level BPE .json that every executor has."""
     source = vocabulary
@@ -179,18 +183,68 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(source or vocabulary_path(VOCABULARY))
         for b in sliced(batches):
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            sizes = [len(t.encode()) if t else 0 for t in texts]
-            n = [c.count(t) for t in texts]
-            cut = [s if k <= limit else c.cut(t, limit) for t, k, s in zip(texts, n, sizes)]
+            texts = b.column(1).to_pylist()
+            sizes = [c.sizes(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array([k > limit for k in n], pa.bool_()), pa.array(cut, pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens", "over_limit", "limit_bytes"])
+                [b.column(0), pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()),
+                 pa.array([len(x) for x in sizes], pa.int64()), pa.array(sizes, pa.binary())],
+                ["doc_id", "n_bytes", "n_tokens", "token_sizes"])
 
     picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return picked.mapInArrow(
-        run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, limit_bytes long")
+    return stored(picked.mapInArrow(run, TABLE), "prefix-table")
+
+
+def truncated(prefixes: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) and limit_bytes, the bytes that the
+    first ``limit`` tokens cover (all of them below the limit). From the stored table alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cut = [int(np.frombuffer(x, np.uint8).sum()) for x in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cut, pa.int64())], ["doc_id", "n_bytes", "n_tokens", "limit_bytes"])
+
+    first = prefixes.select("doc_id", "n_bytes", "n_tokens", F.substring("token_sizes", 1, limit).alias("token_sizes"))
+    cut = first.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, limit_bytes long")
+    return cut.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "limit_bytes")
+
+
+def tokens_within(prefixes: DataFrame, n_bytes: int) -> DataFrame:
+    """doc_id, tokens: how many of a text's tokens end within its first ``n_bytes`` bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [int(np.searchsorted(np.cumsum(np.frombuffer(x, np.uint8), dtype=np.int64), n_bytes, "right"))
+                     for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.int64())], ["doc_id", "tokens"])
+
+    # a token has a byte at least, so no more sizes than bytes can matter
+    return prefixes.select("doc_id", F.substring("token_sizes", 1, max(0, n_bytes)).alias("token_sizes")).mapInArrow(run, "doc_id long, tokens long")
+
+
+def within_budget(prefixes: DataFrame, budget: int) -> DataFrame:
+    """doc_id, n_tokens, tokens_before, fits: documents in the order of their ids, the tokens of all
+    before each, and whether it ends within ``budget`` tokens. From the stored counts alone.
+
+    Ids are dealt by ranges; each range's total (a row) tells the others where they begin."""
+    spark = prefixes.sparkSession
+    dealt = (prefixes.select("doc_id", "n_tokens").withColumn("at", order_key("doc_id")).repartitionByRange("at", "n_tokens")
+             .sortWithinPartitions("at", "n_tokens").withColumn("place", F.monotonically_increasing_id()))
+    dealt = stored(dealt.withColumn("range", F.shiftright("place", 33)), "budget-ranges")
+    own = Window.partitionBy("range").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    before, starts = 0, []
+    for r in dealt.groupBy("range").agg(F.sum("n_tokens").alias("n")).orderBy("range").collect():
+        starts.append((r["range"], before))
+        before += r["n"]
+    start = spark.createDataFrame(starts, "range long, start long")  # one row per range
+    counted = (dealt.join(F.broadcast(start), "range")
+               .withColumn("tokens_before", F.col("start") + F.coalesce(F.sum("n_tokens").over(own), F.lit(0))))
+    return counted.select("doc_id", "n_tokens", "tokens_before", (F.col("tokens_before") + F.col("n_tokens") <= budget).alias("fits"))
+
+
+def token_counts(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT, doc_id: str = "doc_id",
+                 text: str = "text") -> DataFrame:
+    """:func:`truncated` of the documents' :func:`prefix_table`."""
+    return truncated(prefix_table(docs, vocabulary, doc_id, text), limit)
 
 
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:

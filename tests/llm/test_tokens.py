@@ -79,6 +79,68 @@ def test_token_count_rows(spark, library):
     assert TC.token_counts(docs.limit(0)).count() == 0
 
 
+def test_stored_prefixes_answer_without_encoding(spark, library, monkeypatch):
+    texts = [*awkward(120, seed=12), None, "", "x" * 5000, "same", "same"]
+    ids = [*range(len(texts) - 3), None, 7, 7]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    prefixes = TC.prefix_table(docs)
+    TC_SIZES("")
+    want = [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+    def no(*_):
+        raise AssertionError("the encoder was used")
+
+    for name in ("counter", "Counter", "vocabulary_path", "byte_level"):  # on the driver
+        monkeypatch.setattr(TC, name, no)
+    for answer in (TC.truncated, TC.tokens_within, TC.within_budget):    # and in what is sent to the workers
+        assert not {"counter", "Counter", "vocabulary_path", "byte_level"} & names_in(answer.__code__)
+    key = lambda r: repr(r)
+    sizes = lambda t: TC_SIZES(t)
+    for limit in (1, 3, 50):
+        got = sorted((tuple(r) for r in TC.truncated(prefixes, limit).collect()), key=key)
+        assert got == sorted(((i, len((t or "").encode()), n, n > limit, sum(sizes(t)[:limit])) for i, t, n in zip(ids, texts, want)), key=key)
+    for at in (0, 1, 9, 300, 10_000):
+        got = sorted((tuple(r) for r in TC.tokens_within(prefixes, at).collect()), key=key)
+        ends = lambda t: [sum(sizes(t)[:k + 1]) for k in range(len(sizes(t)))]
+        assert got == sorted(((i, sum(e <= at for e in ends(t))) for i, t in zip(ids, texts)), key=key)
+    order = sorted(zip(ids, want), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    for budget in (0, 10, sum(want) // 2, sum(want)):
+        got = sorted(((r.doc_id, r.n_tokens, r.tokens_before, r.fits) for r in TC.within_budget(prefixes, budget).collect()), key=lambda r: r[2:])
+        before, rows = 0, []
+        for i, n in order:
+            rows.append((i, n, before, before + n <= budget))
+            before += n
+        assert sorted(got, key=key) == sorted(rows, key=key)
+    assert TC.within_budget(prefixes.limit(0), 5).count() == TC.tokens_within(prefixes.limit(0), 5).count() == 0
+
+
+def names_in(code):
+    """Global names that a function and the functions inside it use."""
+    return set(code.co_names).union(*[names_in(c) for c in code.co_consts if hasattr(c, "co_names")])
+
+
+COUNTER = None
+
+
+def TC_SIZES(text):
+    """Sizes of the tokens from the path through the lattice (counts are checked against the library)."""
+    global COUNTER
+    COUNTER = COUNTER or REAL(PATH)
+    return list(COUNTER.sizes(text))
+
+
+PATH, REAL = vocabulary_path(TC.VOCABULARY), TC.Counter
+
+
+def test_token_sizes_are_the_library_s(counter, library):
+    for t in awkward(600, seed=13):
+        sizes = counter.sizes(t)
+        assert sum(sizes) == len(t.encode())
+        offsets = library.encode(t, add_special_tokens=False).offsets
+        if all(a[1] == b[0] for a, b in zip(offsets, offsets[1:])):  # no character is cut between tokens
+            assert list(sizes) == [len(t[a:b].encode()) for a, b in offsets], repr(t)
+
+
 def test_ids_equal_the_library_on_both_paths(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(SP.MODEL))
     texts = [*awkward(400, seed=8), None, "", "x" * 50_000 + " y", *["same text, twice."] * 2]
