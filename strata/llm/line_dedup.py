@@ -6,9 +6,10 @@ State of a :class:`LineIndex`, three tables in the shared folder, all sharded by
 * ``counts``: per line key the number of documents and the smallest doc_id, the owner;
 * ``filters``: per shard one cuckoo filter of the keys that several documents share.
 
-``insert`` adds documents, ``delete`` takes documents out again. Only the shards that a batch
-touches are recounted; a key whose count falls back to one leaves the filter, so deleting
-restores what was before. ``repeated`` asks which references are repeats: a reference whose
+``insert`` adds documents, ``delete`` takes documents out again. Only the keys that a batch
+touches are recounted, and only their filters change; a key whose count falls back to one leaves
+the filter, so deleting restores what was before. Each change stores the three tables anew (the
+old ones stay readable), so it costs a pass over the index, though none over the texts. ``repeated`` asks which references are repeats: a reference whose
 key misses its shard's filter is surely no repeat and is done; the others are verified
 against the exact counts, so a filter's false positives never reach a result.
 

@@ -9,9 +9,12 @@
    grams; a token without any costs ``-DRIFT``, so chance segments do not grow.
 2. Each whole text is scanned once (Ruzzo and Tompa): all maximal-scoring
    segments, in linear time. Runs of other tokens enter as one step.
-3. Extreme-value calibration: with lambda and K of the score distribution of
-   clean text, a segment of score S in a text of n tokens has E-value
-   K n exp(-lambda S). The text's evidence is the sum of -ln E over its
+3. Extreme-value calibration: the token scores of clean training texts that the lexicon was
+   not fitted on (one in ``RESERVE``) are counted;
+   lambda solves sum p exp(lambda s) = 1 over that histogram, K is the part of that sum that
+   positive scores make (a segment starts with one). A segment of score S in a text of n tokens has the
+   E-value K n exp(-lambda S): at most about that many such segments are expected in clean
+   text of n tokens. The text's evidence is the sum of -ln E over its
    significant segments (E < 1); the share of toxic texts by evidence among all
    labelled training texts, made monotone, is the score.
 
@@ -32,6 +35,7 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -46,6 +50,7 @@ MIN_Z = 3.0
 MIN_ODDS = 2.5
 MAX_LEXICON = 20_000
 MAX_LABELLED = 20_000  # labelled documents of each kind that the lexicon is fitted on
+RESERVE = 4            # of so many clean labelled documents one is kept back for the score distribution
 PRIOR = 0.02       # weight of the prior, as a share of the labelled counts
 DRIFT = 0.25
 GRAMS = (4, 5)
@@ -73,13 +78,15 @@ class Lexicon:
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[float, int, int]]]:
         """Token count, and the maximal segments as (score, first token, last token)."""
+        scores = self.scores(text)
+        return len(scores), maximal_segments([(i, s) for i, s in enumerate(scores) if s], DRIFT)
+
+    def scores(self, text: str | None) -> list[float]:
+        """The score of every token, 0 without a word or gram of the lexicon."""
         if not text:
-            return 0, []
+            return []
         known, of_word = self.words.get, self._of_word
-        words = TOKEN.findall(text.lower())
-        scores = [s if (s := known(w)) is not None else of_word(w) for w in words]
-        hits = [(i, s) for i, s in enumerate(scores) if s]
-        return len(words), maximal_segments(hits, DRIFT)
+        return [s if (s := known(w)) is not None else of_word(w) for w in TOKEN.findall(text.lower())]
 
     def _of_word(self, word: str) -> float:
         """The highest odds of the word and its grams, 0 without any."""
@@ -140,8 +147,11 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = MA
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     few = reduce(DataFrame.union, [known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id")
                                    .limit(sample) for kind in (0, 1)])
-    taught = stored(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic"),
-                    "toxicity-labelled")
+    # one clean document in RESERVE is not fitted on: its token scores are those of unseen clean text
+    kept_back = (F.col("toxic") == 0) & (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(RESERVE)) == 0)
+    labelled = stored(docs.select("doc_id", "text").join(F.broadcast(few.withColumn("reserve", kept_back)), "doc_id")
+                      .select("text", "toxic", "reserve"), "toxicity-labelled")
+    taught, reserve = labelled.filter("NOT reserve"), labelled.filter("reserve").select("text")
     split = F.split(F.lower("text"), NOT_TOKEN)
     words = lambda df, each: df.withColumn("w", F.explode(each)).filter("w <> ''")
     grams = F.flatten(F.transform(F.array(*map(F.lit, GRAMS)), lambda n: F.when(
@@ -165,14 +175,36 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, sample: int = MA
             .filter((F.col("z") >= MIN_Z) & (F.col("d") >= MIN_ODDS)).orderBy(F.desc("z"), "w").limit(MAX_LEXICON).collect())
     lexicon = Lexicon({r.w: r.d for r in best})
     if best:
-        lexicon.lam, lexicon.k = karlin_altschul([(r.d, (r.c + 0.5) / (total.c + 1)) for r in best], DRIFT)
+        lexicon.lam, lexicon.k = karlin_altschul(token_scores(lexicon, reserve), DRIFT)
     calibrate(lexicon, docs.filter(F.col("doc_id").isNotNull() & training), known)
     return lexicon
 
 
+def token_scores(lexicon: Lexicon, texts: DataFrame) -> list[tuple[float, float]]:
+    """(score, share of all tokens) of the positive token scores in ``texts`` (text).
+
+    As many rows as there are different scores, the lexicon's size at most."""
+    shared = texts.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        seen: Counter = Counter()
+        for b in sliced(batches):
+            for t in b.column(0).to_pylist():
+                seen.update(m.scores(t))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.float64()), pa.array(list(seen.values()), pa.int64())], ["s", "n"])
+
+    rows = texts.mapInArrow(run, "s double, n long").groupBy("s").agg(F.sum("n").alias("n")).collect()
+    total = sum(r.n for r in rows) + 1
+    found = [(r.s, r.n / total) for r in rows if r.s > 0]
+    # none of the lexicon's words in clean text: half a token of the lowest score, so that lambda stays finite
+    return found or [(min(lexicon.odds.values()), 0.5 / total)]
+
+
 def karlin_altschul(hits: list[tuple[float, float]], drift: float) -> tuple[float, float]:
-    """lambda with sum p exp(lambda s) = 1 over clean text's token scores, and K by its
-    usual bound for rare hits: the share of positions where a segment may start."""
+    """lambda with sum p exp(lambda s) = 1 over clean text's token scores, and K = sum p exp(lambda s)
+    over the positive ones: a segment starts with a hit of score s, from where it reaches S with
+    a probability of exp(-lambda (S - s)) at most."""
     rest = 1 - sum(p for _, p in hits)
 
     def excess(lam: float) -> float:
@@ -187,7 +219,8 @@ def karlin_altschul(hits: list[tuple[float, float]], drift: float) -> tuple[floa
     for _ in range(80):
         mid = (low + high) / 2
         low, high = (mid, high) if excess(mid) < 0 else (low, mid)
-    return max(low, 1e-3), max(1e-9, sum(p for _, p in hits))
+    lam = max(low, 1e-3)
+    return lam, max(1e-9, sum(p * math.exp(min(700, lam * s)) for s, p in hits))
 
 
 def calibrate(lexicon: Lexicon, docs: DataFrame, known: DataFrame) -> None:

@@ -156,7 +156,7 @@ def test_segments_are_all_maximal_ones():
 def test_lambda_solves_its_equation():
     lam, k = T.karlin_altschul([(4.0, 0.001), (2.0, 0.004)], 0.25)
     total = 0.001 * 2.718281828459045 ** (4 * lam) + 0.004 * 2.718281828459045 ** (2 * lam)
-    assert abs(total + 0.995 * 2.718281828459045 ** (-0.25 * lam) - 1) < 1e-6 and k == pytest.approx(0.005)
+    assert abs(total + 0.995 * 2.718281828459045 ** (-0.25 * lam) - 1) < 1e-6 and k == pytest.approx(total)
 
 
 def test_toxic_texts_score_high(spark):
@@ -192,6 +192,22 @@ def test_held_out_toxicity(spark):
     assert sum(s >= 0.7 for s in toxic) > 0.7 * len(toxic) and sum(s >= 0.7 for s in clean) < 0.02 * len(clean)
 
 
+def test_e_values_hold_on_clean_held_out_texts(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    lexicon = T.learn(docs, labels, ~T.held_out())
+    clean = docs.filter(T.held_out()).join(labels.filter("toxic = 0").select("doc_id").distinct(), "doc_id").select("text")
+    p = dict(T.token_scores(lexicon, clean))
+    texts = [r.text for r in clean.collect()]
+    scores = [s for t in texts for s in lexicon.scores(t)]
+    assert p == pytest.approx({s: scores.count(s) / (len(scores) + 1) for s in set(scores) if s > 0})
+    found = [(len(lexicon.scores(t)), lexicon.segments(t)[1]) for t in texts]
+    for e in (1.0, 0.1, 0.01):  # segments with an E-value below e: e a text at most, and not far fewer where there are enough to tell
+        hits = sum(lexicon.k * n * 2.718281828459045 ** (-lexicon.lam * s) < e for n, own in found for s, _, _ in own)
+        assert hits <= 1.5 * e * len(texts) + 5, e
+    assert 0 < lexicon.lam < 5 and 0 < lexicon.k < 1
+
+
 def test_toxicity_is_calibrated_on_all_labels_when_the_fit_is_sampled(spark):
     r = random.Random(8)
     docs, marks = [], []
