@@ -14,8 +14,9 @@ may be wrong without changing the answer; two or three languages have no room fo
 
 A text agrees with its codeword as far as its margins point the codeword's way: about 0.9
 for a text of a learned language, about 0.1 for 300 random letters or more, whatever the
-number of languages (a line of 20 may reach 0.4: too short to tell). The filter goes by that,
-not by the score, which only says how the words compare.
+number of languages (a line of 20 may reach 0.4: too short to tell). A text that agrees with
+none is judged again in stretches, since languages that take turns cancel each other. The filter
+goes by that, not by the score, which only says how the words compare.
 
 Learning is one pass of counting: a task adds up the trigrams of its documents
 per language in fixed-size arrays, Spark adds the arrays of the tasks, and a
@@ -48,6 +49,7 @@ UNDETERMINED = "und"
 AMBIGUOUS = 0.1      # relative difference of the two smallest losses
 MIN_AGREEMENT = 0.3  # the filter rejects below
 EXHAUSTIVE = 7       # languages up to which every split is a bit
+WINDOW = 256         # trigrams of a stretch that is judged by itself where a text agrees with no word
 MAX_MARGIN = 1.5     # a typical text has margins of about 1
 TRIES = 64           # random codes tried
 
@@ -106,9 +108,13 @@ class Model:
         order = np.argsort(loss, kind="stable")
         best, second = order[0], order[1]
         belief = np.exp(-4 * (loss - loss[best]))
-        towards = self.words[best] * margin
+        agreement = float(np.clip(self.words[best] * margin, -1, 1) @ self.trust)
+        if agreement < MIN_AGREEMENT and len(g) > WINDOW:  # several languages, perhaps: each stretch by itself
+            starts = np.arange(0, len(g) - WINDOW // 2, WINDOW)
+            parts = np.add.reduceat(self.weights[g], starts) / np.diff([*starts, len(g)])[:, None]
+            agreement = float((np.clip(self.words[None] * parts[:, None], -1, 1) @ self.trust).max(axis=1).mean())
         return (self.languages[best], float(1 / belief.sum()), bool(loss[second] - loss[best] < AMBIGUOUS * loss[second]),
-                int((towards <= 0).sum()), float(np.clip(towards, -1, 1) @ self.trust))
+                int((self.words[best] * margin <= 0).sum()), agreement)
 
 
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:

@@ -84,6 +84,15 @@ def test_the_stage_rejects_random_letters_and_keeps_clean_text(spark, k):
     assert len([i for i in kept if i >= 100_000]) <= 1
 
 
+def test_languages_that_take_turns_are_kept(spark):
+    own, say, model = trained(spark, 2)
+    a, b = own
+    mixed = say(a, 80) + "\n" + say(b, 80) + "\n" + say(a, 60) + "\n" + say(b, 60)
+    assert model.predict(mixed)[4] >= G.MIN_AGREEMENT
+    noise = random.Random(2)
+    assert model.predict("".join(noise.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(1500)))[4] < G.MIN_AGREEMENT
+
+
 def test_learning_and_decoding_equal_a_dense_restatement(spark):
     own, say = invented(5, seed=9)
     rows = [(i, say(lang, r), lang) for r in (5, 20, 50) for i, lang in enumerate(own)]
