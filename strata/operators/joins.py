@@ -60,6 +60,32 @@ def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
+PART_BYTES = 4 << 20  # of the tables read, per partition of ``spread``
+UNKNOWN_BYTES = 1 << 60  # sizes from here on stand for "unknown"
+
+
+def read_bytes(df: DataFrame) -> int:
+    """The size of all that this plan reads, as far as known. Unlike ``estimated_bytes`` it grows
+    as the tables do: the optimizer takes a join for as large as the product of its sides."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    except Exception:  # not a classic session / no statistics
+        return 0
+    return sum(x for x in sizes if x < UNKNOWN_BYTES)
+
+
+def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ``cols`` over a number of partitions that grows with the tables it reads.
+
+    For an aggregate that keeps nearly every row (a distinct value per row, say): adaptive
+    execution joins small shuffle partitions by their compressed bytes, and a task's hash tables
+    over them grow with the input. A given number of partitions is left as it is. Not for rows
+    that an aggregate would fold first: a hot value of ``cols`` comes to one task."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(parts, -(-read_bytes(df) // PART_BYTES)), *cols)
+
+
 def _key_frame(df: DataFrame, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(n) for c, n in zip(cols, names)])
 

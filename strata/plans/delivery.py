@@ -123,6 +123,7 @@ def delivery_model(
         relationships=list(RELATIONSHIPS),
         measures={},
         hidden=dict(HIDDEN),
+        grains={"bridge": ("event_id", "educator_id")},  # as gold_bridge gives it
     )
     return model.add_measures(delivery_measures())
 

@@ -25,8 +25,10 @@ dimensions and aggregated once. Otherwise the home table is first
 aggregated by its join keys (partial sums/counts; distinct-count columns
 kept as keys), so the shuffle join sees one row per key instead of the raw
 fact; a hot key is one partial row per input partition, or one per distinct
-value where a measure counts distinct values. Both paths return the same rows
-and types.
+value where a measure counts distinct values. A home table whose rows are
+already one per those keys (``Model.grains``) is not aggregated again below the
+join; rows with distinct values are dealt by group and value after it. All
+paths return the same rows and types.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, DoubleType, IntegralType, LongType
 
 from strata.functions.blank import blank_add, blank_div, blank_sub, nonblank
-from strata.operators.joins import checked_broadcast, is_small, merge_on_keys
+from strata.operators.joins import checked_broadcast, is_small, merge_on_keys, spread
 
 NOT_BLANK = "__not_blank__"
 
@@ -89,6 +91,8 @@ class Model:
     aggregates: list = field(default_factory=list)  # see strata.plans.aggregates
     # relationships (from_table, to_table) whose two tables are stored in the same buckets by their join columns
     colocated: frozenset[tuple[str, str]] = frozenset()
+    # table -> columns that hardly two of its rows share; spares an aggregate by them, results do not depend on it
+    grains: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def add_measures(self, measures: Iterable[Measure]) -> "Model":
         for m in measures:
@@ -331,13 +335,16 @@ class _Branch:
             aggs = [self._final_direct(m, conds[m.name]) for m in self.measures]
         else:
             # Pre-aggregate by join keys (+ distinct columns), then join.
-            pre, flags = self._pre_aggregated(home_df, home_proj, conds)
+            pre, flags = self._pre_aggregated(home_df, home_keys, conds)
             cur = self._join(pre, edges, dims, filtered, broadcast=False)
+            values = [f"__d{i}" for i, m in enumerate(self.measures) if m.agg == "distinct"]
+            if values:
+                cur = spread(cur, [*[_alias(t, c) for t, c in self.group], *values])
             aggs = [self._final_merge(i, m, i in flags) for i, m in enumerate(self.measures)]
         group_cols = [F.col(_alias(t, c)).alias(c) for t, c in self.group]
         return cur.groupBy(*group_cols).agg(*aggs) if group_cols else cur.agg(*aggs)
 
-    def _pre_aggregated(self, home_df: DataFrame, home_proj: list[Column],
+    def _pre_aggregated(self, home_df: DataFrame, need: list[str],
                         conds: dict[str, Column | None]) -> tuple[DataFrame, list[int]]:
         """The home table by its join keys and distinct columns (``__d``, with ``__f`` where a
         condition holds), with partial sums ``__s`` and counts ``__n``; which measures have a condition."""
@@ -346,7 +353,7 @@ class _Branch:
             return value if c is None else F.when(c, value)
 
         flags = []
-        pre_keys = list(home_proj)
+        pre_keys = [F.col(c).alias(_alias(self.home, c)) for c in need]
         for i, m in enumerate(self.measures):
             if m.agg == "distinct":
                 pre_keys.append(F.col(m.column).alias(f"__d{i}"))
@@ -362,9 +369,22 @@ class _Branch:
             elif m.agg == "avg":
                 partials.append(F.sum(when(m, F.col(m.column))).alias(f"__s{i}"))
                 partials.append(F.count(when(m, F.col(m.column))).alias(f"__n{i}"))
+        grain = self.model.grains.get(self.home)
+        own = {*need, *[m.column for m in self.measures if m.agg == "distinct"]}
+        if grain and set(grain) <= own:
+            return home_df.select(*pre_keys, *[p for i, m in enumerate(self.measures) for p in self._row_partials(i, m, when)]), flags
         pre = home_df.groupBy(*pre_keys).agg(*partials) if partials else home_df.select(*pre_keys).distinct()
         return pre, flags
 
+    def _row_partials(self, i: int, m: Measure, when: Callable[[Measure, Column], Column]) -> list[Column]:
+        """The partial sums and counts of a single row, typed as those of an aggregate."""
+        if m.agg == "distinct":
+            return []
+        value = when(m, F.lit(1) if m.agg == "count_rows" else F.col(m.column))
+        total = value.cast(self._sum_type(m)).alias(f"__s{i}") if m.agg != "count_rows" else None
+        count = value.isNotNull().cast("bigint").alias(f"__n{i}")
+        return {"sum": [total], "count_rows": [count], "avg": [total, count]}[m.agg]
+
     def states(self) -> DataFrame:
         """Group columns (named with their table), distinct columns and partial sums: what
         the measures need to be added up to any coarser grouping. No filters."""
@@ -372,8 +392,7 @@ class _Branch:
         need = self._needed_cols(edges)
         dims = {r.to_table: self._dimension(r.to_table, need.get(r.to_table, []), r.to_col) for r in edges}
         small = all(is_small(d, self.model.max_broadcast_bytes) for d in dims.values())
-        home_proj = [F.col(c).alias(_alias(self.home, c)) for c in need.get(self.home, [])]
-        pre, _ = self._pre_aggregated(self.model.tables[self.home], home_proj, {m.name: self._condition(m, {}) for m in self.measures})
+        pre, _ = self._pre_aggregated(self.model.tables[self.home], need.get(self.home, []), {m.name: self._condition(m, {}) for m in self.measures})
         cur = self._join(pre, edges, dims, set(), broadcast=small)
         keys = [_alias(t, c) for t, c in self.group] + [c for c in pre.columns if c.startswith(("__d", "__f"))]
         added = [F.sum(c).alias(c) for c in pre.columns if c.startswith(("__s", "__n"))]

@@ -5,13 +5,15 @@ import datetime as dt
 import os
 import re
 from collections import Counter
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import QualityGateError, top_n_with_ties
+from strata.operators import QualityGateError, joins, top_n_with_ties
 from strata.operators import quality as Q
+from strata.operators.joins import read_bytes, spread
 from strata.plans import catalog, questions
 from strata.plans.layers import Layer, layer_database, run_layers
 from strata.plans.metrics import Measure, Model, Relationship, summarize
@@ -127,3 +129,58 @@ def test_top_n_limits_rows_in_every_task_and_keeps_ties_past_the_threshold(spark
     assert plan.count("WindowGroupLimit") == 4 and plan.count("Range (") == 1
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, rows.filter("v = 0").collect()))
     assert top_n_with_ties(rows, 1500, [("v", True)]).count() == rows.filter("v < 4").count()
+
+
+def test_spread_takes_more_partitions_for_larger_inputs(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(100).select("id", F.lit("x" * 100).alias("v"))
+    size = read_bytes(df)
+    assert size > 0 and read_bytes(df.join(df.withColumnRenamed("v", "w"), "id")) <= 2 * size  # not the product
+    assert read_bytes(spark.createDataFrame([(1,)], "id long").join(df, "id")) <= size  # unknown sizes do not count
+    old, joins.PART_BYTES = joins.PART_BYTES, size // 50
+    try:
+        many = spread(df, ["id"])
+    finally:
+        joins.PART_BYTES = old
+    assert many.rdd.getNumPartitions() >= 50 and many.count() == 100
+    assert spread(df, ["id"]).rdd.getNumPartitions() == parts
+
+
+@pytest.mark.parametrize("name", ["mx_educator", "bq_educator_ranking"])
+def test_staff_questions_neither_fold_the_bridge_twice_nor_count_in_joined_up_partitions(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.REGISTRY[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    above, below = plan.split("SortMergeJoin")[:2]
+    assert above.count("REPARTITION_BY_NUM") == 1
+    assert re.findall(r"partial_sum\((\w+)", below) == ["l_quantity"]
+
+
+def test_rows_that_share_a_grain_are_counted_as_without_it(spark):
+    bridge = spark.createDataFrame([(1, 1, 2.0), (1, 1, 3.0), (1, 2, 4.0), (2, 1, None), (None, 1, 5.0), (None, 1, 1.0), (3, None, 7.0), (3, 9, 8.0)],
+                                   "event_id long, educator_id long, hours_worked double")
+    staff = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "b", "y")], "educator_id long, educator_name string, experience_level string")
+    measures = {m.name: m for m in (Measure("events", "distinct", "bridge", "event_id"), Measure("hours", "sum", "bridge", "hours_worked"),
+                                    Measure("average", "avg", "bridge", "hours_worked"), Measure("rows", "count_rows", "bridge"),
+                                    Measure("timed", "distinct", "bridge", "event_id", where=("hours_worked", "nonblank")))}
+    model = Model({"bridge": bridge, "educator": staff}, [Relationship("bridge", "educator_id", "educator", "educator_id")], measures)
+    found = []
+    for grains in ({}, {"bridge": ("event_id", "educator_id")}):
+        for most in (-1, None):
+            df = summarize(replace(model, grains=grains, max_broadcast_bytes=most), ["educator.educator_name"], list(measures))
+            found.append((sorted(map(tuple, df.collect()), key=str), df.schema.simpleString()))
+    assert found.count(found[0]) == 4
+    assert ("a", 3, 15.0, 3.0, 6, 2) in found[0][0]
+    sums = {"hours": "hours_worked"}
+    own = bridge.withColumnRenamed("educator_id", "own")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = [sorted(map(tuple, questions.by_attribute(own, "own", staff, "educator_id", ["educator_name"], sums, {"events": "event_id"}, folded=f)
+                             .collect())) for f in (False, True)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert ranked[0] == ranked[1] == [("a", 15.0, 2)]
