@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import is_small, key_set_difference, merge_on_keys
+from strata.operators.joins import is_small, key_set_difference, merge_on_keys, spread
 from strata.operators.reconcile import reconcile, reconcile_summary
 from strata.operators.topn import top_n_with_ties
 from strata.plans.metrics import Model, row, summarize
@@ -24,13 +24,16 @@ def _ordered(df: DataFrame, *order: str) -> DataFrame:
 
 
 def by_attribute(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, attributes: list[str],
-                 sums: dict[str, str | None], distinct: dict[str, str] | None = None) -> DataFrame:
+                 sums: dict[str, str | None], distinct: dict[str, str] | None = None, folded: bool = False) -> DataFrame:
     """Inner join to a dimension and GROUP BY its attributes: ``sums`` (name -> fact column, None: rows)
     and ``distinct`` counts (name -> fact column).
 
     A dimension within the broadcast bound is joined to the rows. Otherwise the fact is
     aggregated below the join, in one branch and one read: to a row per key and distinct
-    value, with partial sums, so a hot key never crosses the join's exchange as raw rows."""
+    value, with partial sums, so a hot key never crosses the join's exchange as raw rows.
+    ``folded``: the fact is (mostly) so already, and the second aggregate over the same keys is left
+    out. The joined rows with distinct values, hardly fewer than the fact's, are dealt by group and
+    value before they are counted, so a task's share does not grow with the fact."""
     distinct = distinct or {}
     add = lambda c: F.lit(1).cast("bigint") if c is None else F.col(c)
     right = dim.select(F.col(dim_key).alias("__key"), *attributes)
@@ -39,8 +42,15 @@ def by_attribute(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, attrib
         return rows.groupBy(*attributes).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()],
                                              *[F.count_distinct(c).alias(n) for n, c in distinct.items()])
     values = [F.col(c).alias(f"__value{i}") for i, c in enumerate(distinct.values())]
-    partial = fact.groupBy(F.col(key).alias("__own"), *values).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()])
-    return (partial.join(right, partial["__own"] == right["__key"]).groupBy(*attributes)
+    own = F.col(key).alias("__own")
+    if folded:
+        partial = fact.select(own, *values, *[add(c).alias(n) for n, c in sums.items()])
+    else:
+        partial = fact.groupBy(own, *values).agg(*[F.sum(add(c)).alias(n) for n, c in sums.items()])
+    rows = partial.join(right, partial["__own"] == right["__key"]).drop("__own", "__key")
+    if distinct:
+        rows = spread(rows, [*attributes, *[f"__value{i}" for i in range(len(distinct))]])
+    return (rows.groupBy(*attributes)
             .agg(*[F.sum(n).alias(n) for n in sums],
                  *[F.count_distinct(f"__value{i}").alias(n) for i, n in enumerate(distinct)]))
 
@@ -114,7 +124,7 @@ def educator_ranking(bridge: DataFrame, educator: DataFrame) -> DataFrame:
     dim = educator.select("educator_id", "educator_name", "experience_level")
     out = by_attribute(bridge.select("event_id", "hours_worked", F.col("educator_id").alias("__educator")), "__educator",
                        dim, "educator_id", ["educator_id", "educator_name", "experience_level"],
-                       {"total_hours": "hours_worked"}, {"events_delivered": "event_id"})
+                       {"total_hours": "hours_worked"}, {"events_delivered": "event_id"}, folded=True)
     return _ordered(out.select("educator_id", "educator_name", "experience_level", "events_delivered",
                                F.round("total_hours", 1).alias("total_hours")),
                     "-events_delivered", "-total_hours", "educator_id")
