@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +35,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored_by(df: DataFrame, name: str, key: str, buckets: int) -> Iterator[DataFrame]:
+    """``df`` written once to the shared scratch folder in ``buckets`` by ``key``, and read back
+    from there: joins by ``key`` in as many partitions then find its rows in place, unmoved.
+
+    The buckets are known to the catalog only inside the ``with`` block; a plan made there and
+    derived ones keep them. ``df`` should be dealt by ``key`` already, as a join by it is."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    entry = f"`{path.rsplit('/', 1)[1].replace('-', '_')}`"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(entry, format="parquet")
+    try:
+        yield spark.read.table(entry)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {entry}")  # the files stay, as those of ``stored``
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``: bounds what a worker unpacks at once."""
     for b in batches:

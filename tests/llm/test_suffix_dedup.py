@@ -106,3 +106,21 @@ def test_loser_tree_sorts_and_measures():
         assert [w for w, _ in out] == sorted(w for ws in flat for w in ws)
         for (a, _), (b, share) in zip(out, out[1:]):
             assert share == S.shared_from(a, b, 0)
+
+
+def test_texts_are_stored_where_their_spans_come_to(spark):
+    base = bytes(range(97, 123)) * 8
+    docs = spark.createDataFrame([(i, f"{i:03d}" * i + base.decode() + "x" * i) for i in range(1, 7)], "doc_id long, text string")
+    before = spark.sql("SHOW TABLES").count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = S.without_repeats(docs)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = sorted((r.doc_id, r.n_removed) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scan = next(x for x in plan.split("SortMergeJoin") if "LeftOuter" in x[:60] and "FileScan parquet spark_catalog" in x)
+    assert "Exchange" not in scan[:scan.index("FileScan parquet spark_catalog")] and "Bucketed: true" in scan
+    assert [i for i, _ in rows] == [*range(1, 7)] and all(n >= 208 for _, n in rows[1:])
+    assert spark.sql("SHOW TABLES").count() == before
