@@ -2,7 +2,8 @@
 
 Words (blanks and the letters, or all, that follow them) are encoded once, not once per occurrence:
 
-1. the words of all documents are counted;
+1. the words of all documents are counted: first the parts between blanks, then, of every
+   different part, the words;
 2. every substring of a word up to the longest piece is a row, and an equi-join with the
    piece table (bounded by the vocabulary, broadcast) leaves the lattice's edges;
 3. the edges of a word are grouped — the words are already partitioned by word, so this
@@ -77,6 +78,7 @@ class Pieces:
             self.raw[i] = self.names[i].encode()
         for b, i in enumerate(self.byte):
             self.raw[i] = bytes([b])
+        self.binary, self.sizes = pa.array(self.raw, pa.large_binary()), np.array([len(r) for r in self.raw], np.int64)
         self.words: dict[str, bytes] = {}
 
     def ids_of(self, units: list[str]) -> bytes:
@@ -109,6 +111,14 @@ class Pieces:
         return np.frombuffer(b"".join([known(w) or of_word(w)
                                        for w in WORD.findall(MARK + text.replace(" ", MARK))]), np.int32)
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """``decode`` of every stretch of ``ids`` between two ``ends``; the pieces of all are joined at once."""
+        joined = self.binary.take(pa.array(ids, pa.int32()))
+        at = np.concatenate([[0], np.cumsum(self.sizes[ids])])[ends].tolist()
+        raw = joined.buffers()[2]
+        raw = raw.to_pybytes() if raw is not None else b""
+        return [raw[a:b].decode("utf-8", "replace").replace(MARK, " ")[1:] for a, b in zip(at, at[1:])]
+
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids))
         return raw.decode("utf-8", "replace").replace(MARK, " ")[1:]
@@ -133,7 +143,19 @@ def pieces(path: str) -> Pieces:
 def words(text: Column) -> Column:
     """The words of a text, as an array column; the same cuts as ``WORD``."""
     marked = F.concat(F.lit(MARK), F.translate(text, " ", MARK))
-    return F.regexp_extract_all(marked, F.lit(CUT.format(mark=MARK, letter=r"\p{L}", apart=APART, end=r"\z")), F.lit(0))
+    return cut_again(marked)
+
+
+def chunks(text: Column) -> Column:
+    """Parts of a text, as an array column; the words of all parts are those of the text. Parts are cut
+    before blanks; the text's own words where blanks meet, begin it or are written as marks."""
+    cut = F.split(F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(" " + MARK))), " ")
+    return F.when(text.contains("  ") | text.startswith(" ") | text.contains(MARK), words(text)).otherwise(cut)
+
+
+def cut_again(chunk: Column) -> Column:
+    """The words of a marked text or of one of its ``chunks``; the same cuts as ``WORD``."""
+    return F.regexp_extract_all(chunk, F.lit(CUT.format(mark=MARK, letter=r"\p{L}", apart=APART, end=r"\z")), F.lit(0))
 
 
 def lattice(word_table: DataFrame, piece_table: DataFrame, longest: int) -> DataFrame:
@@ -194,8 +216,9 @@ def encode_words(word_table: DataFrame, model: Pieces) -> DataFrame:
 def frequent_words(docs: DataFrame, most: int = MAX_WORDS) -> DataFrame:
     """The words of at most ``MAX_LENGTH`` characters that occur oftest, all with the same count or
     none, ``most`` of them at most."""
-    each = docs.select(F.explode(words(F.col("text"))).alias("word"))
-    counted = stored(each.groupBy("word").agg(F.count("*").alias("n")).filter(F.char_length("word") <= MAX_LENGTH),
+    parts = docs.select(F.explode(chunks(F.col("text"))).alias("chunk")).groupBy("chunk").agg(F.count("*").alias("n"))
+    each = parts.select("n", F.explode(cut_again(F.col("chunk"))).alias("word"))  # a different part is cut once
+    counted = stored(each.groupBy("word").agg(F.sum("n").alias("n")).filter(F.char_length("word") <= MAX_LENGTH),
                      "sentencepiece-words")
     # per power of two of the count and its sixteenth: some hundred rows, whatever the corpus
     step = F.when(F.col("n") <= 64, F.col("n").cast("double")).otherwise(64 + F.floor(16 * F.log2(F.col("n") / 64.0)))
@@ -238,11 +261,11 @@ def encode_documents(docs: DataFrame, model: str | None = None, most: int = MAX_
                 texts = b.column(1).to_pylist()
                 ids = [m.encode(t, known) for t in texts]
                 ends = np.cumsum([0, *map(len, ids)])
-                flat = np.concatenate([*ids, np.zeros(0, np.int32)])
+                flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32, copy=False)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                      pa.array([len(x) for x in ids], pa.int64()), pa.array([len((t or "").encode()) for t in texts], pa.int64()),
-                     pa.array([m.decode(x.tolist()) == (t or "") for x, t in zip(ids, texts)], pa.bool_())],
+                     pa.array([d == (t or "") for d, t in zip(m.decode_all(flat, ends), texts)], pa.bool_())],
                     ["doc_id", "ids", "n_tokens", "n_bytes", "round_trip"])
         finally:  # the worker lives on and may serve other stages
             m.forget()

@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm import sentencepiece as SP
@@ -163,3 +165,29 @@ def test_relational_words_are_cut_like_python(spark):
         assert "".join(found) == SP.MARK + t.replace(" ", SP.MARK)
         if t.isascii() or all(c.isalpha() or not c.isalnum() for c in t):
             assert list(found) == SP.WORD.findall(SP.MARK + t.replace(" ", SP.MARK)), repr(t)
+
+
+def test_words_of_chunks_are_the_words_of_the_text(spark):
+    texts = ["", " ", "  ", "a", " a", "a ", "a  b", "one two, three!\nfour 5six\n\n seven", "x▁y z", "▁", "Zoë's «naïve» café; 3.14 %$ ..",
+             "日本 語です。 ok", "tab\there and\r\n there", "a b\n", "\n", ", ,a ,b. c?d e!\nf", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    parts = df.select("doc_id", F.posexplode(SP.chunks(F.col("text"))).alias("at", "chunk"))
+    parts = parts.select("doc_id", "at", SP.cut_again(F.col("chunk")).alias("words"))
+    got = {i: [] for i in range(len(texts))}
+    for r in sorted(parts.collect(), key=lambda r: (r.doc_id, r.at)):
+        got[r.doc_id] += r.words
+    for i, t in enumerate(texts):
+        assert got[i] == ([] if t is None else SP.WORD.findall("▁" + t.replace(" ", "▁"))), t
+    plan = SP.chunks(F.col("text"))
+    simple = df.filter("doc_id = 7").select(F.size(plan)).first()[0]
+    assert simple == 5  # cut at blanks alone
+    counts = {r.word: r.n for r in SP.frequent_words(df.filter("doc_id in (3, 4, 5, 6)")).collect()}
+    assert counts == {"▁a": 3, "▁▁a": 1, "▁": 1, "▁▁b": 1}
+
+
+def test_all_texts_of_a_batch_are_decoded_at_once_as_each_alone():
+    m = SP.pieces(vocabulary_path(SP.MODEL))
+    ids = [m.encode(t, {}) for t in ("", "one two", None, "日本 é ▁ \x00", " a  b\n")] + [np.array(m.byte[200:203], np.int32)]
+    ends = np.cumsum([0, *map(len, ids)])
+    assert m.decode_all(np.concatenate(ids), ends) == [m.decode(x.tolist()) for x in ids]
+    assert m.decode_all(np.zeros(0, np.int32), np.array([0, 0])) == [""]
