@@ -371,7 +371,9 @@ class _Branch:
                 partials.append(F.count(when(m, F.col(m.column))).alias(f"__n{i}"))
         grain = self.model.grains.get(self.home)
         own = {*need, *[m.column for m in self.measures if m.agg == "distinct"]}
-        if grain and set(grain) <= own:
+        # buckets as stored are not joined up: there the fold stays, and joins lie above it
+        bucketed = any(t == self.home for t, _ in self.model.colocated)
+        if grain and set(grain) <= own and not bucketed:
             return home_df.select(*pre_keys, *[p for i, m in enumerate(self.measures) for p in self._row_partials(i, m, when)]), flags
         pre = home_df.groupBy(*pre_keys).agg(*partials) if partials else home_df.select(*pre_keys).distinct()
         return pre, flags
