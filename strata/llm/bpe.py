@@ -7,6 +7,10 @@ found from left to right by trying the lattice edges that end there and
 keeping the one compatible with its predecessor; the count at every prefix
 follows. No merge list is replayed.
 
+What a prefix passes on to longer ones is a *column*: the edges under way in it, each
+with the token before it. Words share most of theirs, so a step from a column by a unit
+is worked out once and looked up from then on (``Bpe.last_sizes``).
+
 For each token the *spines* hold what lies at its borders while it is being
 built: ``right[t]`` lists (suffix length, rank of the merge that swallows this
 suffix), ``left[t]`` the same for prefixes; the whole token has rank ``TOP``.
@@ -16,19 +20,23 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Sequence
+from array import array
+from collections.abc import Iterable, Sequence
 from functools import lru_cache
 
 TOP = 1 << 40
 HEAD = 4                              # units by which pieces are looked up
 SHORT = tuple(range(HEAD - 1, 0, -1))  # lengths to try where no longer piece begins
+UNIT_BITS = 21                        # of a unit's number: a byte or a code point
+KEPT_BYTES = 1 << 27                  # what the columns and steps kept by a worker may take, about
+STEP_BYTES, COLUMN_BYTES = 100, 220   # of one in its dict; a column's edges come on top
 
 
 class Bpe:
     """``tokens``: sequence units → id. ``pairs``: (left, right) → rank, or
     ``ranks``: token → rank when any split of a token may merge to it."""
 
-    def __init__(self, tokens: dict, pairs: dict | None = None, ranks: dict | None = None):
+    def __init__(self, tokens: dict, pairs: dict | None = None, ranks: dict | None = None, kept_bytes: int = KEPT_BYTES):
         self.tokens, self.pairs, self.ranks = tokens, pairs, ranks
         self.longest = max(map(len, tokens), default=1)
         self.left: dict = {}
@@ -56,6 +64,14 @@ class Bpe:
         self.sizes = {k: (*sorted(v, reverse=True), *(n for n in range(HEAD - 1, 0, -1) if n == 1 or k[:n] in self.usable))
                       for k, v in sizes.items()}
         self._fits: dict = {}
+        self.kept_bytes, self._kept = kept_bytes, 0
+        self._steps: dict[int, int] = {}       # column and unit → the next column
+        self._columns: list[bytes] = []        # of every edge under way its node and the node of the token before
+        self._numbers: dict[bytes, int] = {}
+        self._last: list[int] = []             # units in the last token of a column's prefix
+        self._nodes: dict[int, int] = {}       # the pieces as a tree: node and unit → the next node
+        self._piece: list = [None]             # the piece that ends at a node
+        self._inner = bytearray(1)             # whether a longer piece goes on from it
 
     def _rank(self, a, b):
         return self.pairs.get((a, b)) if self.pairs is not None else self.ranks.get(a + b)
@@ -103,24 +119,79 @@ class Bpe:
             ok = self._fits[key] = self._meets(a, b)
         return ok
 
+    def _begin(self) -> None:
+        """The tree of the pieces, once, and no column but that of the empty prefix (number 0), which is
+        the column after a unit outside the vocabulary as well."""
+        if not self._nodes:
+            for t in self.usable:
+                at = 0
+                for unit in numbered(t):
+                    to = self._nodes.get(at << UNIT_BITS | unit)
+                    if to is None:
+                        to = self._nodes[at << UNIT_BITS | unit] = len(self._piece)
+                        self._piece.append(None)
+                        self._inner[at] = 1
+                        self._inner.append(0)
+                    at = to
+                self._piece[at] = t
+        for kept in (self._steps, self._columns, self._numbers, self._last):
+            kept.clear()
+        self._kept = 0
+        self._column(array("q", [0]).tobytes(), 1)
+
+    def _column(self, edges: bytes, last: int) -> int:
+        number = self._numbers.get(edges)
+        if number is None:
+            number = self._numbers[edges] = len(self._columns)
+            self._columns.append(edges)
+            self._last.append(last)
+            self._kept += COLUMN_BYTES + len(edges)
+        return number
+
+    def _step(self, column: int, unit: int) -> int:
+        """The column after ``column`` and one more unit: of the edges that end there, the one that
+        fits the token before it is the last token. A unit outside the vocabulary merges with nothing."""
+        piece, inner, child, found, under_way = self._piece, self._inner, self._nodes.get, 0, array("q")
+        for edge in array("q", self._columns[column]):  # longest first
+            before = edge & 0xFFFFFFFF
+            node = child(edge >> 32 << UNIT_BITS | unit)
+            if node is None:
+                continue
+            if not found and piece[node] is not None and (not before or self.fits(piece[before], piece[node])):
+                found = node  # a prefix has one encoding
+            if inner[node]:
+                under_way.append(node << 32 | before)
+        under_way.append(found)  # the edge that begins here
+        full = self._kept >= self.kept_bytes
+        if full:
+            self._begin()
+        to = self._column(under_way.tobytes(), len(piece[found]) if found else 1)
+        if not full:  # else ``column`` is forgotten
+            self._steps[column << UNIT_BITS | unit] = to
+            self._kept += STEP_BYTES
+        return to
+
+    def last_sizes(self, text) -> list[int]:
+        """For every prefix of ``text`` from one unit on: how many units the last token of its encoding has."""
+        if not self._columns:
+            self._begin()
+        known, last, at, out = self._steps.get, self._last, 0, []
+        for unit in numbered(text):
+            to = known(at << UNIT_BITS | unit)
+            if to is None:
+                to = self._step(at, unit)
+            out.append(last[to])
+            at = to
+        return out
+
     def prefixes(self, text) -> tuple[list[int], list[int]]:
         """For every prefix of ``text``: its exact token count and where its last token starts.
 
         A unit outside the vocabulary is a token of its own that merges with nothing."""
-        n, sizes, spans, fits, short = len(text), self.sizes.get, self.spans, self.fits, SHORT
-        count, start, last = [0] * (n + 1), [-1] * (n + 1), [None] * (n + 1)
-        for s in range(n):
-            before, reached = last[s], count[s] + 1
-            for size in sizes(text[s:s + HEAD], short):
-                e = s + size
-                if e > n or start[e] >= 0:  # a prefix has one encoding
-                    continue
-                t = text[s:e]
-                if t in spans:
-                    if before is None or fits(before, t):
-                        count[e], start[e], last[e] = reached, s, t
-                elif size == 1:  # outside the vocabulary
-                    count[e], start[e] = reached, s
+        count, start = [0], [-1]
+        for end, size in enumerate(self.last_sizes(text), 1):
+            start.append(end - size)
+            count.append(count[end - size] + 1)
         return count, start
 
     def encode(self, text) -> list:
@@ -154,6 +225,11 @@ class Bpe:
         return out
 
 
+def numbered(text) -> Iterable[int]:
+    """The units of a text as numbers: bytes or code points."""
+    return text if isinstance(text, bytes) else map(ord, text)
+
+
 def merge_encode(bpe: Bpe, text: Sequence) -> list:
     """Encoding by replayed merges, the plain definition; the tests' reference."""
     units = [text[i:i + 1] for i in range(len(text))]

@@ -2,8 +2,8 @@
 
 A text is cut where a non-space is followed by a space: no token crosses such
 a place, and what stands on one side never changes the other. For each piece of a chunk the
-prefix table (``bpe.Bpe.prefixes``) has the exact token count at every byte and where the last
-token of every prefix starts; the path back through it gives the sizes of the piece's tokens.
+prefix table (``bpe.Bpe.last_sizes``, ``bpe.Bpe.prefixes``) has the exact token count at every byte and where
+the last token of every prefix starts; the path back through it gives the sizes of the piece's tokens.
 
 :func:`prefix_table` stores the sizes of all tokens of a document, one byte each. Their running
 sums are the byte offsets at which the count goes up, so the stored rows answer how many tokens
@@ -25,7 +25,7 @@ come by id, null last, rows of one id by their number of tokens.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +37,37 @@ from strata.llm.common import order_key, sliced, stored, table
 
 LIMIT = 512
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_ENTRIES = 1 << 19  # chunks kept by a worker before it starts anew
+CACHE_ENTRIES = 1 << 20  # pieces that a worker keeps at most
 
 # The characters that byte-level pre-tokenization takes for white space.
 SPACE = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # Fixed value: the public split pattern of this vocabulary, with white space spelled out.
-PIECE = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
-         rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+"
+         r"|[{space}]+(?![^{space}])|[{space}]+")
+PIECE = SPLIT.format(letter=r"\p{L}", number=r"\p{N}", space=SPACE)
+# The same for texts of characters below U+0180, whose letters and numbers are few enough to be spelled out too.
+LATIN_PIECE = re.compile(SPLIT.format(letter="A-Za-zªµºÀ-ÖØ-öø-\u017f", number="0-9²³¹¼-¾", space=SPACE))
+BEYOND_LATIN = re.compile("[^\0-\u017f]")
+
+
+class Remembered(dict):
+    """Results of ``work`` by text, ``most`` at most in two halves: what is asked for again when the first
+    is full moves over from the second, the rest goes. Long texts are not kept."""
+
+    def __init__(self, work: Callable[[str], bytes], most: int):
+        self.work, self.half, self.older = work, most // 2, {}
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.work(text)
+        if len(text) <= 64:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[text] = found
+        return found
 
 
 class Counter:
@@ -59,32 +82,24 @@ class Counter:
             if added else None
         if max([self.bpe.longest, *(len(t.encode()) for t, _ in added)]) > 255:
             raise ValueError("a token is longer than 255 bytes; its size does not fit a byte")
-        self.cache_entries = cache_entries
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces = Remembered(self._of_piece, cache_entries)
 
     def _of_piece(self, piece: str) -> bytes:
         """The sizes of the piece's tokens."""
-        starts = self.bpe.prefixes(piece.encode())[1]
-        sizes, end = [], len(starts) - 1
+        last = self.bpe.last_sizes(piece.encode())
+        sizes, end = [], len(last)
         while end:
-            sizes.append(end - starts[end])
-            end = starts[end]
-        found = bytes(sizes[::-1])
-        if len(piece) <= 64:
-            if len(self.pieces) >= self.cache_entries:
-                self.pieces.clear()
-            self.pieces[piece] = found
-        return found
+            sizes.append(last[end - 1])
+            end -= last[end - 1]
+        return bytes(sizes[::-1])
 
-    def of_chunk(self, chunk: str) -> bytes:
-        known = self.pieces.get
-        found = b"".join([known(p) or self._of_piece(p) for p in self.piece.findall(chunk)])
-        if len(chunk) <= 64:
-            if len(self.chunks) >= self.cache_entries:
-                self.chunks.clear()
-            self.chunks[chunk] = found
-        return found
+    def _of_plain(self, text: str) -> bytes:
+        """The sizes of the tokens of a text, or of a chunk of it, without special tokens."""
+        return b"".join(map(self.pieces.__getitem__, self.cut_apart(text)))
+
+    def cut_apart(self, text: str) -> list[str]:
+        """The pieces of a text without special tokens."""
+        return (self.piece if BEYOND_LATIN.search(text) else LATIN_PIECE).findall(text)
 
     def units(self, text: str) -> Iterator[tuple[str, int]]:
         """The text in order: (chunk or special token, token count)."""
@@ -96,23 +111,20 @@ class Counter:
         yield from self._plain(text[at:])
 
     def _plain(self, text: str) -> Iterator[tuple[str, int]]:
-        known = self.chunks.get
         for c in CHUNK.findall(text):
-            yield c, len(known(c) or self.of_chunk(c))
+            yield c, len(self._of_plain(c))
 
     def sizes(self, text: str | None) -> bytes:
         """The sizes of all tokens of the text in bytes, in order."""
         if not text:
             return b""
-        known, of_chunk = self.chunks.get, self.of_chunk
         if not self.special or not self.special.search(text):
-            return b"".join([known(c) or of_chunk(c) for c in CHUNK.findall(text)])
+            return self._of_plain(text)
         out, at = [], 0
         for m in self.special.finditer(text):
-            out += [known(c) or of_chunk(c) for c in CHUNK.findall(text[at:m.start()])]
-            out.append(bytes([len(m.group().encode())]))
+            out += [self._of_plain(text[at:m.start()]), bytes([len(m.group().encode())])]
             at = m.end()
-        return b"".join(out + [known(c) or of_chunk(c) for c in CHUNK.findall(text[at:])])
+        return b"".join([*out, self._of_plain(text[at:])])
 
     def count(self, text: str | None) -> int:
         return len(self.sizes(text))
@@ -144,15 +156,14 @@ class Counter:
         """Counts of chunk[:1], chunk[:2], ... each taken as a text of its own."""
         out: list[int] = []
         before = 0  # tokens of the pieces left of the last two
-        pieces = self.piece.findall(chunk)
+        pieces = self.cut_apart(chunk)
         for i, p in enumerate(pieces):
             # A shorter text can only be cut otherwise in its last two pieces.
             tail = (pieces[i - 1] if i else "")
             for k in range(1, len(p) + 1):
-                out.append(before + sum(len(self.pieces.get(q) or self._of_piece(q))
-                                        for q in self.piece.findall(tail + p[:k])))
+                out.append(before + len(self._of_plain(tail + p[:k])))
             if i:
-                before += len(self.pieces.get(tail) or self._of_piece(tail))
+                before += len(self.pieces[tail])
         return out
 
 

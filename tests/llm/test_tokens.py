@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from strata.llm import sentencepiece as SP
 from strata.llm import token_counts as TC
-from strata.llm.bpe import merge_encode
+from strata.llm.bpe import Bpe, merge_encode
 from strata.llm.token_counts import vocabulary_path
 
 PARTS = [" ", "  ", "     ", "\n", "\t", "\r\n", "a", "the", "ing", "'s", "'re", "!", "...", "<|endoftext|>", "<|endo", "é", "漢字",
@@ -72,6 +72,56 @@ def test_paths_equal_replayed_merges():
         assert b.encode(w) == want and b.prefixes(w)[0][-1] == len(want)
 
 
+def test_a_step_of_the_lattice_is_worked_out_once(monkeypatch):
+    b = TC.byte_level(vocabulary_path(TC.VOCABULARY))[0]
+    r, tried = random.Random(4), []
+    parts = [b"ation", b"er", b"ing", b"que", b"ver", b"\xc3\xa9", b"th", b"sch", b"ou", b"en"]
+    words = [b" " + b"".join(r.choice(parts) for _ in range(6)) for _ in range(4000)]
+    real = b.fits
+    monkeypatch.setattr(b, "fits", lambda x, y: tried.append(1) or real(x, y))
+    got = [b.prefixes(w) for w in words]
+    assert len(tried) < sum(map(len, words)) / 4  # an edge tried at nearly every byte before
+    for w, (count, start) in zip(words[:300], got):
+        want = [merge_encode(b, w[:k]) for k in range(len(w) + 1)]
+        assert count == [len(x) for x in want] and start[1:] == [k - len(x[-1]) for k, x in enumerate(want) if x]
+
+
+def test_columns_kept_are_bounded_and_forgotten_ones_found_again():
+    full = TC.byte_level(vocabulary_path(TC.VOCABULARY))[0]
+    few = {t: full.tokens[t] for t in full.tokens if len(t) < 5}
+    pairs = {p: k for p, k in full.pairs.items() if p[0] + p[1] in few}
+    wide, narrow = Bpe(few, pairs=pairs), Bpe(few, pairs=pairs, kept_bytes=3000)
+    r = random.Random(6)
+    for _ in range(300):
+        w = bytes(r.choice(b"aeinorst th.,=\xc3\xa9") for _ in range(r.randint(0, 60)))
+        assert narrow.last_sizes(w) == wide.last_sizes(w)
+        assert wide.prefixes(w)[0][-1] == len(merge_encode(wide, w))
+        assert narrow._kept < 3000 + 1000 and len(narrow._columns) < 20
+    letters = Bpe({"a": 0, "b": 1, "é": 2, "aé": 3, "aéb": 4}, pairs={("a", "é"): 0, ("aé", "b"): 1})
+    assert letters.prefixes("aéb漢aé") == ([0, 1, 1, 1, 2, 3, 3], [-1, 0, 0, 0, 3, 4, 4])
+
+
+def test_what_is_asked_for_again_stays_remembered():
+    made = []
+    kept = TC.Remembered(lambda t: made.append(t) or t.encode(), 20)
+    for i in range(500):
+        assert kept["often"] == b"often" and kept[f"once {i}"] == f"once {i}".encode()
+        assert len(kept) + len(kept.older) <= 20
+    assert made.count("often") == 1 and len(made) == 501
+    assert kept["x" * 65] == b"x" * 65 and "x" * 65 not in kept
+
+
+def test_latin_texts_are_cut_like_others(counter, library):
+    below = [chr(c) for c in range(0x180)]
+    r = random.Random(11)
+    texts = [*below, *(f"a{c}1{c} {c}'s{c}{c}  {c}" for c in below),
+             *("".join(r.choice(below) for _ in range(40)) for _ in range(500))]
+    for t in texts:
+        assert not TC.BEYOND_LATIN.search(t)
+        assert TC.LATIN_PIECE.findall(t) == counter.piece.findall(t) and counter.count(t) == n_tokens(library, t), repr(t)
+    assert TC.BEYOND_LATIN.search("aƀ") and counter.count("aƀ²Ⅻ 漢") == n_tokens(library, "aƀ²Ⅻ 漢")
+
+
 def test_token_count_rows(spark, library):
     rows = [(1, None, "x"), (2, "", "x"), (3, "the end", "x"), (3, "the end", "x"), (None, "a" * 100_000, "x"), (5, " " * 3000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
